@@ -1,0 +1,58 @@
+"""The reference's generated inputs, re-aimed as deterministic columns
+derived from rows of the supplied tables (so their size grows with the tables)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..config import Params
+from ..functions.columns import key_slot, letters_from_number, payload_chars, slot_task
+from ..plans.keyed import keyed_running, number_bucket
+
+# Multipliers of the deterministic key / disorder / token formulas.
+KEY_MULT = 7919
+DISORDER_MULT = 104729
+TOKEN_MOD = 1000003
+TOKEN_MULT = 40503
+TOKEN_ADD = 12345
+ID_BUCKET = 1 << 16
+
+
+def keyed_sequence(ids: DataFrame, p: Params = Params(), id_col: str = "event_id") -> DataFrame:
+    """Per input id: key from the key space, the key's next sequence number (from 1),
+    event time rising by ``clock_progress_ms`` per id with optional disorder of
+    +-``max_out_of_order_ms`` (floored at 0), payload of ``payload_size`` characters."""
+    i = F.col(id_col)
+    m = p.max_out_of_order_ms
+    base = i * F.lit(p.clock_progress_ms)
+    if m > 0:
+        base = base - F.lit(m) + F.pmod(i * F.lit(DISORDER_MULT), F.lit(2 * m))
+    x = ids.select(
+        i.alias("id"),
+        F.pmod(i * F.lit(KEY_MULT), F.lit(p.keyspace)).alias("key"),
+        F.timestamp_millis(F.greatest(F.lit(0), base)).cast("timestamp_ntz").alias("event_time"),
+        payload_chars(i, p.payload_size).alias("payload"),
+    )
+    r = keyed_running(x, ["key"], ["id"], number_bucket("id", ID_BUCKET), {"sequence_number": ("count", None)})
+    return r.select("key", "event_time", F.col("sequence_number").cast("bigint"), "payload", "id")
+
+
+def token_of(i) -> "F.Column":
+    """A 7-letter a-z token from an id."""
+    h = F.pmod(i, F.lit(TOKEN_MOD)) * F.lit(TOKEN_MULT) + F.lit(TOKEN_ADD)
+    return letters_from_number(h, 7)
+
+
+def token_pairs(ids: DataFrame, id_col: str = "event_id") -> DataFrame:
+    """(token, 1) per input row, then the keyed sum the word-count job computes."""
+    t = ids.select(token_of(F.col(id_col)).alias("word"), F.lit(1).alias("one"))
+    return t.groupBy("word").agg(F.sum("one").cast("bigint").alias("n"))
+
+
+def key_slots(df: DataFrame, key: str, p: Params = Params(), parallelism: int = 8) -> DataFrame:
+    """Key -> slot of the max-parallelism space -> owning task; keys and rows per slot
+    (a skew report of the hash layout)."""
+    x = df.select(key_slot(F.col(key), p.keyspace, p.max_parallelism).alias("slot"), F.col(key))
+    g = x.groupBy("slot").agg(F.countDistinct(key).alias("keys"), F.count(F.lit(1)).alias("rows"))
+    return g.select("slot", slot_task("slot", parallelism, p.max_parallelism).alias("task"), "keys", "rows")
