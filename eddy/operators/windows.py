@@ -60,13 +60,16 @@ def sliding_count_panes(df: DataFrame, key: str, ts: str, size_ms: int, slide_ms
     if size_ms % slide_ms:
         raise ValueError("pane rewrite needs slide to divide size")
     n = size_ms // slide_ms
-    panes = (df.groupBy(key, F.window(ts, _ms(slide_ms)).start.alias("_pane"))
-               .agg(F.count(F.lit(1)).alias("_c")))
+    slide_us, size_us = slide_ms * 1000, size_ms * 1000
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    # integer microseconds throughout: the pane start is us - pmod(us, slide)
+    panes = (df.select(key, (us - F.pmod(us, F.lit(slide_us))).alias("_pane"))
+               .groupBy(key, "_pane").agg(F.count(F.lit(1)).alias("_c")))
     spread = (panes.select(key, "_c", "_pane", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_i"))
-                   .select(key, "_c", (F.col("_pane") - _ms_interval(F.col("_i") * F.lit(slide_ms))).alias("_ws")))
+                   .select(key, "_c", (F.col("_pane") - F.col("_i").cast("bigint") * F.lit(slide_us).cast("bigint")).alias("_ws")))
     out = spread.groupBy(key, "_ws").agg(F.sum("_c").alias("num"))
-    return out.select(key, to_ntz("_ws").alias("window_start"),
-                      to_ntz(F.col("_ws") + _ms_interval(F.lit(size_ms))).alias("window_end"),
+    return out.select(key, to_ntz(F.timestamp_micros("_ws")).alias("window_start"),
+                      to_ntz(F.timestamp_micros(F.col("_ws") + F.lit(size_us).cast("bigint"))).alias("window_end"),
                       F.col("num").cast("bigint").alias("num"))
 
 
@@ -92,17 +95,30 @@ def sliding_collect(df: DataFrame, key: str, ts: str, size: str, slide: str,
 
 
 def session_count(df: DataFrame, key: str, ts: str, gap: str,
-                  last_of: str | None = None, order: list[str] | None = None) -> DataFrame:
+                  last_of: str | None = None, order: list[str] | None = None,
+                  bucket: str | None = None) -> DataFrame:
     """Sessions per key closed by ``gap`` of inactivity; count per session.
 
     ``last_of`` adds ``last_<col>`` = value of the session's last row in ``order``.
-    Sessions are merged inside each map partition before the shuffle (session conf)."""
+
+    Batch (``bucket`` given): sessions come from the skew-safe lag scan (``sessionize``)
+    and the per-session aggregate is combined map-side, so a hot key is never held by
+    one task. ``bucket=None`` uses ``session_window`` (the streaming form; in batch it
+    shuffles every row by the key alone)."""
+    order = order or [ts]
+    o = F.struct(*[F.col(c) for c in order])
     aggs = [F.count(F.lit(1)).alias("num")]
     if last_of:
-        o = F.struct(*[F.col(c) for c in (order or [ts])])
         aggs.append(F.max_by(last_of, o).alias(f"last_{last_of}"))
-    g = df.groupBy(F.session_window(ts, gap).alias("_s"), key).agg(*aggs)
-    return g.select(key, *flat_window("_s", "session"), *[c for c in g.columns if c not in ("_s", key)])
+    if bucket is None:
+        g = df.groupBy(F.session_window(ts, gap).alias("_s"), key).agg(*aggs)
+        return g.select(key, *flat_window("_s", "session"), *[c for c in g.columns if c not in ("_s", key)])
+    s = sessionize(df, key, ts, gap, order, bucket)
+    g = s.groupBy(key, "session_start").agg(F.max(ts).alias("_last"), *aggs)
+    return g.select(key, to_ntz("session_start").alias("session_start"),
+                    to_ntz(F.col("_last") + _interval(gap)).alias("session_end"),
+                    F.col("num").cast("bigint").alias("num"),
+                    *[c for c in g.columns if c.startswith("last_")])
 
 
 def _interval(gap: str) -> Column:
@@ -115,9 +131,11 @@ def sessionize(df: DataFrame, key: str, ts: str, gap: str, order: list[str], buc
     Adds ``session_start`` and ``session_rn`` (position within the session, from 1).
     Both passes are skew-safe keyed scans, so a key that never pauses is still split."""
     b = time_bucket(ts, bucket)
-    r1 = keyed_running(df, [key], order, b, {"_prev_ts": ("prev", F.col(ts)), "_cnt": ("count", None)})
+    r1 = keyed_running(df, [key], order, b, {"_prev_ts": ("prev", F.col(ts)), "_cnt": ("count", None)},
+                       keep_bucket=True)
     r1 = r1.withColumn("_start", F.col("_prev_ts").isNull() | (F.col(ts) > F.col("_prev_ts") + _interval(gap)))
-    r2 = keyed_running(r1, [key], order, b, {
+    # second pass reuses the bucket column: same (key, bucket) partitioning, no reshuffle
+    r2 = keyed_running(r1, [key], order, None, {
         "session_start": ("last", F.when(F.col("_start"), F.col(ts))),
         "_cnt_at_start": ("last", F.when(F.col("_start"), F.col("_cnt"))),
     })

@@ -36,14 +36,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BKT = "_kr_bucket"
+BUCKET_COL = _BKT
 _RN = "_kr_rn"
 
 
-def keyed_running(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
-                  specs: dict[str, tuple[str, Column | None]]) -> DataFrame:
+def keyed_running(df: DataFrame, keys: list[str], order: list[str], bucket: Column | None,
+                  specs: dict[str, tuple[str, Column | None]], keep_bucket: bool = False) -> DataFrame:
+    """``bucket=None`` reuses the bucket column a previous scan kept (``keep_bucket``):
+    the input is then already hash-partitioned on (keys, bucket) and the local window
+    needs no new shuffle."""
     ordcols = [F.col(c) for c in order]
     ordstruct = F.struct(*ordcols)
-    x = df.withColumn(_BKT, bucket)
+    x = df if bucket is None else df.withColumn(_BKT, bucket)
 
     w_local = Window.partitionBy(*keys, _BKT).orderBy(*ordcols)
     upto = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -105,8 +109,8 @@ def keyed_running(df: DataFrame, keys: list[str], order: list[str], bucket: Colu
         else:  # prev
             v = F.when(F.col(_RN) == 1, oc).otherwise(lc)
         out.append(v.alias(name))
-    keep = [c for c in df.columns if c not in specs]
-    return z.select(*keep, *out)
+    keep = [c for c in df.columns if c not in specs and c != _BKT]
+    return z.select(*keep, *out, *([F.col(_BKT)] if keep_bucket else []))
 
 
 def time_bucket(ts: Column | str, duration: str) -> Column:

@@ -80,7 +80,7 @@ def q8_window_join(spark, d):
 
 def q11_session_count(spark, d):
     return W.session_count(B.bids(spark, d), "bidder", "date_time", Q11_GAP, last_of="auction",
-                           order=["date_time", "event_id"])
+                           order=["date_time", "event_id"], bucket=B.EVENT_BUCKET)
 
 
 def q11_session_early(spark, d):
