@@ -98,8 +98,11 @@ def keyed_running(df: DataFrame, keys: list[str], order: list[str], bucket: Colu
     out = []
     for name, (kind, _e) in specs.items():
         lc, oc = F.col(f"_kr_l_{name}"), F.col(f"_kr_o_{name}")
-        if kind in ("count", "sum"):
+        if kind == "count":
             v = lc + F.coalesce(oc, F.lit(0))
+        elif kind == "sum":
+            # null only when every value so far is null, as a plain running sum
+            v = F.coalesce(lc + oc, lc, oc)
         elif kind in ("max", "max_before"):
             v = F.greatest(lc, oc)
         elif kind == "min":
