@@ -12,3 +12,51 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     g = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in others]),
                                        F.struct(*[F.col(c) for c in order])).alias("_row"))
     return g.select(*keys, "_row.*")
+
+
+def upsert_writer(path: str, keys: list[str], order: list[str]):
+    """K5 stream form: a ``foreachBatch`` function keeping one live row per key.
+
+    Batch ``b`` reads snapshot ``b-1`` (if any), adds the batch, keeps the last row per
+    key and writes snapshot ``b``. Re-running a batch rewrites the same snapshot, so a
+    replay after failure gives the same result (exactly-once). Readers take the newest
+    complete snapshot (``latest_snapshot``)."""
+    import os
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        prev = _snapshot_path(path, batch_id - 1)
+        cur = batch.select(*keys, *[c for c in batch.columns if c not in keys])
+        if batch_id > 0 and _exists(spark, prev):
+            cur = spark.read.parquet(prev).unionByName(cur)
+        latest_per_key(cur, keys, order).write.mode("overwrite").parquet(_snapshot_path(path, batch_id))
+
+    def _exists(spark, p):
+        return os.path.exists(p) if p.startswith("/") else True
+
+    return write
+
+
+def _snapshot_path(path: str, batch_id: int) -> str:
+    return f"{path}/v={batch_id:012d}"
+
+
+def latest_snapshot(spark, path: str) -> DataFrame:
+    import os
+    versions = sorted(d for d in os.listdir(path) if d.startswith("v="))
+    return spark.read.parquet(os.path.join(path, versions[-1]))
+
+
+def to_message(df: DataFrame, key: str) -> DataFrame:
+    """K5 message form: (key as text, JSON of the whole row), as an upsert topic takes it."""
+    return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
+
+
+def with_latency(df: DataFrame, ts: str, name: str = "latency") -> DataFrame:
+    """K3: per micro-batch, processing time minus event time (ms): count, median, p99, max.
+    Read them from ``StreamingQueryProgress.observedMetrics[name]``."""
+    lat = (F.unix_millis(F.current_timestamp()) - F.unix_millis(F.col(ts).cast("timestamp")))
+    return df.observe(name, F.count(F.lit(1)).alias("rows"),
+                      F.percentile_approx(lat, 0.5).alias("p50_ms"),
+                      F.percentile_approx(lat, 0.99).alias("p99_ms"),
+                      F.max(lat).alias("max_ms"))
