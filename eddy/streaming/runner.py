@@ -7,6 +7,7 @@ cluster names); a restart with the same name resumes where the last run stopped.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,10 +19,12 @@ def checkpoint_for(spark: SparkSession, name: str) -> str:
 
 
 def run_to_memory(df: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
-    """K2 in tests: run all available input into a memory table and return it."""
+    """K2 in tests: run all available input into a memory table and return it.
+
+    The memory sink cannot resume, so each run gets its own checkpoint folder."""
     spark = df.sparkSession
     q = (df.writeStream.format("memory").queryName(name).outputMode(mode)
-           .option("checkpointLocation", checkpoint or checkpoint_for(spark, name))
+           .option("checkpointLocation", checkpoint or checkpoint_for(spark, f"{name}-{uuid.uuid4().hex}"))
            .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception():

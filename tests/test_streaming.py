@@ -44,7 +44,7 @@ def bids_ts(spark):
 
 def test_sliding_count_stream_equals_batch(spark, tmp_path, bids_ts):
     d = str(tmp_path / "bids")
-    _replay(spark, bids_ts, "date_time", d, "1 day", {"auction": -1, "bidder": -1, "event_id": -1})
+    _replay(spark, bids_ts, "date_time", d, "5 days", {"auction": -1, "bidder": -1, "event_id": -1})
     out = run_to_memory(SQ.sliding_count_stream(_stream(spark, bids_ts.schema, d), "60 minutes", "1 minute"),
                         "w3_stream").filter("auction <> -1")
     batch = Q.q5_sliding_count(spark, SF001)
@@ -55,7 +55,7 @@ def test_sliding_count_stream_equals_batch(spark, tmp_path, bids_ts):
 
 def test_session_stream_equals_batch(spark, tmp_path, bids_ts):
     d = str(tmp_path / "bids")
-    _replay(spark, bids_ts, "date_time", d, "1 day", {"auction": -1, "bidder": -1, "event_id": -1})
+    _replay(spark, bids_ts, "date_time", d, "5 days", {"auction": -1, "bidder": -1, "event_id": -1})
     out = run_to_memory(SQ.session_count_stream(_stream(spark, bids_ts.schema, d), Q.Q11_GAP),
                         "w5_stream").filter("bidder <> -1")
     batch = W.session_count(B.bids(spark, SF001), "bidder", "date_time", Q.Q11_GAP, bucket=B.EVENT_BUCKET)
@@ -65,7 +65,7 @@ def test_session_stream_equals_batch(spark, tmp_path, bids_ts):
 def test_early_session_stream_equals_batch(spark, tmp_path, bids_ts):
     ST.use_rocksdb(spark)
     d = str(tmp_path / "bids")
-    _replay(spark, bids_ts, "date_time", d, "1 day", {"auction": -1, "bidder": -1, "event_id": -1})
+    _replay(spark, bids_ts, "date_time", d, "5 days", {"auction": -1, "bidder": -1, "event_id": -1})
     s = _stream(spark, bids_ts.schema, d).withWatermark("date_time", "0 seconds")
     out = run_to_memory(ST.early_session_stream(s, 6 * 3600 * 1000, Q.Q11_EARLY_EVERY), "w6_stream")
     out = out.filter("bidder <> -1").select("bidder", F.col("session_start").cast("timestamp_ntz"),
@@ -76,7 +76,7 @@ def test_early_session_stream_equals_batch(spark, tmp_path, bids_ts):
 def test_window_join_stream_equals_batch(spark, tmp_path):
     ev = B.events(spark, SF001).withColumn("ts", F.col("ts").cast("timestamp"))
     d = str(tmp_path / "events")
-    _replay(spark, ev, "ts", d, "1 day", {"event_id": -1, "user_id": -1, "event_type": "sentinel"})
+    _replay(spark, ev, "ts", d, "5 days", {"event_id": -1, "user_id": -1, "event_type": "sentinel"})
     s = _stream(spark, ev.schema, d).withWatermark("ts", "0 seconds")
     persons = s.filter(F.col("event_type").isin("signup", "sentinel")).select(
         F.col("user_id").alias("id"), F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("name"),
@@ -130,11 +130,11 @@ def test_keyed_state_stream_equals_batch(spark, tmp_path):
 def test_restart_equals_uninterrupted(spark, tmp_path, bids_ts):
     """Stop after some slices, resume from the checkpoint, same windows, none twice."""
     d, out, ck = str(tmp_path / "bids"), str(tmp_path / "out"), str(tmp_path / "ck")
-    n = write_slices(bids_ts, "date_time", d, "1 day", 0, 10)
+    n = write_slices(bids_ts, "date_time", d, "5 days", 0, 3)
     q = SQ.sliding_count_stream(_stream(spark, bids_ts.schema, d), "60 minutes", "1 minute")
     run_to_parquet(q, out, ck)
     first = spark.read.parquet(out).count()
-    write_slices(bids_ts, "date_time", d, "1 day", n, None)
+    write_slices(bids_ts, "date_time", d, "5 days", n, None)
     write_sentinel(spark, bids_ts.schema, d, {"auction": -1, "bidder": -1, "event_id": -1,
                                                "date_time": sentinel_time()})
     run_to_parquet(SQ.sliding_count_stream(_stream(spark, bids_ts.schema, d), "60 minutes", "1 minute"), out, ck)
