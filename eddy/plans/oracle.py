@@ -313,3 +313,6 @@ FROM s GROUP BY slot""",
 FROM events""",
 }
 ORACLE["q5_panes"] = ORACLE["q5_sliding_count"]
+ORACLE["q3_join_sql"] = ORACLE["q3_join"]
+ORACLE["q5_sliding_count_sql"] = ORACLE["q5_sliding_count"]
+ORACLE["q8_window_join_sql"] = ORACLE["q8_window_join"]

@@ -25,6 +25,7 @@ from ..sources import fixtures as FX
 from ..sources import messages as M
 from ..sources import synth as S
 from ..sources.tables import read_table
+from . import sql as SQL
 
 # Query parameters (fixed so Spark and the oracle agree).
 Q5_SIZE, Q5_SLIDE = "60 minutes", "1 minute"
@@ -272,4 +273,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "key_slots": key_slots,
     "keyed_sequence": keyed_sequence,
     "token_pairs": token_pairs,
+    "q3_join_sql": SQL.q3_join_sql,
+    "q5_sliding_count_sql": SQL.q5_sliding_count_sql,
+    "q8_window_join_sql": SQL.q8_window_join_sql,
 }
