@@ -59,14 +59,17 @@ def emit_once_last(auctions: DataFrame, persons: DataFrame, dedupe_waiting: bool
                                      .alias("person"))))
     r = keyed_running(tagged, ["k"], ["date_time", "side", "rid", "copy"], time_bucket("date_time", bucket),
                       {"before": ("last", F.col("person"))})
-    auc = r.filter(F.col("side") == 1).select("k", "rid", "before")
+    auc = r.filter(F.col("side") == 1).select("k", "rid", "date_time", "copy", "before")
     fp = first_person(p)
     j = auc.join(fp, auc.k == fp.id, "inner")
-    immediate = j.filter(F.col("before").isNotNull()).select(F.col("before").alias("person"), "k", "rid")
-    waiting = j.filter(F.col("before").isNull()).select("person", "k", "rid")
+    # one pass: the stored person if any, else the first person the auction waited for
+    out = j.select(F.coalesce("before", "person").alias("person"), "k", "rid",
+                   F.col("before").isNull().alias("_waited"), "date_time", "copy")
     if dedupe_waiting:
-        waiting = waiting.dropDuplicates(["k", "rid"])
-    out = immediate.unionByName(waiting)
+        # waiting ids form a set: repeats of one id while waiting collapse; auctions that met a
+        # stored person stay one row per arrival
+        out = (out.withColumn("_dk", F.when(~F.col("_waited"), F.struct("date_time", "copy")))
+                  .dropDuplicates(["k", "rid", "_dk"]))
     return out.select("person.*", F.col("rid").alias("auction_id"))
 
 
