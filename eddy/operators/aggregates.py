@@ -3,8 +3,9 @@
 ``final_*`` give the state each key holds after its last event. Scalar states (first,
 last, nested latest) are ``min_by``/``max_by`` aggregates with map-side partial
 aggregation, so a hot key costs one partial row per task. Growing states (concat, list,
-map) are returned in *parts*, one row per (key, time bucket): the key's state is its parts
-in bucket order. No single row or task ever has to hold a key's whole history.
+map) are returned in *parts* of at most ``PART_EVENTS`` events, cut by sequence number:
+the key's state is its parts in part order. No single row, group or task ever has to
+hold a key's whole history, however hot the key.
 """
 
 from __future__ import annotations
@@ -12,11 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import to_ntz
-from ..plans.keyed import keyed_running, time_bucket
+from ..plans.keyed import keyed_running
 from .records import complex_payload, flatten_payload
 
-STATE_BUCKET = "1 day"
+# Events per part of a growing state (a hard bound on every group).
+PART_EVENTS = 1000
 
 
 def final_first(ev: DataFrame, key="key", seq="sequence_number", payload="payload") -> DataFrame:
@@ -29,37 +30,37 @@ def final_last(ev: DataFrame, key="key", seq="sequence_number", payload="payload
     return ev.groupBy(key).agg(F.max_by(payload, seq).alias(payload))
 
 
-def _parts(ev, key, ts, seq, payload, bucket):
-    return (ev.withColumn("_part", time_bucket(ts, bucket))
-              .groupBy(key, "_part")
+def _parts(ev, key, seq, payload, part_events):
+    return (ev.withColumn("part", F.floor((F.col(seq) - 1) / F.lit(part_events)).cast("bigint"))
+              .groupBy(key, "part")
               .agg(F.sort_array(F.collect_list(F.struct(F.col(seq), F.col(payload)))).alias("_l"),
                    F.min(seq).alias("first_seq"), F.max(seq).alias("last_seq")))
 
 
-def final_concat(ev: DataFrame, key="key", ts="event_time", seq="sequence_number", payload="payload",
-                 bucket: str = STATE_BUCKET) -> DataFrame:
+def final_concat(ev: DataFrame, key="key", seq="sequence_number", payload="payload",
+                 part_events: int = PART_EVENTS) -> DataFrame:
     """state = payload || previous state (newest first).
 
-    Parts: the key's state is the concatenation of its parts, newest part first."""
-    g = _parts(ev, key, ts, seq, payload, bucket)
-    return g.select(key, to_ntz("_part").alias("part_start"), "first_seq", "last_seq",
+    The key's state is the concatenation of its parts, newest part first."""
+    g = _parts(ev, key, seq, payload, part_events)
+    return g.select(key, "part", "first_seq", "last_seq",
                     F.array_join(F.transform(F.reverse("_l"), lambda x: x[payload]), "").alias("state"))
 
 
-def final_list(ev: DataFrame, key="key", ts="event_time", seq="sequence_number", payload="payload",
-               bucket: str = STATE_BUCKET) -> DataFrame:
-    """List state, payloads appended in order. Parts in bucket order, joined by ','."""
-    g = _parts(ev, key, ts, seq, payload, bucket)
-    return g.select(key, to_ntz("_part").alias("part_start"), "first_seq", "last_seq",
+def final_list(ev: DataFrame, key="key", seq="sequence_number", payload="payload",
+               part_events: int = PART_EVENTS) -> DataFrame:
+    """List state, payloads appended in order; parts joined by ','."""
+    g = _parts(ev, key, seq, payload, part_events)
+    return g.select(key, "part", "first_seq", "last_seq",
                     F.array_join(F.transform("_l", lambda x: x[payload]), ",").alias("state"))
 
 
-def final_map(ev: DataFrame, key="key", ts="event_time", seq="sequence_number", payload="payload",
-              bucket: str = STATE_BUCKET) -> DataFrame:
+def final_map(ev: DataFrame, key="key", seq="sequence_number", payload="payload",
+              part_events: int = PART_EVENTS) -> DataFrame:
     """Map state sequence -> payload. Sequences are unique per key, so the parts are
     disjoint maps; returned as JSON objects."""
-    g = _parts(ev, key, ts, seq, payload, bucket)
-    return g.select(key, to_ntz("_part").alias("part_start"), "first_seq", "last_seq",
+    g = _parts(ev, key, seq, payload, part_events)
+    return g.select(key, "part", "first_seq", "last_seq",
                     F.to_json(F.map_from_entries("_l")).alias("state"))
 
 

@@ -35,13 +35,17 @@ def window_contiguity(members: DataFrame, key="key", win="window_start", seq="se
         key, win, F.col("_p").alias("previous"), F.col(seq).alias("sequence_number"))
 
 
+WINDOW_TABLE_BUCKET = "1 day"
+
+
 def _window_table(members: DataFrame, key, win, seq) -> DataFrame:
     """One row per non-empty (key, window): rank among the key's windows, the window's
-    last sequence, the largest last sequence of all earlier windows."""
+    last sequence, the largest last sequence of all earlier windows. A key with very
+    many windows (short slides) is split by the keyed scan."""
     wins = members.groupBy(key, win).agg(F.max(seq).alias("wmax"))
-    w = Window.partitionBy(key).orderBy(win)
-    return wins.select(key, win, "wmax", F.row_number().over(w).alias("wrank"),
-                       F.max("wmax").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("mprev"))
+    r = keyed_running(wins, [key], [win], time_bucket(win, WINDOW_TABLE_BUCKET),
+                      {"wrank": ("count", None), "mprev": ("max_before", F.col("wmax"))})
+    return r.select(key, win, "wmax", "wrank", "mprev")
 
 
 def _sightings(members: DataFrame, factor: int, key, win, seq) -> tuple[DataFrame, DataFrame]:

@@ -79,16 +79,23 @@ def sliding_members(df: DataFrame, ts: str, size: str, slide: str) -> DataFrame:
         *[F.col(c) for c in df.columns], *flat_window("_w"))
 
 
+# Events per part of a window's list (a hard bound on every group).
+LIST_PART_EVENTS = 1000
+
+
 def sliding_collect(df: DataFrame, key: str, ts: str, size: str, slide: str,
-                    seq: str, payload: str) -> DataFrame:
+                    seq: str, payload: str, part_events: int = LIST_PART_EVENTS) -> DataFrame:
     """Per key and sliding window, the window's events ordered by sequence.
 
-    Each group holds one key's events of one window (bounded by the window length);
-    the list is returned as text (``seq:payload`` joined by commas)."""
+    The list is cut into parts of at most ``part_events`` events by sequence number
+    (a window's list is its parts in ``part`` order), so a hot key's window never
+    becomes one unbounded group; each part is returned as text (``seq:payload``
+    joined by commas)."""
     m = sliding_members(df.select(key, ts, seq, payload), ts, size, slide)
-    g = m.groupBy(key, "window_start", "window_end").agg(
+    m = m.withColumn("part", F.floor((F.col(seq) - 1) / F.lit(part_events)).cast("bigint"))
+    g = m.groupBy(key, "window_start", "window_end", "part").agg(
         F.sort_array(F.collect_list(F.struct(F.col(seq), F.col(payload)))).alias("_l"))
-    return g.select(key, "window_start", "window_end",
+    return g.select(key, "window_start", "window_end", "part",
                     F.size("_l").cast("bigint").alias("num"),
                     F.array_join(F.transform("_l", lambda x: F.concat_ws(":", x[seq].cast("string"), x[payload])), ",")
                     .alias("events"))

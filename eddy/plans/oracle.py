@@ -200,26 +200,27 @@ FROM ev GROUP BY 1, 2, 3""",
     "sliding_collect": f"""WITH {EV},
 m AS (SELECT e.*, time_bucket(INTERVAL 1 HOUR, e.event_time) - to_hours(CAST(i AS BIGINT)) AS window_start
       FROM ev e, range(0, 3) r(i))
-SELECT key, window_start, window_start + INTERVAL 3 HOUR AS window_end, count(*) AS num,
+SELECT key, window_start, window_start + INTERVAL 3 HOUR AS window_end, (sequence_number - 1) // 1000 AS part,
+       count(*) AS num,
        string_agg(CAST(sequence_number AS VARCHAR) || ':' || payload, ',' ORDER BY sequence_number) AS events
-FROM m GROUP BY key, window_start""",
+FROM m GROUP BY key, window_start, part""",
 
     "state_first": f"""WITH {EV} SELECT key, arg_min(payload, sequence_number) AS payload FROM ev GROUP BY key""",
 
     "state_last": f"""WITH {EV} SELECT key, arg_max(payload, sequence_number) AS payload FROM ev GROUP BY key""",
 
     "state_concat": f"""WITH {EV}
-SELECT key, time_bucket(INTERVAL 1 DAY, event_time) AS part_start, min(sequence_number) AS first_seq,
+SELECT key, (sequence_number - 1) // 1000 AS part, min(sequence_number) AS first_seq,
        max(sequence_number) AS last_seq, string_agg(payload, '' ORDER BY sequence_number DESC) AS state
 FROM ev GROUP BY 1, 2""",
 
     "state_list": f"""WITH {EV}
-SELECT key, time_bucket(INTERVAL 1 DAY, event_time) AS part_start, min(sequence_number) AS first_seq,
+SELECT key, (sequence_number - 1) // 1000 AS part, min(sequence_number) AS first_seq,
        max(sequence_number) AS last_seq, string_agg(payload, ',' ORDER BY sequence_number) AS state
 FROM ev GROUP BY 1, 2""",
 
     "state_map": f"""WITH {EV}
-SELECT key, time_bucket(INTERVAL 1 DAY, event_time) AS part_start, min(sequence_number) AS first_seq,
+SELECT key, (sequence_number - 1) // 1000 AS part, min(sequence_number) AS first_seq,
        max(sequence_number) AS last_seq,
        '{{' || string_agg('"' || sequence_number || '":"' || payload || '"', ',' ORDER BY sequence_number) || '}}' AS state
 FROM ev GROUP BY 1, 2""",
