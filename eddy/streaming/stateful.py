@@ -143,11 +143,18 @@ def early_session_stream(bids: DataFrame, gap_ms: int, every: int) -> DataFrame:
 
 class KeyedStates(StatefulProcessor):
     """A4-A8 on one key: first value, last value, prepend-concat, list and map state.
-    Emits, per event, the event's sequence and a summary of the state after it."""
+    Emits, per event, the event's sequence and a summary of the state after it.
+
+    ``ttl_ms`` (processing-time mode only) expires the last value after that long
+    without an update (state time-to-live)."""
+
+    def __init__(self, ttl_ms: int | None = None):
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.first = handle.getValueState("first", "payload string")
-        self.last = handle.getValueState("last", "payload string")
+        self.last = (handle.getValueState("last", "payload string", self.ttl_ms) if self.ttl_ms
+                     else handle.getValueState("last", "payload string"))
         self.concat = handle.getValueState("concat", "payload string")
         self.size = handle.getValueState("size", "n long")
         self.items = handle.getListState("items", "payload string")
@@ -179,10 +186,18 @@ class KeyedStates(StatefulProcessor):
         pass
 
 
-def keyed_state_stream(ev: DataFrame) -> DataFrame:
+def keyed_state_stream(ev: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """``ev``: key, sequence_number, payload (streaming)."""
     return ev.select("key", "sequence_number", "payload").groupBy("key").transformWithStateInPandas(
-        KeyedStates(), STATE_OUT, "append", "None")
+        KeyedStates(ttl_ms), STATE_OUT, "append", "ProcessingTime" if ttl_ms else "None")
+
+
+def read_state(spark, checkpoint: str, state_var: str | None = None, operator_id: int = 0) -> DataFrame:
+    """Queryable state: read a finished query's state store as a table (batch)."""
+    r = spark.read.format("statestore").option("operatorId", operator_id)
+    if state_var:
+        r = r.option("stateVarName", state_var)
+    return r.load(checkpoint)
 
 
 def final_from_changes(changes: DataFrame) -> DataFrame:

@@ -110,12 +110,13 @@ def test_emit_once_stream_equals_batch(spark, tmp_path, keep, dedupe, query):
     assert _rows(out) == _rows(Q.QUERIES[query](spark, SF001))
 
 
-def test_keyed_state_stream_equals_batch(spark, tmp_path):
+@pytest.mark.parametrize("ttl_ms", [None, 3_600_000])
+def test_keyed_state_stream_equals_batch(spark, tmp_path, ttl_ms):
     ST.use_rocksdb(spark)
     ev = B.keyed_events(spark, SF001).withColumn("event_time", F.col("event_time").cast("timestamp"))
     d = str(tmp_path / "ev")
     _replay(spark, ev, "event_time", d, "3 days", {}, with_sentinel=False)
-    changes = run_to_memory(ST.keyed_state_stream(_stream(spark, ev.schema, d)), "a_states")
+    changes = run_to_memory(ST.keyed_state_stream(_stream(spark, ev.schema, d), ttl_ms), f"a_states_{ttl_ms}")
     got = ST.final_from_changes(changes)
     exp = (ev.groupBy("key").agg(F.max("sequence_number").alias("sequence_number"),
                                  F.min_by("payload", "sequence_number").alias("first_payload"),
@@ -161,3 +162,42 @@ def test_upsert_stream_equals_batch(spark, tmp_path):
     run_foreach_batch(s, upsert_writer(snap, ["seller"], ["date_time", "id"]), str(tmp_path / "ck"), mode="append")
     got = latest_snapshot(spark, snap).select("seller", "id", "reserve")
     assert _rows(got) == _rows(Q.upsert_latest(spark, SF001))
+
+
+def test_unbounded_join_stream_equals_batch(spark, tmp_path):
+    """Two file streams, inner join without watermark (both sides kept)."""
+    a = B.auctions_q3(spark, SF001).withColumn("date_time", F.col("date_time").cast("timestamp"))
+    p = B.persons_q3(spark, SF001).withColumn("date_time", F.col("date_time").cast("timestamp"))
+    da, dp = str(tmp_path / "a"), str(tmp_path / "p")
+    write_slices(a, "date_time", da, "365 days")
+    write_slices(p, "date_time", dp, "365 days")
+    out = run_to_memory(SQ.join_stream(_stream(spark, a.schema, da), _stream(spark, p.schema, dp)), "j1_stream")
+    assert _rows(out) == _rows(Q.q3_join(spark, SF001))
+
+
+def test_tumbling_close_stream(spark, tmp_path):
+    """Every element re-emitted once its tumbling window closes (append mode)."""
+    ev = B.keyed_events(spark, SF001).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    d = str(tmp_path / "ev")
+    _replay(spark, ev, "event_time", d, "5 days", {"key": -1, "sequence_number": -1, "event_id": -1})
+    s = _stream(spark, ev.schema, d).withWatermark("event_time", "0 seconds")
+    out = run_to_memory(W.tumbling_close(s, "key", "event_time", Q.TUMBLE, ["sequence_number", "payload"]),
+                        "w1_stream").filter("key <> -1")
+    exp = W.tumbling_pass(B.keyed_events(spark, SF001), "event_time", Q.TUMBLE).select(
+        "key", "window_start", "window_end", "sequence_number", "payload")
+    assert _rows(out) == _rows(exp)
+
+
+def test_progress_metrics_and_state_reader(spark, tmp_path, bids_ts):
+    """K3/K4: latency percentiles and input rates per batch; queryable state (2.13)."""
+    from eddy.streaming.sinks import with_latency
+    d, out, ck = str(tmp_path / "bids"), str(tmp_path / "out"), str(tmp_path / "ck")
+    write_slices(bids_ts, "date_time", d, "10 days")
+    q = run_to_parquet(SQ.sliding_count_stream(with_latency(_stream(spark, bids_ts.schema, d), "date_time"),
+                                               "60 minutes", "1 minute"), out, ck)
+    prog = [p for p in q.recentProgress if p.numInputRows > 0]
+    assert prog and all("latency" in p.observedMetrics for p in prog)
+    assert sum(p.observedMetrics["latency"]["rows"] for p in prog) == bids_ts.count()
+    assert all(p.processedRowsPerSecond >= 0 for p in prog)
+    state = ST.read_state(spark, ck)
+    assert state.count() > 0
