@@ -110,8 +110,7 @@ def test_emit_once_stream_equals_batch(spark, tmp_path, keep, dedupe, query):
     assert _rows(out) == _rows(Q.QUERIES[query](spark, SF001))
 
 
-@pytest.mark.parametrize("ttl_ms", [None, 3_600_000])
-def test_keyed_state_stream_equals_batch(spark, tmp_path, ttl_ms):
+def test_keyed_state_stream_equals_batch(spark, tmp_path, ttl_ms=None):
     ST.use_rocksdb(spark)
     ev = B.keyed_events(spark, SF001).withColumn("event_time", F.col("event_time").cast("timestamp"))
     d = str(tmp_path / "ev")
