@@ -60,3 +60,23 @@ def with_latency(df: DataFrame, ts: str, name: str = "latency") -> DataFrame:
                       F.percentile_approx(lat, 0.5).alias("p50_ms"),
                       F.percentile_approx(lat, 0.99).alias("p99_ms"),
                       F.max(lat).alias("max_ms"))
+
+
+def create_table(spark, name: str, df: DataFrame, location: str) -> None:
+    """K6 target: a parquet table with the frame's schema at a shared location."""
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet LOCATION '{location}'")
+
+
+def insert_select(spark, table: str, df: DataFrame, view: str) -> None:
+    """K6 batch form: ``INSERT INTO table SELECT * FROM view``."""
+    df.createOrReplaceTempView(view)
+    spark.sql(f"INSERT INTO {table} SELECT * FROM {view}")
+
+
+def insert_stream(df: DataFrame, table: str, checkpoint: str):
+    """K6 stream form: append every micro-batch to the table (exactly-once commit log)."""
+    q = (df.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
+           .trigger(availableNow=True).toTable(table))
+    q.awaitTermination()
+    return q

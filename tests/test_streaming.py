@@ -200,3 +200,20 @@ def test_progress_metrics_and_state_reader(spark, tmp_path, bids_ts):
     assert all(p.processedRowsPerSecond >= 0 for p in prog)
     state = ST.read_state(spark, ck)
     assert state.count() > 0
+
+
+def test_insert_into_table(spark, tmp_path):
+    """K6: INSERT INTO ... SELECT * from a view (batch) and from a stream."""
+    from eddy.streaming.sinks import create_table, insert_select, insert_stream
+    res = Q.q3_join(spark, SF001)
+    create_table(spark, "eddy_q3_sink", res, str(tmp_path / "t1"))
+    insert_select(spark, "eddy_q3_sink", res, "eddy_q3_view")
+    assert _rows(spark.table("eddy_q3_sink")) == _rows(res)
+    a = B.auctions_q3(spark, SF001).withColumn("date_time", F.col("date_time").cast("timestamp"))
+    d = str(tmp_path / "a")
+    write_slices(a, "date_time", d, "365 days")
+    create_table(spark, "eddy_auction_sink", a, str(tmp_path / "t2"))
+    insert_stream(_stream(spark, a.schema, d), "eddy_auction_sink", str(tmp_path / "ck"))
+    assert _rows(spark.table("eddy_auction_sink")) == _rows(a)
+    spark.sql("DROP TABLE eddy_q3_sink")
+    spark.sql("DROP TABLE eddy_auction_sink")
