@@ -6,9 +6,11 @@ that the guarantee checks have something to find. Nothing is sampled or capped."
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.keyed import keyed_running, time_bucket
+
 # Fixed values of the injected faults.
 REPEAT_EVERY = 50          # events with event_id % 50 = 0 arrive twice
 MISSING_WINDOW_RANK = 5    # each key loses its 5th non-empty sliding window
@@ -33,7 +35,7 @@ def repeated(ev: DataFrame) -> DataFrame:
 def drop_window(members: DataFrame, rank: int = MISSING_WINDOW_RANK, key="key", win="window_start") -> DataFrame:
     """Removes each key's ``rank``-th non-empty window (ranked on the small window table)."""
     wins = members.select(key, win).distinct()
-    wins = wins.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(win)))
+    wins = keyed_running(wins, [key], [win], time_bucket(win, "1 day"), {"_r": ("count", None)})
     gone = wins.filter(F.col("_r") == rank).select(key, win)
     return members.join(gone, [key, win], "left_anti")
 
@@ -41,7 +43,8 @@ def drop_window(members: DataFrame, rank: int = MISSING_WINDOW_RANK, key="key",
 def extra_window(members: DataFrame, slide_ms: int, size_ms: int, key="key", win="window_start") -> DataFrame:
     """Adds, per key, one window after its last one that holds its first window's events."""
     g = members.groupBy(key).agg(F.min(win).alias("_first"), F.max(win).alias("_last"))
-    old = members.join(g, [key]).filter(F.col(win) == F.col("_first"))
+    # join on (key, first window): a hot key's rows are spread by window, not sent to one task
+    old = members.join(g.withColumnRenamed("_first", win), [key, win])
     cols = [c for c in members.columns if c not in (win, "window_end")]
     new_start = F.col("_last") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(slide_ms / 1000.0).cast("decimal(18,6)"))
     new = old.select(*cols, new_start.alias(win)).withColumn(
