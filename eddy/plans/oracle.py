@@ -317,3 +317,14 @@ ORACLE["q5_panes"] = ORACLE["q5_sliding_count"]
 ORACLE["q3_join_sql"] = ORACLE["q3_join"]
 ORACLE["q5_sliding_count_sql"] = ORACLE["q5_sliding_count"]
 ORACLE["q8_window_join_sql"] = ORACLE["q8_window_join"]
+
+# Connected components as plain reachability: every vertex reaches itself, reach spreads
+# along edges (UNION removes repeats, so the recursion ends), component = least reacher.
+ORACLE["connected_components"] = """WITH RECURSIVE g AS (
+  SELECT DISTINCT o_custkey * 2 AS x, l_suppkey * 2 + 1 AS y
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
+  WHERE c_nationkey = s_nationkey),
+u AS (SELECT x, y FROM g UNION SELECT y, x FROM g),
+r(v, l) AS (SELECT DISTINCT x, x FROM u UNION SELECT u.y, r.l FROM r JOIN u ON r.v = u.x)
+SELECT v AS vertex, min(l) AS component FROM r GROUP BY v"""

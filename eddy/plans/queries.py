@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..config import Params
 from ..operators import aggregates as A
 from ..operators import checks as C
+from ..operators import graph as G
 from ..operators import joins as J
 from ..operators import text as X
 from ..operators import windows as W
@@ -237,6 +238,12 @@ def keyed_sequence(spark, d):
     return S.keyed_sequence(read_table(spark, d, "events", ["event_id"]), Params())
 
 
+# -- graph -----------------------------------------------------------------------------
+
+def connected_components(spark, d):
+    return G.connected_components(B.local_trade_graph(spark, d))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q3_join": q3_join,
     "q3_emit_once_last": q3_emit_once_last,
@@ -276,4 +283,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q3_join_sql": SQL.q3_join_sql,
     "q5_sliding_count_sql": SQL.q5_sliding_count_sql,
     "q8_window_join_sql": SQL.q8_window_join_sql,
+    "connected_components": connected_components,
 }

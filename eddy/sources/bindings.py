@@ -115,3 +115,21 @@ def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def id_bucket(col: str, width: int = 1 << 16):
     return number_bucket(col, width)
+
+
+def local_trade_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graph of customers and suppliers of the same nation linked by an order line.
+
+    Vertex ids: customer 2*c_custkey, supplier 2*s_suppkey + 1 (one id space). The
+    nation filter compares the two dimension columns after the joins; the planner
+    picks broadcast or sort-merge for customer / supplier by their measured size.
+    """
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_suppkey"])
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
+    s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
+    g = (li.join(o, li.l_orderkey == o.o_orderkey)
+           .join(c, F.col("o_custkey") == c.c_custkey)
+           .join(s, F.col("l_suppkey") == s.s_suppkey)
+           .filter(F.col("c_nationkey") == F.col("s_nationkey")))
+    return g.select((F.col("o_custkey") * 2).alias("src"), (F.col("l_suppkey") * 2 + 1).alias("dst")).distinct()
