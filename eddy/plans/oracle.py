@@ -328,3 +328,7 @@ ORACLE["connected_components"] = """WITH RECURSIVE g AS (
 u AS (SELECT x, y FROM g UNION SELECT y, x FROM g),
 r(v, l) AS (SELECT DISTINCT x, x FROM u UNION SELECT u.y, r.l FROM r JOIN u ON r.v = u.x)
 SELECT v AS vertex, min(l) AS component FROM r GROUP BY v"""
+
+# TPC-H: the same text over the same decimal views (engine agreement on exact sums).
+from . import tpch as _tpch  # noqa: E402
+ORACLE.update({k: _tpch.duckdb_text(k) for k in _tpch.TEXTS})

@@ -27,6 +27,7 @@ from ..sources import messages as M
 from ..sources import synth as S
 from ..sources.tables import read_table
 from . import sql as SQL
+from . import tpch as TPCH
 
 # Query parameters (fixed so Spark and the oracle agree).
 Q5_SIZE, Q5_SLIDE = "60 minutes", "1 minute"
@@ -284,4 +285,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q5_sliding_count_sql": SQL.q5_sliding_count_sql,
     "q8_window_join_sql": SQL.q8_window_join_sql,
     "connected_components": connected_components,
+    **TPCH.QUERIES,
 }
