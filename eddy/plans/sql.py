@@ -24,8 +24,11 @@ Q3 = """SELECT p.name, p.city, p.state, a.id AS auction_id
 FROM eddy_auction a JOIN eddy_person p ON a.seller = p.id
 WHERE p.state IN ('NATION_1', 'NATION_2', 'NATION_3')"""
 
-Q5 = """SELECT auction, window.start AS window_start, window.end AS window_end, count(*) AS num
-FROM eddy_bid GROUP BY window(date_time, '60 minutes', '1 minute'), auction"""
+# The Q5 text over any bid view: the batch view here, a watermarked streaming view in
+# ``streaming.queries.sliding_count_sql_stream`` (streaming SQL, append mode).
+Q5_OVER = """SELECT auction, window.start AS window_start, window.end AS window_end, count(*) AS num
+FROM {bid} GROUP BY window(date_time, '60 minutes', '1 minute'), auction"""
+Q5 = Q5_OVER.format(bid="eddy_bid")
 
 Q8 = """SELECT p.id, p.name, a.reserve, p.w.start AS window_start, p.w.end AS window_end
 FROM (SELECT id, name, window(date_time, '1 hour') AS w FROM eddy_person_q8) p

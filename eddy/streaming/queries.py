@@ -23,6 +23,13 @@ def sliding_count_stream(bids: DataFrame, size: str, slide: str, lateness: str =
     return W.sliding_count(watermarked(bids, "date_time", lateness), "auction", "date_time", size, slide)
 
 
+def sliding_count_sql_stream(bids: DataFrame, view: str = "eddy_bid_stream", lateness: str = "0 seconds") -> DataFrame:
+    """W3 (Q5) as streaming SQL: the batch SQL text over a watermarked streaming view."""
+    from ..plans.sql import Q5_OVER
+    watermarked(bids, "date_time", lateness).createOrReplaceTempView(view)
+    return bids.sparkSession.sql(Q5_OVER.format(bid=view))
+
+
 def session_count_stream(bids: DataFrame, gap: str, lateness: str = "0 seconds") -> DataFrame:
     """W5 (Q11): ``session_window`` in append mode (merged map-side per partition)."""
     return W.session_count(watermarked(bids, "date_time", lateness), "bidder", "date_time", gap)

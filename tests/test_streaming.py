@@ -53,6 +53,17 @@ def test_sliding_count_stream_equals_batch(spark, tmp_path, bids_ts):
     assert out.count() == batch.count() > 0
 
 
+def test_sliding_count_sql_stream_equals_batch(spark, tmp_path, bids_ts):
+    """Streaming SQL: the Q5 text over a streaming view gives the batch windows."""
+    d = str(tmp_path / "bids")
+    _replay(spark, bids_ts, "date_time", d, "5 days", {"auction": -1, "bidder": -1, "event_id": -1})
+    out = run_to_memory(SQ.sliding_count_sql_stream(_stream(spark, bids_ts.schema, d)), "w3_sql_stream")
+    out = out.filter("auction <> -1").select("auction", F.col("window_start").cast("timestamp_ntz"),
+                                             F.col("window_end").cast("timestamp_ntz"), "num")
+    assert _rows(out) == _rows(Q.QUERIES["q5_sliding_count_sql"](spark, SF001).select("auction", "window_start",
+                                                                                      "window_end", "num"))
+
+
 def test_session_stream_equals_batch(spark, tmp_path, bids_ts):
     d = str(tmp_path / "bids")
     _replay(spark, bids_ts, "date_time", d, "5 days", {"auction": -1, "bidder": -1, "event_id": -1})
