@@ -25,10 +25,8 @@ MAX_ROUNDS = 200
 
 
 def _orient(edges: DataFrame) -> DataFrame:
-    """Directed larger -> smaller, no self loops, no repeats."""
-    return (edges.filter(F.col("src") != F.col("dst"))
-                 .select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b"))
-                 .distinct())
+    """Directed larger -> smaller (self loops as a = b), no repeats."""
+    return edges.select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")).distinct()
 
 
 def large_star(e: DataFrame) -> DataFrame:
@@ -63,7 +61,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     vertex on an edge (self loops included); ``component`` is the least vertex id of its
     component."""
     checkpoint_dir(edges.sparkSession)
-    e = _orient(edges).checkpoint()
+    # the input is evaluated once: loops and proper edges both come from this checkpoint
+    base = _orient(edges).checkpoint()
+    e = base.filter(F.col("a") != F.col("b"))
     for _ in range(MAX_ROUNDS):
         if _is_star_forest(e):
             break
@@ -73,6 +73,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
     roots = e.select(F.col("b").alias("vertex"), F.col("b").alias("component")).distinct()
     labels = e.select(F.col("a").alias("vertex"), F.col("b").alias("component")).unionByName(roots)
     # a vertex whose only edges are self loops is a component of its own
-    alone = (edges.filter(F.col("src") == F.col("dst")).select(F.col("src").alias("vertex")).distinct()
-                  .join(labels, "vertex", "left_anti").select("vertex", F.col("vertex").alias("component")))
+    alone = (base.filter(F.col("a") == F.col("b")).select(F.col("a").alias("vertex"))
+                 .join(labels, "vertex", "left_anti").select("vertex", F.col("vertex").alias("component")))
     return labels.unionByName(alone)
