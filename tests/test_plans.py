@@ -39,3 +39,21 @@ def test_panes_aggregate_before_expanding(spark):
     gen = plan.index("Generate")
     assert plan.index("HashAggregate", gen) > gen
     assert "Expand" not in plan
+
+
+def test_tpch_date_filters_and_pruning_reach_lineitem_scan(spark):
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # print whole filter lists
+    try:
+        plan = _plan(E.queries()["tpch_q6"](spark, SF001))
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    assert "GreaterThanOrEqual(l_shipdate," in plan and "LessThan(l_shipdate," in plan
+    assert ("ReadSchema: struct<l_quantity:double,l_extendedprice:double,l_discount:double,"
+            "l_shipdate:timestamp_ntz>") in plan
+
+
+@pytest.mark.parametrize("key,k", [("tpch_q3", 10), ("tpch_q10", 20)])
+def test_tpch_top_k_is_per_task(spark, key, k):
+    plan = _plan(E.queries()[key](spark, SF001))
+    assert f"TakeOrderedAndProject(limit={k}," in plan
