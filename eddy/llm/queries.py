@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eddy.llm import quality_rules, toxicity
+from eddy.llm import chat, quality_rules, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -22,6 +23,34 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+URL_RULES = [url_filters.Rule(*r) for r in (
+    ("org", "/", True), ("example.org", "/es/", False), ("example.org", "/en/1", False),
+    ("com", "/fr/", True), ("com", "/de/", False))]
+
+
+@_query
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, host, path, rule, verdict, inherited for every page."""
+    return url_filters.judge(_table(spark, sf_dir, "pages"), URL_RULES, spark)
+
+
+@_query
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, and of conversation -1, read back from its format."""
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").cast(rows.schema["turn"].dataType).alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    chats = chat.format_chats(rows.unionAll(probe))
+    lines = F.transform(F.col("turns"), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return (chats.withColumn("turns", chat.read_chats(F.col("formatted")))
+            .withColumn("learnt", chat.loss_text(F.col("segments")))
+            .select("conv_id", F.size("turns").cast("long").alias("n_turns"),
+                    F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+                    F.length("learnt").cast("long").alias("loss_chars"), F.sha2("learnt", 256).alias("loss_sha256"),
+                    F.length("formatted").cast("long").alias("formatted_chars"), "valid", "bad_moves"))
+
+
 @_query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, severity (expected grade 0 to 3), p_toxic, grade, toxic for every document."""
