@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddy.llm import chat, quality_rules, toxicity, url_filters
+from eddy.llm import chat, pieces, quality_rules, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,6 +34,19 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(_table(spark, sf_dir, "pages"), URL_RULES, spark)
 
 
+def piece_model() -> str:
+    """The 32k piece model among the public tokenizers, installed at one path on all nodes."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@_query
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_tokens, ids_sha256, decoded_sha256, span_bytes of every document."""
+    return pieces.digests(_table(spark, sf_dir, "documents"), piece_model())
+
+
 @_query
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every conversation, and of conversation -1, read back from its format."""
