@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddy.llm import chat, pieces, quality_rules, sketch, toxicity, url_filters
+from eddy.llm import chat, mixing, pieces, quality_rules, sketch, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,6 +34,12 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(_table(spark, sf_dir, "pages"), URL_RULES, spark)
 
 
+@_query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target, copies, taken for every document."""
+    return mixing.mix(_table(spark, sf_dir, "documents"), spark)
+
+
 @_query
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketch of every document and of its edited text, and their likeness."""
