@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddy.llm import chat, mixing, pieces, quality_rules, sketch, toxicity, url_filters
+from eddy.llm import chat, mixing, pieces, quality_rules, sketch, toxicity, url_filters, warc
+from eddy.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -40,6 +41,16 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), spark)
 
 
+@_query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC files and read back: page_id, payload_bytes,
+    payload_digest, record_type, refers_to."""
+    folder = Scratch(spark, "archive").path("warc")
+    manifests = warc.write(_table(spark, sf_dir, "pages"), folder, spark)
+    return warc.read(manifests, folder, payloads=False).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @_query
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketch of every document and of its edited text, and their likeness."""
