@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddy.llm import chat, mixing, pieces, quality_rules, sketch, toxicity, url_filters, warc
+from eddy.llm import chat, mixing, parity_join, pieces, quality_rules, sketch, toxicity, url_filters, warc
 from eddy.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,12 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(_table(spark, sf_dir, "pages"), URL_RULES, spark)
 
 
+@_query
+def op2_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_shingles, component_id for every document."""
+    return parity_join.classes(_table(spark, sf_dir, "documents"), spark)
+
+
 @_query
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target, copies, taken for every document."""
