@@ -81,6 +81,16 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def parts(column: pa.Array, limit: int = 4 << 20):
+    """(start, stop) of runs of texts of about ``limit`` bytes (at least one text each)."""
+    _, offsets = text_bytes(column)
+    at, n = 0, len(column)
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+        yield at, to
+        at = to
+
+
 def words(column, lower: bool = True, hashes: bool = True, gaps: np.ndarray = SPACE,
           heads: tuple[int, ...] = ()) -> Words:
     """Find (and hash) the words of every text; A-Z are lower-cased first when asked.

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eddy.llm import textkernel as K
+from eddy.llm.scratch import Scratch
 
 HEADS = (4, 5, 6, 7, 8)
 
@@ -38,6 +39,21 @@ def _occurrences(text: pa.Array) -> tuple[np.ndarray, np.ndarray, list[np.ndarra
     return w.first, of, [w.hash, *w.heads.values()]
 
 
+def _hits(of: np.ndarray, hashes: list[np.ndarray], keys: np.ndarray):
+    """(text, index into sorted ``keys``, how often) for every key that a text holds."""
+    maybe = np.zeros(1 << 16, dtype=bool)
+    maybe[keys & K.U(0xFFFF)] = True
+    p = max(len(keys), 1)
+    found = [np.zeros(0, dtype=np.int64)]
+    for h in hashes if len(keys) else []:
+        hit = np.flatnonzero(maybe[h & K.U(0xFFFF)])
+        i = np.minimum(np.searchsorted(keys, h[hit]), p - 1)
+        same = keys[i] == h[hit]
+        found.append(of[hit[same]] * p + i[same])
+    pairs, times = np.unique(np.concatenate(found), return_counts=True)
+    return pairs // p, pairs % p, times
+
+
 @dataclass(frozen=True)
 class Severity:
     keys: np.ndarray       # sorted feature hashes with a weight
@@ -46,28 +62,27 @@ class Severity:
     cut: float             # P(grade >= 1) from which a document counts as toxic
 
     def linear(self, text: pa.Array) -> np.ndarray:
+        return np.concatenate([np.zeros(0), *(self._part(text.slice(a, b - a)) for a, b in K.parts(text))])
+
+    def _part(self, text: pa.Array) -> np.ndarray:
         first, of, hashes = _occurrences(text)
         out, n_words = np.zeros(len(first) - 1), np.diff(first)
         if not len(self.keys):
             return out
-        maybe = np.zeros(1 << 16, dtype=bool)
-        maybe[self.keys & K.U(0xFFFF)] = True
-        p = len(self.keys)
-        found = []
-        for h in hashes:
-            hit = np.flatnonzero(maybe[h & K.U(0xFFFF)])
-            i = np.minimum(np.searchsorted(self.keys, h[hit]), p - 1)
-            same = self.keys[i] == h[hit]
-            found.append(of[hit[same]] * p + i[same])
-        pairs, times = np.unique(np.concatenate(found), return_counts=True)
-        value = _density(times, n_words[pairs // p])
-        return out + np.bincount(pairs // p, weights=self.weights[pairs % p] * value, minlength=len(out))
+        text_of, key, times = _hits(of, hashes, self.keys)
+        value = self.weights[key] * _density(times, n_words[text_of])
+        return out + np.bincount(text_of, weights=value, minlength=len(out))
 
     def at_least(self, text: pa.Array) -> np.ndarray:
         """P(grade >= k) for k = 1..K, one row per text."""
         return _sigmoid(self.linear(text)[:, None] - self.thresholds[None, :])
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield from (b.slice(x, y - x) for x, y in K.parts(b.column(1)))
+
+
 def _density(times, n_words):
     return np.log1p(100.0 * times / (n_words + 50.0))
 
@@ -124,66 +139,78 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         picked = part if picked is None else picked.unionAll(part)
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _small(batches):
             first, _, hashes = _occurrences(b.column(1))
-            bags = [np.unique(np.concatenate([h[s:e] for h in hashes]), return_counts=True)
-                    for s, e in zip(first[:-1], first[1:])]
+            sets = [np.unique(np.concatenate([h[s:e] for h in hashes])) for s, e in zip(first[:-1], first[1:])]
+            ends = np.cumsum([0, *(len(x) for x in sets)]).astype(np.int32)
+            marks = np.array([K.mix(x).sum(dtype=np.uint64) for x in sets], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), pa.array(np.diff(first)),
-                 pa.array([k.astype("<u8").tobytes() for k, _ in bags], type=pa.binary()),
-                 pa.array([c.astype("<u4").tobytes() for _, c in bags], type=pa.binary())],
-                names=["id", "y", "words", "f", "c"])
-
-    got = (sample.select("id", "text", "y").mapInArrow(rows, "id long, y int, words long, f binary, c binary")
-           .toArrow())
-    return _fit_bags(*(got.column(k).to_numpy() for k in ("id", "y", "words")),
-                     [np.frombuffer(f, dtype="<u8") for f in got.column("f").to_pylist()],
-                     [np.frombuffer(c, dtype="<u4") for c in got.column("c").to_pylist()], grades, max_features)
-
-
-def _fit_bags(ids, y, n_words, sets, times, grades: int, max_features: int) -> Severity | None:
-    seen, keep = set(), []
-    for i in np.argsort(ids, kind="stable"):  # one row for each distinct set: copies must not weigh more
-        k = (int(y[i]), sets[i].tobytes())
-        if len(sets[i]) and k not in seen:
-            seen.add(k)
-            keep.append(i)
-    y, n_words = np.array([y[i] for i in keep], dtype=np.int64), np.array([n_words[i] for i in keep])
-    sets, times = [sets[i] for i in keep], [times[i] for i in keep]
-    toxic = int((y > 0).sum())
-    if not toxic or toxic == len(y):
+                [b.column(0), b.column(2), pa.array(marks.view(np.int64)),
+                 pa.ListArray.from_arrays(ends, np.concatenate(sets).view(np.int64))], names=["id", "y", "mark", "keys"])
+
+    # One row for each distinct set of words: groups of copies must not weigh more.
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    held = scratch.table(sample.select("id", "text", "y").mapInArrow(
+        bags, "id long, y int, mark long, keys array<long>"), "bags")
+    one = held.where(F.size("keys") > 0).groupBy("y", "mark").agg(F.min("id").alias("id"))
+    one = scratch.table(one.groupBy("id", "y").agg(F.min("mark").alias("mark")), "one")
+    total = {r["y"]: r["n"] for r in one.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    toxic, clean = total.get(1, 0), total.get(0, 0)
+    if not toxic or not clean:
         return None
-    keys, back = np.unique(np.concatenate(sets), return_inverse=True)
-    of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    a = np.bincount(back[y[of] > 0], minlength=len(keys))
-    b = np.bincount(back[y[of] == 0], minlength=len(keys))
-    odds = np.log((a + 0.5) / (toxic + 1)) - np.log((b + 0.5) / (len(y) - toxic + 1))
-    # Few features carry the signal: those of the largest likelihood ratio against "as
-    # frequent in toxic rows as in the rest", beyond what chance gives the best of so many.
-    share = (a + b) / len(y)
-    evidence = 2 * (a * np.log(np.maximum(a, 1) / (toxic * share)) + b * np.log(np.maximum(b, 1) / ((len(y) - toxic) * share)))
-    evidence[(odds <= 0) | (a < 4)] = 0.0
-    best = np.lexsort([keys, -evidence])[:max_features]
-    chosen = np.sort(best[evidence[best] > 2 * np.log(len(keys))])
-    place = np.full(len(keys), -1)
-    place[chosen] = np.arange(len(chosen))
-    at = place[back]
-    x = np.zeros((len(sets), len(chosen)), dtype=np.float32)
-    x[of[at >= 0], at[at >= 0]] = _density(np.concatenate(times), n_words[of])[at >= 0]
-    marker = (odds > 3.0) & (a >= 5)
-    hits = np.concatenate(times) * marker[back]
-    dense = np.bincount(of, weights=hits, minlength=len(sets)) / (n_words + 50.0)
+    picked = _features(held.join(F.broadcast(one), ["id", "y", "mark"]), toxic, clean, max_features)
+    scratch.drop(held)
+    keys = np.sort(np.array([r["key"] for r in picked], dtype=np.int64).view(np.uint64))
+    marker = np.array(sorted(r["key"] for r in picked if r["marker"]), dtype=np.int64).view(np.uint64)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _small(batches):
+            first, of, hashes = _occurrences(b.column(1))
+            text, key, times = _hits(of, hashes, keys)
+            x = np.zeros((b.num_rows, len(keys)), dtype=np.float32)
+            x[text, key] = _density(times, np.diff(first)[text])
+            hits = np.bincount(text, weights=times * np.isin(keys, marker)[key], minlength=b.num_rows)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(2), pa.array(hits / (np.diff(first) + 50.0)),
+                 pa.array([r.tobytes() for r in x], type=pa.binary())], names=["id", "y", "dense", "x"])
+
+    got = (sample.join(F.broadcast(one), ["id", "y"]).select("id", "text", "y")
+           .mapInArrow(rows, "id long, y int, dense double, x binary").toArrow())
+    x = np.frombuffer(b"".join(got.column("x").to_pylist()), dtype=np.float32).reshape(got.num_rows, len(keys))
+    ids, y, dense = (got.column(k).to_numpy() for k in ("id", "y", "dense"))
+    order = np.lexsort([dense, ids])
+    return _fit(x[order], y[order], dense[order], keys, grades)
+
+
+def _features(bags: DataFrame, toxic: int, clean: int, most: int):
+    """(key, marker) of the features that carry signal: those of the largest likelihood
+    ratio against "as frequent in toxic rows as in the rest", beyond what chance gives
+    the best of so many."""
+    seen = (bags.select("y", F.explode("keys").alias("key")).groupBy("key")
+            .agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")))
+    a, b, n = F.col("a"), F.col("b"), toxic + clean
+    odds = F.log((a + 0.5) / (toxic + 1)) - F.log((b + 0.5) / (clean + 1))
+    share = (a + b) / n
+    ratio = 2 * (a * F.log(a / (toxic * share)) + F.when(b > 0, b * F.log(b / (clean * share))).otherwise(0.0))
+    return (seen.where(a >= 4).select("key", "a", odds.alias("odds"), ratio.alias("ratio"))
+            .where((F.col("odds") > 0) & (F.col("ratio") > 30.0))
+            .orderBy(F.desc("ratio"), "key").limit(most)
+            .select("key", ((F.col("odds") > 3.0) & (F.col("a") >= 5)).alias("marker")).collect())
+
+
+def _fit(x, y, dense, keys, grades: int) -> Severity:
     bounds = np.quantile(dense[y > 0], np.arange(1, grades) / grades)
     grade = np.where(y > 0, 1 + np.searchsorted(bounds, dense, side="left"), 0)
-    weight = np.where(y > 0, 0.5 / toxic, 0.5 / (len(y) - toxic))
+    weight = np.where(y > 0, 0.5 / (y > 0).sum(), 0.5 / (y == 0).sum())
     hold = np.arange(len(y)) % 4 == 0
-    w, t = fit_ordinal(x[~hold], grade[~hold], weight[~hold], grades)
-    p = _sigmoid(x[hold] @ w - t[0])
-    cut = _cut(p, y[hold] > 0)
+    cut = 0.5
+    if 0 < (y[~hold] > 0).sum() < (~hold).sum():
+        w, t = fit_ordinal(x[~hold], grade[~hold], weight[~hold], grades)
+        cut = _cut(_sigmoid(x[hold] @ w - t[0]), y[hold] > 0)
     w, t = fit_ordinal(x, grade, weight, grades)
     used = np.flatnonzero(w)
-    return Severity(keys[chosen][used], w[used], t, cut)
+    return Severity(keys[used], w[used], t, cut)
 
 
 def _cut(p: np.ndarray, toxic: np.ndarray) -> float:
