@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddy.llm import chat, mixing, parity_join, pieces, quality_rules, sketch, toxicity, url_filters, warc
+from eddy.llm import chat, mixing, parity_join, pieces, quality_rules, recurrent_lm, sketch, toxicity, url_filters, warc
 from eddy.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,12 @@ def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(_table(spark, sf_dir, "documents"), piece_model())
 
 
+@_query
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document by the recurrent model and by word counts."""
+    return recurrent_lm.scores(_table(spark, sf_dir, "documents"), spark)
+
+
 @_query
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every conversation, and of conversation -1, read back from its format."""

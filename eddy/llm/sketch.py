@@ -73,12 +73,22 @@ def fingerprint(s: Column) -> Column:
     return F.array_join(F.transform(s, lambda h: F.lower(F.hex(h))), " ")
 
 
-def _bucket(key: Column, bounds: list[int]) -> Column:
+def id_bounds(df: DataFrame, id_col: str, weight: Column, bucket_bytes: int) -> list[int]:
+    """Sorted least ids of ranges of about ``bucket_bytes`` each (sampled; nulls left out)."""
+    total = df.agg(F.sum(weight).alias("w"), F.count(id_col).alias("n")).first()
+    if not total["n"]:
+        return []
+    count = max(1, min(MOST_BUCKETS, total["n"], math.ceil((total["w"] or 0) / bucket_bytes)))
+    ids = df.select(F.col(id_col).alias("k")).where(F.col("k").isNotNull()).repartitionByRange(count, "k")
+    return sorted({r["low"] for r in ids.groupBy(F.spark_partition_id()).agg(F.min("k").alias("low")).collect()})
+
+
+def bucket_of(key: Column, bounds: list[int]) -> Column:
     """How many of the sorted bounds are at or below the key (0 for a null key), by
     halving steps over an array literal."""
     if not bounds:
         return F.lit(0)
-    values = F.array(*[F.lit(int(b)) for b in bounds]) if len(bounds) < 64 else F.lit([int(b) for b in bounds])
+    values = F.lit(bounds)
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
     return F.aggregate(steps, F.lit(0), lambda pos, s: F.when(
         (pos + s <= len(bounds)) & (F.get(values, pos + s - 1) <= key), pos + s).otherwise(pos))
@@ -92,15 +102,10 @@ def with_next(df: DataFrame, id_col: str, carried: Column, name: str, weight: Co
     One shuffle of the rows: ids are cut into ranges of about ``bucket_bytes`` at sampled
     bounds, the first row of each range is put behind the last one of the range before.
     """
-    total = df.agg(F.sum(weight).alias("w"), F.count(id_col).alias("n")).first()
-    if total["w"] is None:
-        return df.withColumn(name, carried)
-    count = max(1, min(MOST_BUCKETS, total["n"], math.ceil(total["w"] / bucket_bytes)))
-    ids = df.select(F.col(id_col).alias("k")).where(F.col("k").isNotNull()).repartitionByRange(count, "k")
-    bounds = sorted({r["low"] for r in ids.groupBy(F.spark_partition_id()).agg(F.min("k").alias("low")).collect()})
-    rows = df.withColumn("_c", carried).withColumn("_b", _bucket(F.col(id_col), bounds))
-    low = F.array(F.lit(None).cast("bigint"), *[F.lit(int(b)) for b in bounds]) if len(bounds) < 64 else F.concat(
-        F.array(F.lit(None).cast("bigint")), F.lit([int(b) for b in bounds]).cast("array<bigint>"))
+    bounds = id_bounds(df, id_col, weight, bucket_bytes)
+    rows = df.withColumn("_c", carried).withColumn("_b", bucket_of(F.col(id_col), bounds))
+    low = F.concat(F.array(F.lit(None).cast("bigint")), F.lit(bounds).cast("array<bigint>")) if bounds else F.array(
+        F.lit(None).cast("bigint"))
     heads = rows.where(F.col(id_col).eqNullSafe(F.get(low, F.col("_b")))).groupBy("_b").agg(F.min("_c").alias("_c"))
     first = 0 if rows.where(F.col(id_col).isNull()).limit(1).count() else 1
     before = F.when(F.col("_b") == first, F.lit(len(bounds))).otherwise(F.col("_b") - 1)
