@@ -365,8 +365,14 @@ def classes(docs: DataFrame, spark: SparkSession, id_col: str = "doc_id", text_c
 
 def keep_one(docs: DataFrame, spark: SparkSession, id_col: str = "doc_id", text_col: str = "text",
              percent: int = 75) -> DataFrame:
-    """``docs`` with one document of each component, the one of the least id. Rows of an
-    id that is repeated stay; rows with a null id stay."""
-    found = classes(docs, spark, id_col, text_col, percent)
-    gone = Scratch(spark, "copies").table(found.where(F.col("component_id") != F.col(id_col)).select(id_col).distinct(), "gone")
-    return docs.join(gone, id_col, "left_anti")
+    """``docs`` with one document of each component, the one of the least id (of several
+    rows of that id the first in order of text). Rows with a null id stay."""
+    join, scratch = Join(docs, spark, id_col, text_col, percent), Scratch(spark, "copies")
+    found = join.labels()
+    gone = scratch.table(found.where(F.col("component_id") != F.col("id")).select(F.col("id").alias(id_col)).distinct(), "gone")
+    again = scratch.table(join.sizes.where("id is not null").groupBy(F.col("id").alias(id_col)).agg(F.count("*").alias("n"))
+                          .where("n > 1").select(id_col), "again")
+    left = docs.join(gone, id_col, "left_anti")
+    first = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))
+    one = left.join(again, id_col, "left_semi").withColumn("_first", first).where("_first = 1")
+    return left.join(again, id_col, "left_anti").select(docs.columns).unionAll(one.select(docs.columns))
