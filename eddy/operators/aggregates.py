@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..plans.keyed import keyed_running
 from .records import complex_payload, flatten_payload
 
-# Events per part of a growing state (a hard bound on every group).
+# Events per part of a growing state: part of the operators' contract (a key's state is
+# its parts in order), and a hard bound on every group.
 PART_EVENTS = 1000
 
 
@@ -79,11 +80,36 @@ def final_nested_latest(ev: DataFrame, tag: str, key="key", seq="sequence_number
     return g.select(key, *flatten_payload("state"))
 
 
-def with_running_count(df: DataFrame, key: str, order: list[str], bucket, name: str = "n") -> DataFrame:
+def with_running_count(df: DataFrame, key: str, order: list[str], name: str = "n") -> DataFrame:
     """A2 change log: each input emits its key's new total (running keyed sum of 1s)."""
-    return keyed_running(df, [key], order, bucket, {name: ("count", None)})
+    return keyed_running(df, [key], order, {name: ("count", None)})
 
 
-def with_running_sum(df: DataFrame, key: str, value: str, order: list[str], bucket, name: str = "total") -> DataFrame:
+def with_running_sum(df: DataFrame, key: str, value: str, order: list[str], name: str = "total") -> DataFrame:
     """A2/A3 with a value: running keyed sum (reduce by +)."""
-    return keyed_running(df, [key], order, bucket, {name: ("sum", F.col(value))})
+    return keyed_running(df, [key], order, {name: ("sum", F.col(value))})
+
+
+def with_first(df: DataFrame, key: str, order: list[str], payload: str = "payload") -> DataFrame:
+    """A4 change log: every event passes on with the value its key's state holds after it."""
+    return keyed_running(df, [key], order, {"state": ("first", F.col(payload))})
+
+
+def with_last(df: DataFrame, key: str, order: list[str], payload: str = "payload") -> DataFrame:
+    """A5 change log: every event passes on with the state before it (read) and after it
+    (blind write)."""
+    return keyed_running(df, [key], order, {"before": ("prev", F.col(payload)), "state": ("last", F.col(payload))})
+
+
+def with_nested_latest(df: DataFrame, tag: str, key: str, order: list[str], seq: str = "sequence_number") -> DataFrame:
+    """A9 change log: every event passes on with the nested record it replaces."""
+    r = keyed_running(df, [key], order, {"_before": ("prev", complex_payload(tag))})
+    return r.select(*df.columns, F.col("_before.str_payload").alias("before_tag"),
+                    F.col(f"_before.inner_payload.{seq}").alias("before_sequence"))
+
+
+def append_log(df: DataFrame, key: str, order: list[str], payload: str = "payload") -> DataFrame:
+    """A6-A8 change log: the growing state as an append log. Each event passes on with its
+    position in its key's state; the concatenation, list or map after an event is the log
+    up to its position, so no row holds a history."""
+    return keyed_running(df, [key], order, {"position": ("count", None)}).select(*df.columns, "position")

@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import ALERT
-from ..plans.keyed import keyed_running, time_bucket
+from ..plans.keyed import keyed_running
 
 
-def sequence_check(ev: DataFrame, mode: str, order: list[str], bucket: str, key="key",
-                   seq="sequence_number", ts="event_time") -> DataFrame:
+def sequence_check(ev: DataFrame, mode: str, order: list[str], key="key",
+                   seq="sequence_number") -> DataFrame:
     """C1 (``exactly_once``: next - previous must be 1) and C2 (``at_least_once``: at
     most 1). The previous value starts at 0 and moves on after an alert."""
-    r = keyed_running(ev, [key], order, time_bucket(ts, bucket), {"_prev": ("prev", F.col(seq))})
+    r = keyed_running(ev, [key], order, {"_prev": ("prev", F.col(seq))})
     prev = F.coalesce(F.col("_prev"), F.lit(0)).cast("bigint")
     d = F.col(seq) - prev
     bad = d != 1 if mode == "exactly_once" else d > 1
@@ -35,17 +35,13 @@ def window_contiguity(members: DataFrame, key="key", win="window_start", seq="se
         key, win, F.col("_p").alias("previous"), F.col(seq).alias("sequence_number"))
 
 
-WINDOW_TABLE_BUCKET = "1 day"
-
-
 def _window_table(members: DataFrame, key, win, seq) -> DataFrame:
     """One row per non-empty (key, window): rank among the key's windows, the window's
-    last sequence, the largest last sequence of all earlier windows. A key with very
+    last sequence, the largest last sequence of all earlier windows, the next window. A key with very
     many windows (short slides) is split by the keyed scan."""
     wins = members.groupBy(key, win).agg(F.max(seq).alias("wmax"))
-    r = keyed_running(wins, [key], [win], time_bucket(win, WINDOW_TABLE_BUCKET),
-                      {"wrank": ("count", None), "mprev": ("max_before", F.col("wmax"))})
-    return r.select(key, win, "wmax", "wrank", "mprev")
+    return keyed_running(wins, [key], [win], {
+        "wrank": ("count", None), "mprev": ("max_before", F.col("wmax")), "wnext": ("next", F.col(win))})
 
 
 def _sightings(members: DataFrame, factor: int, key, win, seq) -> tuple[DataFrame, DataFrame]:
@@ -65,11 +61,11 @@ def missed_window(members: DataFrame, factor: int, key="key", win="window_start"
     """C4: an event tracked since its first window is absent from the key's next
     non-empty window before it was seen ``factor`` times. Reports how often it was seen
     and the window that missed it."""
-    x, wins = _sightings(members, factor, key, win, seq)
-    ev = x.filter(F.col("_rn") == 1).filter(F.col("_tracked") & (F.col("_run") < factor)).select(
-        key, seq, F.col("_run").alias("seen"), (F.col("_r1") + F.col("_run")).alias("_miss"))
-    j = ev.join(wins.select(key, F.col("wrank").alias("_miss"), F.col(win).alias("missed_window")), [key, "_miss"])
-    return j.select(key, F.col(seq).alias("sequence_number"), F.col("seen").cast("bigint"), "missed_window")
+    x, _ = _sightings(members, factor, key, win, seq)
+    # the last sighting of the first run; the key's next window is the one that missed it
+    ev = x.filter((F.col("_rn") == F.col("_run")) & F.col("_tracked") & (F.col("_run") < factor) & F.col("wnext").isNotNull())
+    return ev.select(key, F.col(seq).alias("sequence_number"), F.col("_run").cast("bigint").alias("seen"),
+                     F.col("wnext").alias("missed_window"))
 
 
 def seen_too_often(members: DataFrame, factor: int, key="key", win="window_start", seq="sequence_number") -> DataFrame:
@@ -88,11 +84,11 @@ def sequence_went_back(members: DataFrame, key="key", win="window_start", seq="s
         key, win, F.col("wmax").alias("last_sequence"), F.col("mprev").alias("seen_so_far"))
 
 
-def state_tag_check(states: DataFrame, operator_name: str, order: list[str], bucket: str, key="key",
-                    seq="sequence_number", tag="str_payload", ts="event_time") -> DataFrame:
+def state_tag_check(states: DataFrame, operator_name: str, order: list[str], key="key",
+                    seq="sequence_number", tag="str_payload") -> DataFrame:
     """When the key's previous state belongs to the previous sequence number, its tag
     must be this operator's name (state restored into the wrong operator otherwise)."""
-    r = keyed_running(states, [key], order, time_bucket(ts, bucket),
+    r = keyed_running(states, [key], order,
                       {"_ptag": ("prev", F.col(tag)), "_pseq": ("prev", F.col(seq))})
     bad = F.col("_ptag").isNotNull() & (F.col("_ptag") != operator_name) & (F.col("_pseq") == F.col(seq) - 1)
     return r.filter(bad).select(key, F.col(seq).alias("sequence_number"),
@@ -101,11 +97,11 @@ def state_tag_check(states: DataFrame, operator_name: str, order: list[str], buc
 
 def reconcile(expected: DataFrame, actual: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Compare expected and actual key -> value sets: ``missing`` (expected only),
-    ``unexpected`` (actual only), ``wrong_value`` (both, different). Matches are dropped."""
-    e = expected.select(*keys, F.col(value).alias("expected"))
-    a = actual.select(*keys, F.col(value).alias("actual"))
+    ``unexpected`` (actual only), ``wrong_value`` (both, different). Matches are dropped. A key that is
+    present with a null value is present."""
+    e = expected.select(*keys, F.col(value).alias("expected"), F.lit(True).alias("_e"))
+    a = actual.select(*keys, F.col(value).alias("actual"), F.lit(True).alias("_a"))
     j = e.join(a, keys, "full_outer")
-    status = (F.when(F.col("actual").isNull() & F.col("expected").isNotNull(), "missing")
-               .when(F.col("expected").isNull() & F.col("actual").isNotNull(), "unexpected")
+    status = (F.when(F.col("_a").isNull(), "missing").when(F.col("_e").isNull(), "unexpected")
                .when(~F.col("expected").eqNullSafe(F.col("actual")), "wrong_value"))
     return j.select(*keys, "expected", "actual", status.alias("status")).filter(F.col("status").isNotNull())

@@ -1,15 +1,15 @@
-"""Connected components of an undirected edge list, by alternating large-star and
-small-star rounds (Kiveris et al., "Connected Components in MapReduce and Beyond",
-SoCC 2014).
-
-Every round is a handful of grouped minimums and equi-joins over the edge list; the
-edge list never grows (each vertex emits at most one edge per input edge), no vertex's
-neighbourhood is ever collected, and the number of rounds is O(log^2 n). A hub vertex
-holding a third of the edges is one group of a partially aggregated ``min`` and one
-skewed join partition that AQE splits; nothing is gathered into one task.
-
-Each round's edge list is checkpointed to the session's ``spark.checkpoint.dir``, so
-lineage stays one round long and a lost executor recomputes at most one round.
+"""Connected components by hooking to the least neighbour and contracting.
+
+Each round every node of the remaining edges points to the least of itself and its
+neighbours, follows that pointer once more, and the edges are rewritten between what
+their ends point to; loops and repeats go. Edges vanish in a number of rounds that is
+logarithmic in practice: nodes are compared by a hash, so no order of the ids makes long
+chains. Rounds go on until no edge is left.
+
+A hub's edges meet by ``groupBy(...).min`` (combined before the shuffle); every join is
+between tables read back from the shared folder, one of them with a row per key, so that
+adaptive execution splits a hub's partition. Superseded tables are deleted; nothing but an
+emptiness test reaches the driver.
 """
 
 from __future__ import annotations
@@ -17,62 +17,60 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
-
-# A guard, not a cap: convergence is guaranteed; more rounds than this means a bug,
-# and the operator raises instead of returning a partial labelling.
-MAX_ROUNDS = 200
-
-
-def _orient(edges: DataFrame) -> DataFrame:
-    """Directed larger -> smaller (self loops as a = b), no repeats."""
-    return edges.select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")).distinct()
-
-
-def large_star(e: DataFrame) -> DataFrame:
-    """Each vertex u links every larger neighbour to the least of u and its neighbours."""
-    both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
-        e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return (both.filter(F.col("v") > F.col("u")).join(m, "u")
-                .select(F.col("v").alias("a"), F.col("m").alias("b")).distinct())
-
-
-def small_star(e: DataFrame) -> DataFrame:
-    """Each vertex u links itself and its smaller neighbours to the least of them."""
-    m = e.groupBy("a").agg(F.min("b").alias("m"))
-    em = e.join(m, "a")
-    return (em.select(F.col("b").alias("a"), F.col("m").alias("b"))
-              .unionByName(m.select("a", F.col("m").alias("b")))
-              .filter(F.col("a") != F.col("b")).distinct())
-
-
-def _is_star_forest(e: DataFrame) -> bool:
-    """Every vertex has at most one outgoing edge, and no vertex has both an outgoing and
-    an incoming edge (every edge points at a root). One grouped pass over the edges."""
-    ends = e.select(F.col("a").alias("v"), F.lit(1).alias("o"), F.lit(0).alias("i")).unionByName(
-        e.select(F.col("b").alias("v"), F.lit(0).alias("o"), F.lit(1).alias("i")))
-    deg = ends.groupBy("v").agg(F.sum("o").alias("o"), F.sum("i").alias("i"))
-    return deg.filter((F.col("o") > 1) | ((F.col("o") > 0) & (F.col("i") > 0))).isEmpty()
+from ..scratch import Scratch
+
+
+def contract(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, root) for every node of ``edges`` (u, v: long, not null) that has a
+    neighbour. The root is some node of the component, the same for all of them."""
+    def tidy(e: DataFrame) -> DataFrame:
+        return (e.where(F.col("u") != F.col("v"))
+                .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+
+    rest = scratch.table(tidy(edges), "edges")
+    labels = None
+    while not rest.isEmpty():
+        both = rest.unionAll(rest.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        hook = scratch.table(both.groupBy("u").agg(F.min("v").alias("m"))
+                             .select("u", F.least("u", "m").alias("m")), "hook")
+        jump = scratch.table(
+            hook.alias("a").join(hook.alias("b"), F.col("a.m") == F.col("b.u"))
+            .select(F.col("a.u").alias("u"), F.col("b.m").alias("m")), "jump")
+        if labels is None:
+            new = scratch.table(jump.select(F.col("u").alias("node"), F.col("m").alias("root")), "labels")
+        else:
+            new = scratch.table(
+                labels.alias("l").join(jump.alias("j"), F.col("l.root") == F.col("j.u"), "left")
+                .select("node", F.coalesce("j.m", "l.root").alias("root")), "labels")
+            scratch.drop(labels)
+        labels = new
+        half = scratch.table(rest.alias("e").join(jump.alias("j"), F.col("e.u") == F.col("j.u"))
+                             .select(F.col("j.m").alias("u"), F.col("e.v").alias("v")).distinct(), "half")
+        smaller = scratch.table(tidy(
+            half.alias("e").join(jump.alias("j"), F.col("e.v") == F.col("j.u"))
+            .select(F.col("e.u").alias("u"), F.col("j.m").alias("v"))), "edges")
+        scratch.drop(hook, jump, half, rest)
+        rest = smaller
+    if labels is None:
+        labels = rest.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return labels
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """``edges(src, dst)`` (non-null vertex ids) -> ``(vertex, component)`` for every
-    vertex on an edge (self loops included); ``component`` is the least vertex id of its
-    component."""
-    checkpoint_dir(edges.sparkSession)
-    # the input is evaluated once: loops and proper edges both come from this checkpoint
-    base = _orient(edges).checkpoint()
-    e = base.filter(F.col("a") != F.col("b"))
-    for _ in range(MAX_ROUNDS):
-        if _is_star_forest(e):
-            break
-        e = small_star(large_star(e)).checkpoint()
-    else:
-        raise RuntimeError("connected components did not converge")
-    roots = e.select(F.col("b").alias("vertex"), F.col("b").alias("component")).distinct()
-    labels = e.select(F.col("a").alias("vertex"), F.col("b").alias("component")).unionByName(roots)
+    """``edges(src, dst)`` (rows with a null end are ignored) -> ``(vertex, component)``
+    for every vertex on an edge (self loops included); ``component`` is the least vertex id
+    of its component.
+
+    Nodes are numbered by a hash while contracting; two ids of one hash would be taken for
+    one node, which 64 bits make no matter of practice."""
+    scratch = Scratch(edges.sparkSession, "components")
+    base = scratch.table(edges.select("src", "dst").dropna(), "input")
+    ids = scratch.table(base.select(F.col("src").alias("vertex")).unionAll(base.select(F.col("dst").alias("vertex")))
+                        .distinct().select("vertex", F.xxhash64("vertex").alias("node")), "ids")
+    labels = contract(base.select(F.xxhash64("src").alias("u"), F.xxhash64("dst").alias("v")), scratch)
     # a vertex whose only edges are self loops is a component of its own
-    alone = (base.filter(F.col("a") == F.col("b")).select(F.col("a").alias("vertex"))
-                 .join(labels, "vertex", "left_anti").select("vertex", F.col("vertex").alias("component")))
-    return labels.unionByName(alone)
+    named = scratch.table(ids.join(labels, "node", "left")
+                          .select("vertex", F.coalesce("root", "node").alias("root")), "named")
+    least = scratch.table(named.groupBy("root").agg(F.min("vertex").alias("component")), "least")
+    scratch.drop(base, ids)
+    return named.join(least, "root").select("vertex", "component")

@@ -10,61 +10,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import flat_window
-from ..plans.keyed import keyed_running, time_bucket
+from ..plans.keyed import keyed_running
 
 PERSON_FIELDS = ["name", "city", "state"]
-JOIN_BUCKET = "30 days"
 
 
 def incremental_join(auctions: DataFrame, persons: DataFrame) -> DataFrame:
     """Every (auction, person) pair with person.id = auction.seller; both sides kept
     for ever. A hot seller is split by AQE's skew-join handling (sort-merge join)."""
-    j = auctions.join(persons, auctions.seller == persons.id)
-    return j.select(persons.name, persons.city, persons.state, auctions.id.alias("auction_id"))
+    a, p = auctions.alias("a"), persons.alias("p")
+    return a.join(p, F.col("a.seller") == F.col("p.id")).select(
+        "p.name", "p.city", "p.state", F.col("a.id").alias("auction_id"))
 
 
 def _with_copy(df: DataFrame) -> DataFrame:
     return df if "copy" in df.columns else df.withColumn("copy", F.lit(0))
 
 
-def first_person(persons: DataFrame) -> DataFrame:
-    """Each key's first person in arrival order: one row per id (partial aggregation)."""
-    p = _with_copy(persons)
-    return p.groupBy("id").agg(
-        F.min_by(F.struct(*PERSON_FIELDS), F.struct("date_time", "copy")).alias("person"))
+def _arrivals(auctions: DataFrame, persons: DataFrame) -> DataFrame:
+    """Both inputs as one tagged table of arrivals, persons before auctions on a tie."""
+    p, a = _with_copy(persons), _with_copy(auctions)
+    person = F.struct(*PERSON_FIELDS)
+    kind = p.select(person).schema[0].dataType
+    return (p.select(F.col("id").alias("k"), "date_time", F.lit(0).alias("side"), F.col("id").alias("rid"), "copy",
+                     person.alias("person"))
+             .unionByName(a.select(F.col("seller").alias("k"), "date_time", F.lit(1).alias("side"),
+                                   F.col("id").alias("rid"), "copy", F.lit(None).cast(kind).alias("person"))))
 
 
-def emit_once_first(auctions: DataFrame, persons: DataFrame) -> DataFrame:
-    """A stored person is never replaced, so every auction meets its key's first person."""
-    fp = first_person(persons)
-    j = auctions.join(fp, auctions.seller == fp.id)
-    return j.select("person.*", auctions.id.alias("auction_id"))
+ARRIVAL_ORDER = ["date_time", "side", "rid", "copy"]
+
+
+def emit_once_first(auctions: DataFrame, persons: DataFrame, split_rows: int | None = None) -> DataFrame:
+    """A stored person is never replaced, so every auction meets its key's first person.
+
+    One keyed scan over the arrivals; a hot seller's arrivals are split by the scan."""
+    r = keyed_running(_arrivals(auctions, persons), ["k"], ARRIVAL_ORDER, {"first": ("first", F.col("person"))}, split_rows)
+    return r.filter((F.col("side") == 1) & F.col("first").isNotNull() & F.col("k").isNotNull()).select(
+        "first.*", F.col("rid").alias("auction_id"))
 
 
 def emit_once_last(auctions: DataFrame, persons: DataFrame, dedupe_waiting: bool = False,
-                   bucket: str = JOIN_BUCKET) -> DataFrame:
+                   split_rows: int | None = None) -> DataFrame:
     """An auction meets the latest person of its key that arrived before it; with no
     such person it waits for the key's first person. ``dedupe_waiting`` keeps waiting
     auction ids in a set (repeats collapse) instead of a list.
 
-    The latest-person lookup is an as-of scan over the tagged union of both inputs,
-    done by the skew-safe keyed scan; the fallback is a join with the first person."""
-    a = _with_copy(auctions)
-    p = _with_copy(persons)
-    tagged = (p.select(F.col("id").alias("k"), "date_time", F.lit(0).alias("side"), F.col("id").alias("rid"),
-                       "copy", F.struct(*PERSON_FIELDS).alias("person"))
-               .unionByName(a.select(F.col("seller").alias("k"), "date_time", F.lit(1).alias("side"),
-                                     F.col("id").alias("rid"), "copy",
-                                     F.lit(None).cast(p.select(F.struct(*PERSON_FIELDS)).schema[0].dataType)
-                                     .alias("person"))))
-    r = keyed_running(tagged, ["k"], ["date_time", "side", "rid", "copy"], time_bucket("date_time", bucket),
-                      {"before": ("last", F.col("person"))})
-    auc = r.filter(F.col("side") == 1).select("k", "rid", "date_time", "copy", "before")
-    fp = first_person(p)
-    j = auc.join(fp, auc.k == fp.id, "inner")
-    # one pass: the stored person if any, else the first person the auction waited for
-    out = j.select(F.coalesce("before", "person").alias("person"), "k", "rid",
-                   F.col("before").isNull().alias("_waited"), "date_time", "copy")
+    One keyed scan over the arrivals gives both the latest person before and the key's
+    first person; no join follows, and a hot seller's arrivals are split by the scan."""
+    r = keyed_running(_arrivals(auctions, persons), ["k"], ARRIVAL_ORDER,
+                      {"before": ("last", F.col("person")), "first": ("first", F.col("person"))}, split_rows)
+    out = r.filter((F.col("side") == 1) & F.col("first").isNotNull() & F.col("k").isNotNull()).select(
+        F.coalesce("before", "first").alias("person"), "k", "rid", F.col("before").isNull().alias("_waited"),
+        "date_time", "copy")
     if dedupe_waiting:
         # waiting ids form a set: repeats of one id while waiting collapse; auctions that met a
         # stored person stay one row per arrival

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.keyed import keyed_running, number_bucket
+from ..plans.keyed import keyed_running
 
 # Fixed value: the tokenizer splits on runs of non-word characters (ASCII word class).
 SPLIT_PATTERN = r"\W+"
-DOC_BUCKET = 256
 
 
 def tokens(lines: DataFrame, line_col: str = "line", keep: tuple[str, ...] = ("doc_id", "line_no")) -> DataFrame:
@@ -25,9 +24,8 @@ def word_count(tok: DataFrame) -> DataFrame:
     return tok.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def word_count_running(tok: DataFrame, order=("doc_id", "line_no", "pos"), bucket_docs: int = DOC_BUCKET) -> DataFrame:
+def word_count_running(tok: DataFrame, order=("doc_id", "line_no", "pos")) -> DataFrame:
     """A2 change log: every token emits its word's new total, in reading order. The
-    running count is the skew-safe keyed scan (a hot word is split by document bucket)."""
-    r = keyed_running(tok, ["word"], list(order), number_bucket(order[0], bucket_docs),
-                      {"n": ("count", None)})
+    running count is the skew-safe keyed scan (a word too frequent for a task is split)."""
+    r = keyed_running(tok, ["word"], list(order), {"n": ("count", None)})
     return r.select(*order, "word", "n")

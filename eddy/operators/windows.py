@@ -1,4 +1,7 @@
-"""Windows W1-W7 (tumbling, sliding, session) and the pane rewrite of sliding counts."""
+"""Windows W1-W7 (tumbling, sliding, session) and the pane rewrite of sliding counts.
+
+A row whose event time is null lies in no window and leaves every operator here, as it
+does in the streaming forms; ``timeless_rows`` counts them."""
 
 from __future__ import annotations
 
@@ -6,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col_of, flat_window, to_ntz
-from ..plans.keyed import keyed_running, time_bucket
+from ..plans.keyed import keyed_running
 
 
 def _ms(duration_ms: int) -> str:
@@ -18,6 +21,11 @@ def _ms_interval(ms: Column) -> Column:
     return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (ms.cast("decimal(18,6)") / F.lit(1000)).cast("decimal(18,6)"))
 
 
+def timeless_rows(df: DataFrame, ts: str) -> DataFrame:
+    """How many rows have no event time and so lie in no window: one row, ``dropped``."""
+    return df.agg(F.count(F.when(F.col(ts).isNull(), 1)).alias("dropped"))
+
+
 def tumbling_pass(df: DataFrame, ts: str, size: str) -> DataFrame:
     """Every element re-emitted with the tumbling window that holds it.
 
@@ -79,7 +87,8 @@ def sliding_members(df: DataFrame, ts: str, size: str, slide: str) -> DataFrame:
         *[F.col(c) for c in df.columns], *flat_window("_w"))
 
 
-# Events per part of a window's list (a hard bound on every group).
+# Events per part of a window's list: part of the operator's contract and a hard bound
+# on every group.
 LIST_PART_EVENTS = 1000
 
 
@@ -87,12 +96,12 @@ def sliding_collect(df: DataFrame, key: str, ts: str, size: str, slide: str,
                     seq: str, payload: str, part_events: int = LIST_PART_EVENTS) -> DataFrame:
     """Per key and sliding window, the window's events ordered by sequence.
 
-    The list is cut into parts of at most ``part_events`` events by sequence number
-    (a window's list is its parts in ``part`` order), so a hot key's window never
-    becomes one unbounded group; each part is returned as text (``seq:payload``
-    joined by commas)."""
+    The list is cut by position inside the window into parts of ``part_events`` events (a
+    window's list is its parts in ``part`` order), so a hot key's window never becomes one
+    unbounded group; each part is returned as text (``seq:payload`` joined by commas)."""
     m = sliding_members(df.select(key, ts, seq, payload), ts, size, slide)
-    m = m.withColumn("part", F.floor((F.col(seq) - 1) / F.lit(part_events)).cast("bigint"))
+    m = keyed_running(m, [key, "window_start", "window_end"], [seq], {"_at": ("count", None)})
+    m = m.withColumn("part", F.floor((F.col("_at") - 1) / F.lit(part_events)).cast("bigint"))
     g = m.groupBy(key, "window_start", "window_end", "part").agg(
         F.sort_array(F.collect_list(F.struct(F.col(seq), F.col(payload)))).alias("_l"))
     return g.select(key, "window_start", "window_end", "part",
@@ -103,24 +112,24 @@ def sliding_collect(df: DataFrame, key: str, ts: str, size: str, slide: str,
 
 def session_count(df: DataFrame, key: str, ts: str, gap: str,
                   last_of: str | None = None, order: list[str] | None = None,
-                  bucket: str | None = None) -> DataFrame:
+                  scan: bool = False) -> DataFrame:
     """Sessions per key closed by ``gap`` of inactivity; count per session.
 
     ``last_of`` adds ``last_<col>`` = value of the session's last row in ``order``.
 
-    Batch (``bucket`` given): sessions come from the skew-safe lag scan (``sessionize``)
-    and the per-session aggregate is combined map-side, so a hot key is never held by
-    one task. ``bucket=None`` uses ``session_window`` (the streaming form; in batch it
-    shuffles every row by the key alone)."""
+    Batch (``scan``): sessions come from the skew-safe lag scan (``sessionize``) and the
+    per-session aggregate is combined map-side, so a hot key is never held by one task.
+    Without it ``session_window`` is used (the streaming form; in batch it shuffles every
+    row by the key alone). Rows without a time belong to no session."""
     order = order or [ts]
     o = F.struct(*[F.col(c) for c in order])
     aggs = [F.count(F.lit(1)).alias("num")]
     if last_of:
         aggs.append(F.max_by(last_of, o).alias(f"last_{last_of}"))
-    if bucket is None:
+    if not scan:
         g = df.groupBy(F.session_window(ts, gap).alias("_s"), key).agg(*aggs)
         return g.select(key, *flat_window("_s", "session"), *[c for c in g.columns if c not in ("_s", key)])
-    s = sessionize(df, key, ts, gap, order, bucket)
+    s = sessionize(df, key, ts, gap, order)
     g = s.groupBy(key, "session_start").agg(F.max(ts).alias("_last"), *aggs)
     return g.select(key, to_ntz("session_start").alias("session_start"),
                     to_ntz(F.col("_last") + _interval(gap)).alias("session_end"),
@@ -132,17 +141,15 @@ def _interval(gap: str) -> Column:
     return F.expr(f"INTERVAL {gap}")
 
 
-def sessionize(df: DataFrame, key: str, ts: str, gap: str, order: list[str], bucket: str) -> DataFrame:
+def sessionize(df: DataFrame, key: str, ts: str, gap: str, order: list[str]) -> DataFrame:
     """Batch sessions by lag: a new session starts when ts - previous ts > gap.
 
-    Adds ``session_start`` and ``session_rn`` (position within the session, from 1).
-    Both passes are skew-safe keyed scans, so a key that never pauses is still split."""
-    b = time_bucket(ts, bucket)
-    r1 = keyed_running(df, [key], order, b, {"_prev_ts": ("prev", F.col(ts)), "_cnt": ("count", None)},
-                       keep_bucket=True)
+    Adds ``session_start`` and ``session_rn`` (position within the session, from 1). Both
+    scans share one exchange by key; a key too large for a task is split."""
+    df = df.filter(F.col(ts).isNotNull())
+    r1 = keyed_running(df, [key], order, {"_prev_ts": ("prev", F.col(ts)), "_cnt": ("count", None)})
     r1 = r1.withColumn("_start", F.col("_prev_ts").isNull() | (F.col(ts) > F.col("_prev_ts") + _interval(gap)))
-    # second pass reuses the bucket column: same (key, bucket) partitioning, no reshuffle
-    r2 = keyed_running(r1, [key], order, None, {
+    r2 = keyed_running(r1, [key], order, {
         "session_start": ("last", F.when(F.col("_start"), F.col(ts))),
         "_cnt_at_start": ("last", F.when(F.col("_start"), F.col("_cnt"))),
     })
@@ -150,8 +157,7 @@ def sessionize(df: DataFrame, key: str, ts: str, gap: str, order: list[str], buc
               .drop("_prev_ts", "_cnt", "_start", "_cnt_at_start"))
 
 
-def session_early(df: DataFrame, key: str, ts: str, gap: str, every: int, order: list[str],
-                  bucket: str) -> DataFrame:
+def session_early(df: DataFrame, key: str, ts: str, gap: str, every: int, order: list[str]) -> DataFrame:
     """Session counts with early results.
 
     An early row fires each time ``every`` more elements reached the session (the counter
@@ -159,7 +165,7 @@ def session_early(df: DataFrame, key: str, ts: str, gap: str, every: int, order:
     fires when the session ends. For in-order input the early rows are the elements whose
     position in the session is a multiple of ``every``; the session end at that moment is
     the element's time + gap."""
-    s = sessionize(df, key, ts, gap, order, bucket)
+    s = sessionize(df, key, ts, gap, order)
     g = _interval(gap)
     early = (s.filter(F.col("session_rn") % every == 0)
               .select(key, to_ntz("session_start").alias("session_start"),

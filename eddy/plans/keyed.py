@@ -2,21 +2,23 @@
 
 Many operators need "the state of this key just after this record" in arrival order:
 per-key sequence numbers, the previous value, a running sum or maximum, the latest
-non-null value (as-of lookups). The textbook plan is one window function partitioned by
-the key, which sends every record of a key to one task; if one key holds a third of the
-data, that task holds a third of the data.
-
-``keyed_running`` splits each key's order into coarse *buckets* (a column that never
-decreases along the order, e.g. the hour of the event time):
-
-1. inside every (key, bucket) a running window gives the local value;
-2. a partial aggregate gives one total row per (key, bucket) - map-side combined, so a
-   hot key ships one small row per task and bucket;
-3. a window over those totals (one row per bucket, small) gives each bucket's offset, the
-   combination of all earlier buckets of the key;
-4. the offsets join back on (key, bucket); the big side is already hash-partitioned on
-   exactly those columns by step 1, so only the small offset table is shuffled (or
-   broadcast by AQE once it is measured small).
+non-null value (as-of lookups). The textbook plan is one window partitioned by the key: a
+single exchange, and the best plan as long as no key outgrows a task.
+
+``keyed_running`` uses exactly that plan unless some key holds more than ``split_rows``
+rows. When the whole input is known to be small (its size by the optimizer's statistics)
+nothing is measured; otherwise one aggregate over the key columns finds the heavy keys.
+Their rows, and only theirs, take the split plan:
+
+1. they are written once to the shared folder, dealt to ranges of (key, order) that Spark
+   samples, so each range holds about ``split_rows`` rows and ranges rise along the order;
+2. inside every (key, range) a running window gives the local value;
+3. a partial aggregate gives one total per (key, range) and a window over these few rows
+   the combination of all earlier (or later) ranges of the key;
+4. the offsets join back on (key, range).
+
+The split changes the plan, never a result. Keys may be null (nulls are one key); rows
+with null order columns come first. The order columns must make the order strict.
 
 Supported kinds (all associative, so the split is exact):
 
@@ -26,8 +28,8 @@ Supported kinds (all associative, so the split is exact):
 ``max_before``  largest value over the earlier rows only (null on the key's first row)
 ``last``   last non-null value at or before the current row
 ``prev``   the previous row's value (lag 1), null on the key's first row
-
-Keys must be non-null and the order columns must make the order strict.
+``next``   the next row's value (lead 1), null on the key's last row
+``first``  the key's first non-null value, on every row of the key
 """
 
 from __future__ import annotations
@@ -35,92 +37,149 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BKT = "_kr_bucket"
-BUCKET_COL = _BKT
-_RN = "_kr_rn"
-
-
-def keyed_running(df: DataFrame, keys: list[str], order: list[str], bucket: Column | None,
-                  specs: dict[str, tuple[str, Column | None]], keep_bucket: bool = False) -> DataFrame:
-    """``bucket=None`` reuses the bucket column a previous scan kept (``keep_bucket``):
-    the input is then already hash-partitioned on (keys, bucket) and the local window
-    needs no new shuffle."""
-    ordcols = [F.col(c) for c in order]
-    ordstruct = F.struct(*ordcols)
-    x = df if bucket is None else df.withColumn(_BKT, bucket)
-
-    w_local = Window.partitionBy(*keys, _BKT).orderBy(*ordcols)
-    upto = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_tot = Window.partitionBy(*keys).orderBy(_BKT)
-    before = w_tot.rowsBetween(Window.unboundedPreceding, -1)
-
-    local_cols, total_cols, offset_cols = [], [], []
-    need_rn = False
-    for name, (kind, e) in specs.items():
-        lc, tc, oc = f"_kr_l_{name}", f"_kr_t_{name}", f"_kr_o_{name}"
-        if kind == "count":
-            local_cols.append(F.count(F.lit(1)).over(upto).alias(lc))
-            total_cols.append(F.count(F.lit(1)).alias(tc))
-            offset_cols.append(F.sum(tc).over(before).alias(oc))
-        elif kind == "sum":
-            local_cols.append(F.sum(e).over(upto).alias(lc))
-            total_cols.append(F.sum(e).alias(tc))
-            offset_cols.append(F.sum(tc).over(before).alias(oc))
-        elif kind in ("max", "min"):
-            agg = F.max if kind == "max" else F.min
-            local_cols.append(agg(e).over(upto).alias(lc))
-            total_cols.append(agg(e).alias(tc))
-            offset_cols.append(agg(tc).over(before).alias(oc))
-        elif kind == "max_before":
-            local_cols.append(F.max(e).over(w_local.rowsBetween(Window.unboundedPreceding, -1)).alias(lc))
-            total_cols.append(F.max(e).alias(tc))
-            offset_cols.append(F.max(tc).over(before).alias(oc))
-        elif kind == "last":
-            local_cols.append(F.last(e, ignorenulls=True).over(upto).alias(lc))
-            # last non-null value of the bucket: rows with a null value get a null ordering,
-            # which max_by skips
-            total_cols.append(F.max_by(e, F.when(e.isNotNull(), ordstruct)).alias(tc))
-            offset_cols.append(F.last(tc, ignorenulls=True).over(before).alias(oc))
-        elif kind == "prev":
-            need_rn = True
-            local_cols.append(F.lag(e).over(w_local).alias(lc))
-            total_cols.append(F.max_by(e, ordstruct).alias(tc))
-            offset_cols.append(F.lag(tc).over(w_tot).alias(oc))
-        else:
-            raise ValueError(f"unknown running kind {kind!r}")
-
-    if need_rn:
-        local_cols.append(F.row_number().over(w_local).alias(_RN))
-    y = x.select("*", *local_cols)
-    offsets = x.groupBy(*keys, _BKT).agg(*total_cols).select(*keys, _BKT, *offset_cols)
-    z = y.join(offsets, on=[*keys, _BKT], how="inner")
-
-    out = []
-    for name, (kind, _e) in specs.items():
-        lc, oc = F.col(f"_kr_l_{name}"), F.col(f"_kr_o_{name}")
-        if kind == "count":
-            v = lc + F.coalesce(oc, F.lit(0))
-        elif kind == "sum":
-            # null only when every value so far is null, as a plain running sum
-            v = F.coalesce(lc + oc, lc, oc)
-        elif kind in ("max", "max_before"):
-            v = F.greatest(lc, oc)
-        elif kind == "min":
-            v = F.least(lc, oc)
-        elif kind == "last":
-            v = F.coalesce(lc, oc)
-        else:  # prev
-            v = F.when(F.col(_RN) == 1, oc).otherwise(lc)
-        out.append(v.alias(name))
-    keep = [c for c in df.columns if c not in specs and c != _BKT]
-    return z.select(*keep, *out, *([F.col(_BKT)] if keep_bucket else []))
+from ..scratch import Scratch
+
+# Rows of one key that a single task may hold.
+SPLIT_ROWS = 4_000_000
+# An input of at most this size (optimizer's estimate) can't hold a heavy key.
+SMALL_BYTES = 64 << 20
+SPLIT_CONF = "spark.eddy.splitRows"
+_PART = "_kr_part"
+
+Specs = dict[str, tuple[str, Column | None]]
+
+
+def keyed_running(df: DataFrame, keys: list[str], order: list[str], specs: Specs,
+                  split_rows: int | None = None) -> DataFrame:
+    """``df`` plus one column per spec. ``split_rows`` (or the session setting
+    ``spark.eddy.splitRows``) is the number of rows of a key from which it is split."""
+    wanted = split_rows or df.sparkSession.conf.get(SPLIT_CONF, None)
+    if wanted is None and _estimated_bytes(df) <= SMALL_BYTES:
+        return _plain(df, keys, order, specs)
+    limit = int(wanted or SPLIT_ROWS)
+    scratch = Scratch(df.sparkSession, "keyed")
+    heavy = scratch.table(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kr_n")).where(F.col("_kr_n") > limit), "heavy")
+    total = heavy.agg(F.sum("_kr_n")).first()[0]
+    if total is None:
+        scratch.drop(heavy)
+        return _plain(df, keys, order, specs)
+    heavy = heavy.select(*[F.col(k).alias(f"_kr_k_{k}") for k in keys])
+    same = _all(F.col(k).eqNullSafe(F.col(f"_kr_k_{k}")) for k in keys)
+    rows = df.join(heavy, same, "left_semi").repartitionByRange(-(-total // limit) + 1, *keys, *order)
+    rows = scratch.table(rows.withColumn(_PART, F.spark_partition_id()), "rows")
+    light = _plain(df.join(heavy, same, "left_anti"), keys, order, specs)
+    return light.unionByName(_split(rows, df.columns, keys, order, specs))
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def _all(conditions) -> Column:
+    out = None
+    for c in conditions:
+        out = c if out is None else out & c
+    return out
+
+
+def _windows(keys: list[str], order: list[str]):
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return w, w.rowsBetween(Window.unboundedPreceding, Window.currentRow), w.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _local(kind: str, e: Column | None, keys: list[str], order: list[str]) -> Column:
+    """The value inside the rows of ``keys``. ``prev`` and ``next`` come wrapped in a
+    struct, null only where there is no such row."""
+    w, upto, before = _windows(keys, order)
+    if kind == "count":
+        return F.count(F.lit(1)).over(upto)
+    if kind in ("sum", "max", "min"):
+        return getattr(F, kind)(e).over(upto)
+    if kind == "max_before":
+        return F.max(e).over(before)
+    if kind == "last":
+        return F.last(e, ignorenulls=True).over(upto)
+    if kind == "prev":
+        return F.lag(F.struct(e.alias("v"))).over(w)
+    if kind == "next":
+        return F.lead(F.struct(e.alias("v"))).over(w)
+    if kind == "first":
+        return F.first(e, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    raise ValueError(f"unknown running kind {kind!r}")
+
+
+def _kept(df: DataFrame | list[str], specs: Specs) -> list[str]:
+    return [c for c in (df if isinstance(df, list) else df.columns) if c not in specs]
+
+
+def _plain(df: DataFrame, keys: list[str], order: list[str], specs: Specs) -> DataFrame:
+    y = df.select("*", *[_local(kind, e, keys, order).alias(f"_kr_{n}") for n, (kind, e) in specs.items()])
+    return y.select(*_kept(df, specs), *[
+        (F.col(f"_kr_{n}")["v"] if kind in ("prev", "next") else F.col(f"_kr_{n}")).alias(n)
+        for n, (kind, _) in specs.items()])
+
+
+def _total(kind: str, e: Column | None, order: list[str]) -> Column:
+    """What a range passes on to the others of its key."""
+    at = F.struct(*[F.col(c) for c in order])
+    if kind == "count":
+        return F.count(F.lit(1))
+    if kind == "sum":
+        return F.sum(e)
+    if kind in ("max", "max_before"):
+        return F.max(e)
+    if kind == "min":
+        return F.min(e)
+    if kind == "last":  # rows with a null value get a null place, which max_by skips
+        return F.max_by(e, F.when(e.isNotNull(), at))
+    if kind == "first":
+        return F.min_by(e, F.when(e.isNotNull(), at))
+    return (F.max_by if kind == "prev" else F.min_by)(F.struct(e.alias("v")), at)
+
+
+def _offset(kind: str, t: str, keys: list[str]) -> Column:
+    """The combination of the totals of the other ranges that a row of a range needs."""
+    w, _, before = _windows(keys, [_PART])
+    if kind in ("count", "sum"):
+        return F.sum(t).over(before)
+    if kind in ("max", "max_before"):
+        return F.max(t).over(before)
+    if kind == "min":
+        return F.min(t).over(before)
+    if kind == "last":
+        return F.last(t, ignorenulls=True).over(before)
+    if kind == "first":
+        return F.first(t, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return (F.lag if kind == "prev" else F.lead)(t).over(w)
+
+
+def _combined(kind: str, here: Column, there: Column) -> Column:
+    if kind == "count":
+        return here + F.coalesce(there, F.lit(0))
+    if kind == "sum":  # null only when every value so far is null, as a plain running sum
+        return F.coalesce(here + there, here, there)
+    if kind in ("max", "max_before"):
+        return F.greatest(here, there)
+    if kind == "min":
+        return F.least(here, there)
+    if kind == "last":
+        return F.coalesce(here, there)
+    if kind == "first":
+        return there
+    return F.coalesce(here, there)["v"]
+
+
+def _split(rows: DataFrame, columns: list[str], keys: list[str], order: list[str], specs: Specs) -> DataFrame:
+    group = [*keys, _PART]
+    totals = rows.groupBy(*group).agg(*[_total(kind, e, order).alias(f"_kr_t_{n}") for n, (kind, e) in specs.items()])
+    offsets = totals.select(*[F.col(c).alias(f"_kr_k_{c}") for c in group],
+                            *[_offset(kind, f"_kr_t_{n}", keys).alias(f"_kr_o_{n}") for n, (kind, _) in specs.items()])
+    local = rows.select("*", *[_local(kind, e, group, order).alias(f"_kr_{n}") for n, (kind, e) in specs.items()])
+    z = local.join(offsets, _all(F.col(c).eqNullSafe(F.col(f"_kr_k_{c}")) for c in group))
+    return z.select(*_kept(columns, specs), *[
+        _combined(kind, F.col(f"_kr_{n}"), F.col(f"_kr_o_{n}")).alias(n) for n, (kind, _) in specs.items()])
 
 
 def time_bucket(ts: Column | str, duration: str) -> Column:
     """Start of the tumbling bucket holding ``ts`` (works for TIMESTAMP and TIMESTAMP_NTZ)."""
     return F.window(ts, duration).start
-
-
-def number_bucket(x: Column | str, width: int) -> Column:
-    c = F.col(x) if isinstance(x, str) else x
-    return F.floor(c / F.lit(width))

@@ -6,7 +6,6 @@ Written independently of the Spark plans: plain window functions over whole tabl
 from __future__ import annotations
 
 from ..operators.records import AVRO_STATE_OPERATOR, KRYO_STATE_OPERATOR
-from ..sources import synth as S
 
 EV = """ev AS (
   SELECT user_id AS key, ts AS event_time, event_type AS payload, event_id,
@@ -93,15 +92,6 @@ EXTRA = """mm AS (
     ON m.key = b.key AND m.window_start = b.first_start)"""
 
 
-def _payload_sql(size: int) -> str:
-    return " || ".join(f"chr(CAST(65 + ((event_id * 31 + {7 * j}) % 58) AS INTEGER))" for j in range(size))
-
-
-def _token_sql() -> str:
-    h = f"((event_id % {S.TOKEN_MOD}) * {S.TOKEN_MULT} + {S.TOKEN_ADD})"
-    return " || ".join(f"chr(CAST(97 + (({h} // {26 ** i}) % 26) AS INTEGER))" for i in range(7))
-
-
 WORD_TOKENS = r"""l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
          generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
@@ -142,7 +132,7 @@ SELECT fp.name, fp.city, fp.state, a2.id AS auction_id FROM a2 JOIN fp ON a2.sel
         waiting="any_value(f_name) AS name, any_value(f_city) AS city, any_value(f_state) AS state, rid AS auction_id",
         group="GROUP BY k, rid"),
 
-    "q5_sliding_count": f"""WITH {BID},
+    "q5_panes": f"""WITH {BID},
 w AS (SELECT auction, time_bucket(INTERVAL 1 MINUTE, date_time) - to_minutes(CAST(i AS BIGINT)) AS window_start
       FROM bid, range(0, 60) r(i))
 SELECT auction, window_start, window_start + INTERVAL 60 MINUTE AS window_end, count(*) AS num
@@ -184,8 +174,6 @@ SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, CAST(pos AS BIGINT) AS pos, w
        row_number() OVER (PARTITION BY word ORDER BY doc_id, line_no, pos) AS n
 FROM t WHERE length(word) > 0""",
 
-    "token_pairs": f"""SELECT {_token_sql()} AS word, count(*) AS n FROM events GROUP BY 1""",
-
     "tumbling_pass": f"""WITH {EV}
 SELECT key, event_time, sequence_number, payload, event_id,
        time_bucket(INTERVAL 1 HOUR, event_time) AS window_start,
@@ -200,27 +188,27 @@ FROM ev GROUP BY 1, 2, 3""",
     "sliding_collect": f"""WITH {EV},
 m AS (SELECT e.*, time_bucket(INTERVAL 1 HOUR, e.event_time) - to_hours(CAST(i AS BIGINT)) AS window_start
       FROM ev e, range(0, 3) r(i))
-SELECT key, window_start, window_start + INTERVAL 3 HOUR AS window_end, (sequence_number - 1) // 1000 AS part,
-       count(*) AS num,
+SELECT key, window_start, window_start + INTERVAL 3 HOUR AS window_end, part, count(*) AS num,
        string_agg(CAST(sequence_number AS VARCHAR) || ':' || payload, ',' ORDER BY sequence_number) AS events
-FROM m GROUP BY key, window_start, part""",
+FROM (SELECT *, (row_number() OVER (PARTITION BY key, window_start ORDER BY sequence_number) - 1) // 2 AS part FROM m)
+GROUP BY key, window_start, part""",
 
     "state_first": f"""WITH {EV} SELECT key, arg_min(payload, sequence_number) AS payload FROM ev GROUP BY key""",
 
     "state_last": f"""WITH {EV} SELECT key, arg_max(payload, sequence_number) AS payload FROM ev GROUP BY key""",
 
     "state_concat": f"""WITH {EV}
-SELECT key, (sequence_number - 1) // 1000 AS part, min(sequence_number) AS first_seq,
+SELECT key, (sequence_number - 1) // 16 AS part, min(sequence_number) AS first_seq,
        max(sequence_number) AS last_seq, string_agg(payload, '' ORDER BY sequence_number DESC) AS state
 FROM ev GROUP BY 1, 2""",
 
     "state_list": f"""WITH {EV}
-SELECT key, (sequence_number - 1) // 1000 AS part, min(sequence_number) AS first_seq,
+SELECT key, (sequence_number - 1) // 16 AS part, min(sequence_number) AS first_seq,
        max(sequence_number) AS last_seq, string_agg(payload, ',' ORDER BY sequence_number) AS state
 FROM ev GROUP BY 1, 2""",
 
     "state_map": f"""WITH {EV}
-SELECT key, (sequence_number - 1) // 1000 AS part, min(sequence_number) AS first_seq,
+SELECT key, (sequence_number - 1) // 16 AS part, min(sequence_number) AS first_seq,
        max(sequence_number) AS last_seq,
        '{{' || string_agg('"' || sequence_number || '":"' || payload || '"', ',' ORDER BY sequence_number) || '}}' AS state
 FROM ev GROUP BY 1, 2""",
@@ -284,11 +272,11 @@ ch AS (
   SELECT word, CASE WHEN length(word) % 10 = 2 THEN n + 1 ELSE n END AS n FROM wc WHERE length(word) % 10 <> 1
   UNION ALL
   SELECT word || '#', n FROM wc WHERE length(word) % 10 = 3),
-j AS (SELECT coalesce(wc.word, ch.word) AS word, wc.n AS expected, ch.n AS actual
-      FROM wc FULL OUTER JOIN ch ON wc.word = ch.word)
+j AS (SELECT coalesce(wc.word, ch.word) AS word, wc.n AS expected, ch.n AS actual, wc.e, ch.a
+      FROM (SELECT *, true AS e FROM wc) wc FULL OUTER JOIN (SELECT *, true AS a FROM ch) ch ON wc.word = ch.word)
 SELECT word, expected, actual,
-       CASE WHEN actual IS NULL THEN 'missing' WHEN expected IS NULL THEN 'unexpected' ELSE 'wrong_value' END AS status
-FROM j WHERE expected IS DISTINCT FROM actual""",
+       CASE WHEN a IS NULL THEN 'missing' WHEN e IS NULL THEN 'unexpected' ELSE 'wrong_value' END AS status
+FROM j WHERE expected IS DISTINCT FROM actual OR e IS NULL OR a IS NULL""",
 
     "late_rows": """WITH d AS (SELECT event_id, ts, event_id + (event_id * 104729) % 20 AS arrival FROM events),
 w AS (SELECT *, max(ts) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS watermark
@@ -302,29 +290,35 @@ SELECT event_id, ts, arrival, watermark FROM w WHERE ts < watermark""",
          row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
   FROM orders) WHERE rn = 1""",
 
-    "key_slots": """WITH s AS (SELECT user_id, CAST(((user_id % 200) * 128) // 200 AS INTEGER) AS slot FROM events)
-SELECT slot, CAST(((slot + 1) * 8 - 1) // 128 AS INTEGER) AS task, count(DISTINCT user_id) AS keys, count(*) AS rows
-FROM s GROUP BY slot""",
+    "state_first_changes": """SELECT user_id AS key, ts AS event_time, event_type AS payload, event_id,
+       first_value(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS state FROM events""",
+
+    "state_last_changes": """SELECT user_id AS key, ts AS event_time, event_type AS payload, event_id,
+       lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before, event_type AS state FROM events""",
+
+    "state_nested_changes": f"""WITH {EV}
+SELECT key, event_time, sequence_number, payload, event_id,
+       CASE WHEN sequence_number > 1 THEN '{KRYO_STATE_OPERATOR}' END AS before_tag,
+       CASE WHEN sequence_number > 1 THEN sequence_number - 1 END AS before_sequence
+FROM ev""",
+
+    "state_append_log": f"""WITH {EV}
+SELECT key, event_time, payload, event_id, sequence_number AS position FROM ev""",
 
-    "keyed_sequence": f"""SELECT (event_id * 7919) % 200 AS key,
-       make_timestamp(greatest(0, event_id * 100) * 1000) AS event_time,
-       row_number() OVER (PARTITION BY (event_id * 7919) % 200 ORDER BY event_id) AS sequence_number,
-       {_payload_sql(20)} AS payload,
-       event_id AS id
-FROM events""",
+    "running_sum": """WITH e AS (SELECT *, CAST(round(value * 100) AS BIGINT) AS cents FROM events)
+SELECT user_id AS key, ts AS event_time, event_id, cents,
+       CAST(sum(cents) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total
+FROM e""",
 }
-ORACLE["q5_panes"] = ORACLE["q5_sliding_count"]
 ORACLE["q3_join_sql"] = ORACLE["q3_join"]
-ORACLE["q5_sliding_count_sql"] = ORACLE["q5_sliding_count"]
+ORACLE["q5_sliding_count_sql"] = ORACLE["q5_panes"]
+ORACLE["q11_session_count_sql"] = ORACLE["q11_session_count"]
 ORACLE["q8_window_join_sql"] = ORACLE["q8_window_join"]
 
 # Connected components as plain reachability: every vertex reaches itself, reach spreads
 # along edges (UNION removes repeats, so the recursion ends), component = least reacher.
 ORACLE["connected_components"] = """WITH RECURSIVE g AS (
-  SELECT DISTINCT o_custkey * 2 AS x, l_suppkey * 2 + 1 AS y
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
-  WHERE c_nationkey = s_nationkey),
+  SELECT DISTINCT o_custkey * 2 AS x, o_orderkey * 2 + 1 AS y FROM orders),
 u AS (SELECT x, y FROM g UNION SELECT y, x FROM g),
 r(v, l) AS (SELECT DISTINCT x, x FROM u UNION SELECT u.y, r.l FROM r JOIN u ON r.v = u.x)
 SELECT v AS vertex, min(l) AS component FROM r GROUP BY v"""

@@ -21,10 +21,10 @@ from ..operators import windows as W
 from ..operators.records import AVRO_STATE_OPERATOR, KRYO_STATE_OPERATOR, complex_payload, flatten_payload
 from ..operators.timing import late_rows
 from ..schemas import AUCTION_MSG
+from ..scratch import Scratch
 from ..sources import bindings as B
 from ..sources import fixtures as FX
 from ..sources import messages as M
-from ..sources import synth as S
 from ..sources.tables import read_table
 from . import sql as SQL
 from . import tpch as TPCH
@@ -37,6 +37,8 @@ Q11_GAP = "6 hours"
 Q11_EARLY_EVERY = 3
 TUMBLE = "1 hour"
 # W2 on the event table: 20 events x 3 minutes of clock progress = one hour.
+# Events per part of the growing states and window lists: small enough to cut the test data.
+STATE_PART, LIST_PART = 16, 2
 EVENT_PARAMS = Params(clock_progress_ms=180_000)
 SLIDE_MS, SLIDE_FACTOR = 3_600_000, 3
 SLIDE, SIZE = "1 hour", "3 hours"
@@ -83,12 +85,12 @@ def q8_window_join(spark, d):
 
 def q11_session_count(spark, d):
     return W.session_count(B.bids(spark, d), "bidder", "date_time", Q11_GAP, last_of="auction",
-                           order=["date_time", "event_id"], bucket=B.EVENT_BUCKET)
+                           order=["date_time", "event_id"], scan=True)
 
 
 def q11_session_early(spark, d):
     return W.session_early(B.bids(spark, d), "bidder", "date_time", Q11_GAP, Q11_EARLY_EVERY,
-                           ["date_time", "event_id"], B.EVENT_BUCKET)
+                           ["date_time", "event_id"])
 
 
 # -- word counts -----------------------------------------------------------------------
@@ -107,10 +109,6 @@ def word_count_running(spark, d):
                     F.col("n").cast("bigint"))
 
 
-def token_pairs(spark, d):
-    return S.token_pairs(read_table(spark, d, "events", ["event_id"]))
-
-
 # -- windows on keyed events -----------------------------------------------------------
 
 def tumbling_pass(spark, d):
@@ -118,33 +116,34 @@ def tumbling_pass(spark, d):
 
 
 def tumbling_by_events(spark, d):
-    return W.tumbling_count(B.keyed_events(spark, d), "key", "event_time", _ms(EVENT_PARAMS.tumbling_size_ms))
+    return W.tumbling_count(B.plain_events(spark, d), "key", "event_time", _ms(EVENT_PARAMS.tumbling_size_ms))
 
 
 def sliding_collect(spark, d):
-    return W.sliding_collect(B.keyed_events(spark, d), "key", "event_time", SIZE, SLIDE, "sequence_number", "payload")
+    return W.sliding_collect(B.keyed_events(spark, d), "key", "event_time", SIZE, SLIDE, "sequence_number", "payload",
+                             LIST_PART)
 
 
 # -- keyed state -----------------------------------------------------------------------
 
 def state_first(spark, d):
-    return A.final_first(B.keyed_events(spark, d))
+    return A.final_first(B.plain_events(spark, d), seq=F.struct("event_time", "event_id"))
 
 
 def state_last(spark, d):
-    return A.final_last(B.keyed_events(spark, d))
+    return A.final_last(B.plain_events(spark, d), seq=F.struct("event_time", "event_id"))
 
 
 def state_concat(spark, d):
-    return A.final_concat(B.keyed_events(spark, d))
+    return A.final_concat(B.keyed_events(spark, d), part_events=STATE_PART)
 
 
 def state_list(spark, d):
-    return A.final_list(B.keyed_events(spark, d))
+    return A.final_list(B.keyed_events(spark, d), part_events=STATE_PART)
 
 
 def state_map(spark, d):
-    return A.final_map(B.keyed_events(spark, d))
+    return A.final_map(B.keyed_events(spark, d), part_events=STATE_PART)
 
 
 def state_map_merge(spark, d):
@@ -158,6 +157,30 @@ def state_nested_latest(spark, d):
     return A.final_nested_latest(B.keyed_events(spark, d), KRYO_STATE_OPERATOR)
 
 
+def state_first_changes(spark, d):
+    return A.with_first(B.plain_events(spark, d), "key", EV_ORDER)
+
+
+def state_last_changes(spark, d):
+    return A.with_last(B.plain_events(spark, d), "key", EV_ORDER)
+
+
+def state_nested_changes(spark, d):
+    return A.with_nested_latest(B.keyed_events(spark, d), KRYO_STATE_OPERATOR, "key", EV_ORDER)
+
+
+def state_append_log(spark, d):
+    return A.append_log(B.plain_events(spark, d), "key", EV_ORDER)
+
+
+def running_sum(spark, d):
+    """A3: keyed reduce by +, every event emitting the new sum (cents of the event value)."""
+    e = read_table(spark, d, "events", ["event_id", "ts", "user_id", "value"])
+    x = e.select(F.col("user_id").alias("key"), F.col("ts").alias("event_time"), "event_id",
+                 F.round(F.col("value") * 100).cast("bigint").alias("cents"))
+    return A.with_running_sum(x, "key", "cents", EV_ORDER)
+
+
 # -- checks ----------------------------------------------------------------------------
 
 def _disturbed(spark, d):
@@ -165,11 +188,11 @@ def _disturbed(spark, d):
 
 
 def check_exactly_once(spark, d):
-    return C.sequence_check(_disturbed(spark, d), "exactly_once", ARRIVAL, B.EVENT_BUCKET)
+    return C.sequence_check(_disturbed(spark, d), "exactly_once", ARRIVAL)
 
 
 def check_at_least_once(spark, d):
-    return C.sequence_check(_disturbed(spark, d), "at_least_once", ARRIVAL, B.EVENT_BUCKET)
+    return C.sequence_check(_disturbed(spark, d), "at_least_once", ARRIVAL)
 
 
 def _members(ev):
@@ -203,11 +226,12 @@ def check_state_tag(spark, d):
     states = ev.select("key", "event_id", "event_time", "sequence_number",
                        complex_payload(tag).alias("state")).select("key", "event_id", "event_time", "sequence_number",
                                                                   F.col("state.str_payload").alias("str_payload"))
-    return C.state_tag_check(states, KRYO_STATE_OPERATOR, EV_ORDER, B.EVENT_BUCKET)
+    return C.state_tag_check(states, KRYO_STATE_OPERATOR, EV_ORDER)
 
 
 def reconcile(spark, d):
-    wc = word_count(spark, d)
+    # the word count is evaluated once, both sides read it back
+    wc = Scratch(spark, "reconcile").table(word_count(spark, d), "words")
     return C.reconcile(wc, FX.word_counts_changed(wc), ["word"], "n")
 
 
@@ -231,18 +255,10 @@ def upsert_latest(spark, d):
     return latest_per_key(a, ["seller"], ["date_time", "id"]).select("seller", "id", "reserve")
 
 
-def key_slots(spark, d):
-    return S.key_slots(read_table(spark, d, "events", ["user_id"]), "user_id", Params(), parallelism=8)
-
-
-def keyed_sequence(spark, d):
-    return S.keyed_sequence(read_table(spark, d, "events", ["event_id"]), Params())
-
-
 # -- graph -----------------------------------------------------------------------------
 
 def connected_components(spark, d):
-    return G.connected_components(B.local_trade_graph(spark, d))
+    return G.connected_components(B.order_graph(spark, d))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -250,7 +266,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q3_emit_once_last": q3_emit_once_last,
     "q3_emit_once_last_set": q3_emit_once_last_set,
     "q3_emit_once_first": q3_emit_once_first,
-    "q5_sliding_count": q5_sliding_count,
     "q5_panes": q5_panes,
     "q8_window_join": q8_window_join,
     "q11_session_count": q11_session_count,
@@ -278,9 +293,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "late_rows": late_rows_report,
     "json_decode": json_decode,
     "upsert_latest": upsert_latest,
-    "key_slots": key_slots,
-    "keyed_sequence": keyed_sequence,
-    "token_pairs": token_pairs,
+    "state_first_changes": state_first_changes,
+    "state_last_changes": state_last_changes,
+    "state_nested_changes": state_nested_changes,
+    "state_append_log": state_append_log,
+    "running_sum": running_sum,
+    "q11_session_count_sql": SQL.q11_session_count_sql,
     "q3_join_sql": SQL.q3_join_sql,
     "q5_sliding_count_sql": SQL.q5_sliding_count_sql,
     "q8_window_join_sql": SQL.q8_window_join_sql,

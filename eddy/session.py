@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings every query in the package relies on.
@@ -44,18 +45,22 @@ def apply_runtime_conf(spark: SparkSession) -> None:
         if k.startswith("spark.sql.") and k != "spark.sql.execution.arrow.pyspark.enabled":
             try:
                 spark.conf.set(k, v)
-            except Exception:  # static conf on a shared session: leave it
+            except AnalysisException:  # a setting fixed when the session started: leave it
                 pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (tests, a laptop) is a scratch folder made and
-    recorded, so every later call in the session agrees on it.
+    Only a local session (tests, a laptop: one machine) that names none gets a scratch
+    folder, recorded so that every later call in the session agrees on it. Anywhere else a
+    missing setting is an error: a folder of the driver's machine is seen by no executor.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="eddy-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc = spark.sparkContext

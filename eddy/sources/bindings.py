@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.keyed import keyed_running, number_bucket, time_bucket
+from ..plans.keyed import keyed_running
 from .tables import read_table
 
 # The person states the auction query keeps (Q3 filters OR, ID, CA),
@@ -23,7 +23,6 @@ PERSON_STRIDE = 37
 PERSON_DAYS = 2400
 
 # Bucket of the skew-safe keyed scans (see plans.keyed) for event-time orders.
-EVENT_BUCKET = "1 hour"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,20 +88,24 @@ def auctions_q8(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("value").alias("reserve"), F.col("ts").alias("date_time")))
 
 
-def keyed_events(spark: SparkSession, sf_dir: str, bucket: str = EVENT_BUCKET) -> DataFrame:
+def keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event(key, event_time, sequence_number, payload) + event_id.
 
     sequence_number = position of the event in its key's (ts, event_id) order, from 1,
     computed by the skew-safe keyed scan.
     """
+    return number_events(plain_events(spark, sf_dir))
+
+
+def plain_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event without its sequence number: for operators whose result doesn't show it."""
     e = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
-    base = e.select(F.col("user_id").alias("key"), F.col("ts").alias("event_time"),
+    return e.select(F.col("user_id").alias("key"), F.col("ts").alias("event_time"),
                     F.col("event_type").alias("payload"), "event_id")
-    return number_events(base, bucket)
 
 
-def number_events(base: DataFrame, bucket: str = EVENT_BUCKET) -> DataFrame:
-    out = keyed_running(base, ["key"], ["event_time", "event_id"], time_bucket("event_time", bucket),
+def number_events(base: DataFrame) -> DataFrame:
+    out = keyed_running(base, ["key"], ["event_time", "event_id"],
                         {"sequence_number": ("count", None)})
     return out.select("key", "event_time", F.col("sequence_number").cast("bigint"), "payload", "event_id")
 
@@ -113,23 +116,18 @@ def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def id_bucket(col: str, width: int = 1 << 16):
-    return number_bucket(col, width)
+def trade_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graph of all customers and suppliers linked by an order line.
 
+    Vertex ids: customer 2*c_custkey, supplier 2*s_suppkey + 1 (one id space)."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_suppkey"])
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    return (li.join(o, li.l_orderkey == o.o_orderkey)
+              .select((F.col("o_custkey") * 2).alias("src"), (F.col("l_suppkey") * 2 + 1).alias("dst")).distinct())
 
-def local_trade_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Graph of customers and suppliers of the same nation linked by an order line.
 
-    Vertex ids: customer 2*c_custkey, supplier 2*s_suppkey + 1 (one id space). The
-    nation filter compares the two dimension columns after the joins; the planner
-    picks broadcast or sort-merge for customer / supplier by their measured size.
-    """
-    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_suppkey"])
+def order_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graph of all customers and their orders, naturally sparse: vertex ids customer
+    2*o_custkey, order 2*o_orderkey + 1."""
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
-    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
-    s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
-    g = (li.join(o, li.l_orderkey == o.o_orderkey)
-           .join(c, F.col("o_custkey") == c.c_custkey)
-           .join(s, F.col("l_suppkey") == s.s_suppkey)
-           .filter(F.col("c_nationkey") == F.col("s_nationkey")))
-    return g.select((F.col("o_custkey") * 2).alias("src"), (F.col("l_suppkey") * 2 + 1).alias("dst")).distinct()
+    return o.select((F.col("o_custkey") * 2).alias("src"), (F.col("o_orderkey") * 2 + 1).alias("dst"))

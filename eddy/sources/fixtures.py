@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.keyed import keyed_running, time_bucket
+from ..plans.keyed import keyed_running
 
 # Fixed values of the injected faults.
 REPEAT_EVERY = 50          # events with event_id % 50 = 0 arrive twice
@@ -32,12 +32,15 @@ def repeated(ev: DataFrame) -> DataFrame:
     return base.unionByName(again)
 
 
-def drop_window(members: DataFrame, rank: int = MISSING_WINDOW_RANK, key="key", win="window_start") -> DataFrame:
-    """Removes each key's ``rank``-th non-empty window (ranked on the small window table)."""
-    wins = members.select(key, win).distinct()
-    wins = keyed_running(wins, [key], [win], time_bucket(win, "1 day"), {"_r": ("count", None)})
-    gone = wins.filter(F.col("_r") == rank).select(key, win)
-    return members.join(gone, [key, win], "left_anti")
+def drop_window(members: DataFrame, rank: int = MISSING_WINDOW_RANK, key="key", win="window_start",
+                seq="sequence_number") -> DataFrame:
+    """Removes each key's ``rank``-th non-empty window: windows are ranked by counting
+    window changes along (window, sequence), in one exchange by key."""
+    order = [win, seq]
+    r = keyed_running(members, [key], order, {"_w": ("prev", F.col(win))})
+    r = r.withColumn("_new", F.when(F.col("_w").isNull() | (F.col("_w") != F.col(win)), 1).otherwise(0))
+    r = keyed_running(r, [key], order, {"_r": ("sum", F.col("_new"))})
+    return r.filter(F.col("_r") != rank).select(*members.columns)
 
 
 def extra_window(members: DataFrame, slide_ms: int, size_ms: int, key="key", win="window_start") -> DataFrame:

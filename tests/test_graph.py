@@ -5,7 +5,9 @@ import random
 
 import pytest
 
+from conftest import SF001
 from eddy.operators.graph import connected_components
+from eddy.sources import bindings as B
 
 
 def _union_find(edges):
@@ -39,3 +41,12 @@ def test_components_equal_union_find(spark, name, edges):
     df = spark.createDataFrame(edges, "src bigint, dst bigint")
     got = sorted(tuple(r) for r in connected_components(df).collect())
     assert got == _union_find(edges)
+
+
+def test_trade_graph_and_null_ends(spark):
+    """The whole trade graph of the supplied tables; rows with a null end are ignored."""
+    g = B.trade_graph(spark, SF001)
+    edges = [tuple(r) for r in g.collect()]
+    with_nulls = g.unionAll(spark.createDataFrame([(None, 5), (7, None)], "src bigint, dst bigint"))
+    assert sorted(tuple(r) for r in connected_components(with_nulls).collect()) == _union_find(edges)
+    assert connected_components(g.limit(0)).count() == 0

@@ -42,7 +42,7 @@ def test_clean_events_raise_no_alert(spark):
     from eddy.operators import checks as C
     ev = B.keyed_events(spark, SF001)
     m = W.sliding_members(ev.select("key", "event_time", "sequence_number"), "event_time", Q.SIZE, Q.SLIDE)
-    assert C.sequence_check(ev, "exactly_once", Q.EV_ORDER, B.EVENT_BUCKET).count() == 0
+    assert C.sequence_check(ev, "exactly_once", Q.EV_ORDER).count() == 0
     assert C.window_contiguity(m).count() == 0
     assert C.missed_window(m, Q.SLIDE_FACTOR).count() == 0
     assert C.seen_too_often(m, Q.SLIDE_FACTOR).count() == 0
@@ -52,7 +52,7 @@ def test_clean_events_raise_no_alert(spark):
 def test_sessions_partition_input(spark):
     bids = B.bids(spark, SF001)
     s = W.session_count(bids, "bidder", "date_time", Q.Q11_GAP, order=["date_time", "event_id"],
-                        bucket=B.EVENT_BUCKET)
+                        scan=True)
     assert s.agg(F.sum("num")).first()[0] == bids.count()
     # session_window (streaming form) gives the same sessions
     sw = W.session_count(bids, "bidder", "date_time", Q.Q11_GAP, order=["date_time", "event_id"])

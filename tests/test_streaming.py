@@ -69,7 +69,7 @@ def test_session_stream_equals_batch(spark, tmp_path, bids_ts):
     _replay(spark, bids_ts, "date_time", d, "5 days", {"auction": -1, "bidder": -1, "event_id": -1})
     out = run_to_memory(SQ.session_count_stream(_stream(spark, bids_ts.schema, d), Q.Q11_GAP),
                         "w5_stream").filter("bidder <> -1")
-    batch = W.session_count(B.bids(spark, SF001), "bidder", "date_time", Q.Q11_GAP, bucket=B.EVENT_BUCKET)
+    batch = W.session_count(B.bids(spark, SF001), "bidder", "date_time", Q.Q11_GAP, scan=True)
     assert _rows(out) == _rows(batch)
 
 
