@@ -20,11 +20,12 @@ pairs being made.
 
 Verification. Texts of equal sets are one class and take part once. In a few rounds every
 document is compared exactly with the one document of another component that shares most
-of its words with it among one leader per word; links found join components. Then all
-pairs that still lie in different components and share enough words are compared. Pairs
-inside a component are never listed, so a large group of near copies costs its size and
-not its square. No candidate is dropped: the result is exact but for 64-bit hash
-collisions.
+of its words with it among one leader per word; links found join components. Then the
+pairs that share a word and still lie in different components are tested by a finer sketch
+of single bits, whose Hamming distance is at most the symmetric difference as well, and
+those that pass are compared exactly. Pairs inside a component are never made, and only
+pairs that pass leave a task, so a large group of near copies is never listed as pairs. No
+pair that may link is dropped: the result is exact but for 64-bit hash collisions.
 
 Defined cases: a null or empty text, or one without words, has no shingles and links with
 nothing; one to four words are one shingle; rows of one id count as one document; rows
@@ -48,6 +49,7 @@ from eddy.llm.scratch import Scratch
 ROUNDS = 3
 BUCKET_WORDS = 1_000_000  # sketch words that one task of the exchange gets, about
 FILTER_BITS = 1 << 23
+SKETCH_BITS = 1 << 13
 U = np.uint64
 
 
@@ -78,12 +80,13 @@ class Layout:
         """The largest symmetric difference of linked sets of sizes n and m."""
         return (100 - self.p) * (n + m) // (100 + self.p)
 
-    @staticmethod
-    def words(c: int) -> int:
+    def words(self, c: int) -> int:
         """Words in the sketches of size band c: fewer than elements, so that most words
-        hold two or three of them and rarely agree by chance."""
+        hold two or three of them and rarely agree by chance; in any case as many as a set
+        of the band exchanges."""
         high = (2 << c) - 1
-        return 2 * high if high <= 7 else -(-2 * high // 5)
+        d = self.apart(high, high)
+        return max(2 * high if high <= 15 else -(-2 * high // 5), d + 1 + self.spare(d))
 
     @staticmethod
     def spare(d: int) -> int:
@@ -217,7 +220,6 @@ class Join:
         known = known.join(enough, ["rep", "c"])
         rank = F.row_number().over(Window.partitionBy("rep", "c").orderBy("df", "word"))
         kept = known.withColumn("rank", rank).where(F.col("rank") <= F.col("g") - F.col("bound") + 1)
-        self.all_words = known  # for counting the words a pair shares
         return self.scratch.table(kept.select("word", F.col("rep").alias("doc"), "c", "bound"), "kept")
 
     # Verification ------------------------------------------------------------------
@@ -289,27 +291,62 @@ class Join:
                 .select("a", F.col("doc").alias("b")))
 
     def _open_pairs(self, words: DataFrame) -> DataFrame:
-        """All pairs of different components that share a word. Per word only documents
-        outside its most frequent component are paired with the rest."""
-        by_comp = words.groupBy("word", "comp").agg(F.count("*").alias("n"))
-        major = self.scratch.table(
-            by_comp.groupBy("word").agg(F.max_by("comp", "n").alias("major"), F.count("*").alias("comps"))
-            .where("comps > 1").select("word", "major"), "major")
-        left = self.scratch.table(words.join(major, "word").select("word", "doc", "c", "comp", "major"), "open")
-        x = left.where("comp <> major").select("word", F.col("doc").alias("a"), F.col("comp").alias("ca"))
-        y = left.select("word", F.col("doc").alias("b"), F.col("comp").alias("cb"), "major")
-        met = x.join(y, "word").where("ca <> cb and (cb = major or a < b)")
-        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    def _enough_words(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that share as many exchanged words as the bounds of both ask for."""
-        w = self.all_words
-        left = self.scratch.table(pairs, "pairs")
-        x = left.join(w.select(F.col("rep").alias("a"), "word", "c", F.col("bound").alias("ba")), "a")
-        y = w.select(F.col("rep").alias("b"), "word", "c", F.col("bound").alias("bb"))
-        return (x.join(y, ["b", "word", "c"]).groupBy("a", "b", "c")
-                .agg(F.count("*").alias("m"), F.first("ba").alias("ba"), F.first("bb").alias("bb"))
-                .where("m >= ba and m >= bb").select("a", "b").distinct())
+        """Pairs of different components that share a word and may link.
+
+        Words come together by buckets, each with the bit sketches of its documents; a task
+        walks through the pairs of a word in blocks and returns only those whose sketches
+        differ in no more bits than linked sets can. A word whose documents all lie in one
+        component is left out before."""
+        mixed = self.scratch.table(words.groupBy("word").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
+                                   .where("x <> y").select("word"), "mixed")
+        rows = self.scratch.table(words.join(mixed, "word").select("word", "doc", "comp"), "open")
+        count = max(1, -(-rows.count() // BUCKET_WORDS))
+        bucket = F.pmod(F.xxhash64("word"), F.lit(count)).cast("int").alias("bucket")
+        rows = rows.select(bucket, "word", "doc", "comp")
+        bits = self.scratch.table(rows.select("bucket", "doc").distinct().join(self._bit_sketches(), "doc"), "bits")
+        layout = self.layout
+
+        def meet(key, left, right):
+            kinds = {"a": pa.int64(), "b": pa.int64()}
+            if left.num_rows == 0 or right.num_rows == 0:
+                return pa.table({k: pa.array([], t) for k, t in kinds.items()})
+            ids, at = np.unique(right.column("doc").to_numpy(), return_index=True)
+            n = right.column("n").to_numpy()[at]
+            sketch = np.frombuffer(b"".join(right.column("bits").to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)[at]
+            word, comp = left.column("word").to_numpy(), left.column("comp").to_numpy()
+            doc = np.searchsorted(ids, left.column("doc").to_numpy())
+            order = np.lexsort([doc, word])
+            word, comp, doc = word[order], comp[order], doc[order]
+            edge = np.flatnonzero(np.r_[True, word[1:] != word[:-1], True])
+            found, held, size = [], [], 0
+            for x, y in zip(edge[:-1], edge[1:]):
+                for r in range(x, y, 512):  # blocks of a frequent word
+                    d, c = doc[r:min(y, r + 512)], comp[r:min(y, r + 512)]
+                    i, j = np.nonzero((d[:, None] < doc[None, x:y]) & (c[:, None] != comp[None, x:y]))
+                    held.append(d[i] * np.int64(len(ids)) + doc[x:y][j])
+                    size += len(i)
+                    if size > 1 << 20:
+                        found.append(_near(np.concatenate(held), ids, n, sketch, layout))
+                        held, size = [], 0
+            found.append(_near(np.concatenate(held), ids, n, sketch, layout))
+            pairs = np.unique(np.concatenate(found))
+            return pa.table({"a": ids[pairs // len(ids)], "b": ids[pairs % len(ids)]})
+
+        return (rows.groupBy("bucket").cogroup(bits.groupBy("bucket")).applyInArrow(meet, "a long, b long").distinct())
+
+    def _bit_sketches(self) -> DataFrame:
+        """(doc, n, bits): every element of a document's set flips one bit."""
+        def flip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                out, n = [], []
+                for s in sets(b.column(1)):
+                    n.append(len(s))
+                    odd = np.bincount((K.mix(s) % U(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+                    out.append(np.packbits(odd.astype(np.uint8)).tobytes())
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(out, pa.binary())],
+                                                 names=["doc", "n", "bits"])
+
+        return self.texts.select("doc", "text").mapInArrow(flip, "doc long, n long, bits binary")
 
     def pairs(self) -> DataFrame:
         """All links (a, b), a < b, between class representatives; with ``member`` they
@@ -337,6 +374,21 @@ class Join:
                 .select("id", "n", F.when(F.col("n") > 0, F.col("comp")).otherwise(F.col("id")).alias("component_id")))
 
 
+def _near(pairs: np.ndarray, ids, n, sketch, layout: Layout) -> np.ndarray:
+    """The pairs (place of a times number of documents, plus place of b) whose bit sketches
+    differ in no more bits than linked sets of their sizes can."""
+    pairs = np.unique(pairs)
+    keep = []
+    for at in range(0, len(pairs), 1 << 14):
+        part = pairs[at:at + (1 << 14)]
+        a, b = part // len(ids), part % len(ids)
+        apart = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64)
+        most = (100 - layout.p) * (n[a] + n[b]) // (100 + layout.p)
+        fits = 100 * np.minimum(n[a], n[b]) >= layout.p * np.maximum(n[a], n[b])
+        keep.append(part[(apart <= most) & fits])
+    return np.concatenate([np.zeros(0, np.int64), *keep])
+
+
 def _packed(words: list, owner: list, band: list, count: int) -> pa.RecordBatch:
     """Rows (bucket, base, narrow, words, ids, bands): a batch's words by bucket, sorted
     and stored as differences; ids as differences from the least."""
