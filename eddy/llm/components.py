@@ -1,55 +1,5 @@
-"""Connected components by hooking to the least neighbour and contracting, in SQL only.
+"""Connected components over (u, v) edges: the library's contraction rounds."""
 
-Each round every node of the remaining edges points to the least of itself and its
-neighbours, follows that pointer once more, and the edges are rewritten between what
-their ends point to. Loops and repeats go, so edges vanish in a number of rounds that is
-logarithmic in practice (node ids are hashes, so no order of the input makes long chains).
+from eddy.operators.graph import contract as components
 
-A hub's edges meet by ``groupBy(...).min`` (combined before the shuffle); every join is
-between tables read back from the shared folder, one of them with a row per key, so that
-adaptive execution splits a hub's partition. Nothing but an emptiness test reaches the
-driver, and superseded tables are deleted.
-"""
-
-from __future__ import annotations
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from eddy.llm.scratch import Scratch
-
-
-def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, root) for every node of ``edges`` (u, v: long, not null). The root is some
-    node of the same component, the same for all of them."""
-    def tidy(e: DataFrame) -> DataFrame:
-        return (e.where(F.col("u") != F.col("v"))
-                .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-
-    rest = scratch.table(tidy(edges), "edges")
-    labels = None
-    while not rest.isEmpty():
-        both = rest.unionAll(rest.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        hook = scratch.table(both.groupBy("u").agg(F.min("v").alias("m"))
-                             .select("u", F.least("u", "m").alias("m")), "hook")
-        jump = scratch.table(
-            hook.alias("a").join(hook.alias("b"), F.col("a.m") == F.col("b.u"))
-            .select(F.col("a.u").alias("u"), F.col("b.m").alias("m")), "jump")
-        if labels is None:
-            new = scratch.table(jump.select(F.col("u").alias("node"), F.col("m").alias("root")), "labels")
-        else:
-            new = scratch.table(
-                labels.alias("l").join(jump.alias("j"), F.col("l.root") == F.col("j.u"), "left")
-                .select("node", F.coalesce("j.m", "l.root").alias("root")), "labels")
-            scratch.drop(labels)
-        labels = new
-        left = scratch.table(rest.alias("e").join(jump.alias("j"), F.col("e.u") == F.col("j.u"))
-                             .select(F.col("j.m").alias("u"), F.col("e.v").alias("v")).distinct(), "half")
-        smaller = scratch.table(tidy(
-            left.alias("e").join(jump.alias("j"), F.col("e.v") == F.col("j.u"))
-            .select(F.col("e.u").alias("u"), F.col("j.m").alias("v"))), "edges")
-        scratch.drop(hook, jump, left, rest)
-        rest = smaller
-    if labels is None:
-        labels = rest.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return labels
+__all__ = ["components"]

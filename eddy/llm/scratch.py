@@ -1,48 +1,5 @@
-"""Intermediate tables in the folder that driver and executors share.
+"""Intermediate tables in the shared folder: the library's helper."""
 
-Lineage is cut by writing a Parquet table below ``spark.checkpoint.dir`` and reading it
-back. A lost executor then costs a re-read, never a recomputation of what came before,
-and the exchanges of a later join stay plain ones that adaptive execution can split.
-"""
+from eddy.scratch import Scratch, delete
 
-from __future__ import annotations
-
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-from eddy.session import checkpoint_dir
-
-
-class Scratch:
-    """Tables of one query run, each in a folder of its own below the shared folder."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        checkpoint_dir(spark)  # fixes the folder when the session names none
-        base = spark.conf.get("spark.checkpoint.dir").rstrip("/")
-        self.spark = spark
-        self.root = f"{base}/eddy-{name}-{uuid.uuid4().hex}"
-        self._n = 0
-
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and return the table read back (same schema)."""
-        path = self.path(name)
-        df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out._eddy_path = path
-        return out
-
-    def path(self, name: str) -> str:
-        self._n += 1
-        return f"{self.root}/{self._n:03d}-{name}"
-
-    def drop(self, *tables: DataFrame) -> None:
-        """Delete tables that nothing reads any more."""
-        for df in tables:
-            delete(self.spark, df._eddy_path)
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+__all__ = ["Scratch", "delete"]
