@@ -21,7 +21,7 @@ from ..config import STATE_STORES
 JOIN_OUT = "name string, city string, state string, auction_id long"
 SESSION_OUT = "bidder long, session_start timestamp, session_end timestamp, num long, is_final boolean"
 STATE_OUT = ("key long, sequence_number long, first_payload string, last_payload string, "
-             "concat_length long, list_size long, map_size long")
+             "position long, map_entry string")
 
 
 def use_rocksdb(spark) -> None:
@@ -53,9 +53,13 @@ class EmitOnceJoin(StatefulProcessor):
         return [r[0] for r in self.waiting.get()]
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["date_time", "side", "rid", "copy"])
-        out = []
         person = self.person.get() if self.person.exists() else None
+        for pdf in rows:
+            person, out = self._batch(pdf.sort_values(["date_time", "side", "rid", "copy"]), person)
+            yield pd.DataFrame(out, columns=["name", "city", "state", "auction_id"])
+
+    def _batch(self, pdf: pd.DataFrame, person) -> tuple:
+        out = []
         for r in pdf.itertuples(index=False):
             if r.side == 0:
                 if person is not None and self.keep == "first":
@@ -71,7 +75,7 @@ class EmitOnceJoin(StatefulProcessor):
                 self.waiting.updateValue((int(r.rid),), (True,))
             else:
                 self.waiting.appendValue((int(r.rid),))
-        yield pd.DataFrame(out, columns=["name", "city", "state", "auction_id"])
+        return person, out
 
     def close(self) -> None:
         pass
@@ -86,7 +90,11 @@ def emit_once_stream(tagged: DataFrame, keep: str = "last", dedupe_waiting: bool
 class EarlySessionCount(StatefulProcessor):
     """Per bidder, sessions closed by ``gap_ms`` of inactivity; an early row each
     time ``every`` more bids arrived (running count), a final row when the watermark
-    passes the session end (event-time timer)."""
+    passes the session end (event-time timer).
+
+    Bids may come in any order within the watermark's bound: a key holds a list of open
+    sessions, a bid joins all of them that it touches, and their counts and counters add
+    up. A bid never moves a session's last time back."""
 
     def __init__(self, gap_ms: int, every: int):
         self.gap = pd.Timedelta(milliseconds=gap_ms)
@@ -94,47 +102,90 @@ class EarlySessionCount(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.s = handle.getValueState("session", "start timestamp, last timestamp, num long, counter long")
+        self.open = handle.getListState("sessions", "start timestamp, last timestamp, num long, counter long")
 
     def _ms(self, t) -> int:
         return int(pd.Timestamp(t).value // 1_000_000)
 
+    def _sessions(self) -> list[list]:
+        if not self.open.exists():
+            return []
+        return [[pd.Timestamp(a), pd.Timestamp(b), int(n), int(c)] for a, b, n, c in self.open.get()]
+
+    def _keep(self, sessions: list[list]) -> None:
+        if sessions:
+            self.open.put([(a.to_pydatetime(), b.to_pydatetime(), n, c) for a, b, n, c in sessions])
+        else:
+            self.open.clear()
+
     def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["date_time", "event_id"])
-        bidder = int(key[0])
-        out = []
-        st = self.s.get() if self.s.exists() else None
-        if st is not None:
-            start, last, num, counter = pd.Timestamp(st[0]), pd.Timestamp(st[1]), int(st[2]), int(st[3])
-            self.handle.deleteTimer(self._ms(last + self.gap))
-        for t in pdf["date_time"]:
-            t = pd.Timestamp(t)
-            if st is not None and t - last <= self.gap:
-                last, num, counter = t, num + 1, counter + 1
-            else:
-                if st is not None:
-                    out.append((bidder, start, last + self.gap, num, True))
-                st = True
-                start, last, num, counter = t, t, 1, 1
-            if counter >= self.every:
-                out.append((bidder, start, last + self.gap, num, False))
-                counter = 0
-        self.s.update((start.to_pydatetime(), last.to_pydatetime(), num, counter))
-        self.handle.registerTimer(self._ms(last + self.gap))
+        sessions = self._sessions()
+        before = {self._ms(s[1] + self.gap) for s in sessions}
+        bidder, out = int(key[0]), []
+        for pdf in rows:
+            for t in pdf.sort_values(["date_time", "event_id"])["date_time"]:
+                t = pd.Timestamp(t)
+                met = [s for s in sessions if s[0] - self.gap <= t <= s[1] + self.gap]
+                new = [min([t, *(s[0] for s in met)]), max([t, *(s[1] for s in met)]),
+                       1 + sum(s[2] for s in met), 1 + sum(s[3] for s in met)]
+                sessions = [s for s in sessions if not any(s is m for m in met)] + [new]
+                if new[3] >= self.every:
+                    out.append((bidder, new[0], new[1] + self.gap, new[2], False))
+                    new[3] = 0
+        after = {self._ms(s[1] + self.gap) for s in sessions}
+        for ms in before - after:
+            self.handle.deleteTimer(ms)
+        for ms in after - before:
+            self.handle.registerTimer(ms)
+        self._keep(sessions)
         yield pd.DataFrame(out, columns=["bidder", "session_start", "session_end", "num", "is_final"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        out = []
-        if self.s.exists():
-            start, last, num, _c = self.s.get()
-            out.append((int(key[0]), pd.Timestamp(start), pd.Timestamp(last) + self.gap, int(num), True))
-            self.s.clear()
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        sessions = self._sessions()
+        ended = [s for s in sessions if self._ms(s[1] + self.gap) <= now]
+        self._keep([s for s in sessions if not any(s is e for e in ended)])
+        out = [(int(key[0]), a, b + self.gap, n, True) for a, b, n, _ in ended]
         yield pd.DataFrame(out, columns=["bidder", "session_start", "session_end", "num", "is_final"])
 
     def close(self) -> None:
         pass
 
 
+class SequenceCheck(StatefulProcessor):
+    """C1 / C2 on a stream: the last sequence number of a key is kept for ever; an event
+    whose number doesn't follow it gives an alert (``exactly_once``: by exactly 1,
+    ``at_least_once``: by at most 1). The first event is held against 0."""
+
+    def __init__(self, mode: str):
+        if mode not in ("exactly_once", "at_least_once"):
+            raise ValueError(f"unknown mode {mode!r}")
+        self.exact = mode == "exactly_once"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "seq long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        previous = int(self.last.get()[0]) if self.last.exists() else 0
+        for pdf in rows:
+            seq = pdf.sort_values(["event_time", "event_id", "copy"])["sequence_number"].astype("int64")
+            before = seq.shift(1, fill_value=previous)
+            bad = (seq - before != 1) if self.exact else (seq - before > 1)
+            previous = int(seq.iloc[-1]) if len(seq) else previous
+            yield pd.DataFrame({"key": int(key[0]), "previous": before[bad], "sequence_number": seq[bad]})
+        self.last.update((previous,))
+
+    def close(self) -> None:
+        pass
+
+
+def sequence_check_stream(ev: DataFrame, mode: str) -> DataFrame:
+    """``ev``: key, event_time, event_id, copy, sequence_number (streaming), arriving in
+    that order from batch to batch."""
+    return ev.select("key", "event_time", "event_id", "copy", "sequence_number").groupBy("key").transformWithStateInPandas(
+        SequenceCheck(mode), "key long, previous long, sequence_number long", "append", "None")
+
+
 def early_session_stream(bids: DataFrame, gap_ms: int, every: int) -> DataFrame:
     """``bids``: bidder, date_time (TIMESTAMP, watermarked), event_id (streaming)."""
     return bids.groupBy("bidder").transformWithStateInPandas(
@@ -142,8 +193,12 @@ def early_session_stream(bids: DataFrame, gap_ms: int, every: int) -> DataFrame:
 
 
 class KeyedStates(StatefulProcessor):
-    """A4-A8 on one key: first value, last value, prepend-concat, list and map state.
-    Emits, per event, the event's sequence and a summary of the state after it.
+    """A4-A8 on one key: first value, last value, growing list (its reverse is the
+    concatenation, newest first) and map by sequence number.
+
+    Emits, per event, what its state operations read back: the first and last value, the
+    event's position in the list and the map's entry under its sequence number. The list
+    and the map only grow by appends; no event rewrites or re-reads a history.
 
     ``ttl_ms`` (processing-time mode only) expires the last value after that long
     without an update (state time-to-live). Not yet verified: with an ``availableNow``
@@ -156,32 +211,29 @@ class KeyedStates(StatefulProcessor):
         self.first = handle.getValueState("first", "payload string")
         self.last = (handle.getValueState("last", "payload string", self.ttl_ms) if self.ttl_ms
                      else handle.getValueState("last", "payload string"))
-        self.concat = handle.getValueState("concat", "payload string")
         self.size = handle.getValueState("size", "n long")
         self.items = handle.getListState("items", "payload string")
         self.map = handle.getMapState("by_seq", "seq long", "payload string")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("sequence_number")
         k = int(key[0])
-        out = []
         first = self.first.get()[0] if self.first.exists() else None
-        concat = self.concat.get()[0] if self.concat.exists() else ""
         n = int(self.size.get()[0]) if self.size.exists() else 0
-        for seq, payload in zip(pdf["sequence_number"], pdf["payload"]):
-            if first is None:                      # A4: store only when empty
-                first = payload
-                self.first.update((payload,))
-            self.last.update((payload,))           # A5: overwrite
-            concat = payload + concat              # A6: newest first
-            self.items.appendValue((payload,))     # A7
-            self.map.updateValue((int(seq),), (payload,))  # A8
-            n += 1
-            out.append((k, int(seq), first, payload, len(concat), n, n))
-        self.concat.update((concat,))
+        for pdf in rows:
+            pdf = pdf.sort_values("sequence_number")
+            out = []
+            for seq, payload in zip(pdf["sequence_number"], pdf["payload"]):
+                if first is None:                      # A4: store only when empty
+                    first = payload
+                    self.first.update((payload,))
+                self.last.update((payload,))           # A5: overwrite
+                self.map.updateValue((int(seq),), (payload,))  # A8
+                n += 1
+                out.append((k, int(seq), first, self.last.get()[0], n, self.map.getValue((int(seq),))[0]))
+            self.items.appendList([(p,) for p in pdf["payload"]])  # A6, A7
+            yield pd.DataFrame(out, columns=["key", "sequence_number", "first_payload", "last_payload", "position",
+                                             "map_entry"])
         self.size.update((n,))
-        yield pd.DataFrame(out, columns=["key", "sequence_number", "first_payload", "last_payload",
-                                         "concat_length", "list_size", "map_size"])
 
     def close(self) -> None:
         pass
