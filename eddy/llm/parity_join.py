@@ -141,6 +141,9 @@ class Join:
     def __init__(self, docs: DataFrame, spark: SparkSession, id_col: str = "doc_id", text_col: str = "text",
                  percent: int = 75):
         self.layout = Layout(percent)
+        # Texts reach a worker in batches of this many rows: with wide texts the default of
+        # 10,000 makes batches that weigh more than the work on them.
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
         self.scratch = Scratch(spark, "parity")
         self.docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
         self._classes()
@@ -177,7 +180,7 @@ class Join:
                         words.append(w)
                         owner.append(np.full(len(w), ids[i], dtype=np.int64))
                         band.append(np.full(len(w), c, dtype=np.uint8))
-                    if len(words) >= 20_000:
+                    if len(words) >= 4_000:
                         yield _packed(words, owner, band, count)
                         words, owner, band = [], [], []
                 if words:

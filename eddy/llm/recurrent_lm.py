@@ -43,8 +43,8 @@ SHAPES = 48            # classes of all other words
 CLASSES = HEADS + SHAPES
 SYMBOLS = HEADS * MEMBERS + SHAPES + 1   # inputs: frequent words, shapes, start
 START = SYMBOLS - 1
-LANES = 64
-WINDOW = 16
+LANES = 192            # wide enough that a step's work outweighs its calls
+WINDOW = 12
 PIECE = 512            # tokens of a document that are learnt in one lane
 STEP = 768             # tokens that a step of the optimiser gathers, at least
 SLICES = ((0, 1), (1, 4), (4, 12))  # of 12: what the rounds learn from
@@ -103,21 +103,35 @@ class Net:
         net.bc[:], net.bm[:] = np.log(class_prior), np.log(member_prior)
         return net
 
-    def step(self, x: np.ndarray, h: np.ndarray):
-        """One step of the gated unit: new state and what going back needs."""
-        a = self.wx[x] + self.un
-        b = h @ self.u
-        z, r = _sigmoid(a[:, :H] + b[:, :H]), _sigmoid(a[:, H:2 * H] + b[:, H:2 * H])
-        n = np.tanh(a[:, 2 * H:] + r * b[:, 2 * H:])
-        return (1 - z) * n + z * h, (z, r, n, b[:, 2 * H:])
+    def inputs(self) -> np.ndarray:
+        """What every input symbol adds to the gates."""
+        return self.wx + self.un
 
-    def log_class(self, h: np.ndarray) -> np.ndarray:
-        return _log_softmax(h @ self.wc + self.bc)
+    def step(self, a: np.ndarray, h: np.ndarray):
+        """One step of the gated unit from the inputs' share ``a`` (overwritten) and the
+        state: the new state and what going back needs."""
+        b = h @ self.u
+        zr, n, bn = a[:, :2 * H], a[:, 2 * H:], b[:, 2 * H:]
+        zr += b[:, :2 * H]
+        zr *= 0.5
+        np.tanh(zr, out=zr)
+        zr += 1.0
+        zr *= 0.5
+        n += zr[:, H:] * bn
+        np.tanh(n, out=n)
+        new = h - n
+        new *= zr[:, :H]
+        new += n
+        return new, (zr, n, bn)
 
     def log_token(self, h: np.ndarray, cls: np.ndarray, member: np.ndarray, tail: np.ndarray) -> np.ndarray:
         """Natural log probability of tokens given as class, member (frequent words) or
         log share within the class (``tail``, others)."""
-        out = self.log_class(h)[np.arange(len(cls)), cls].astype(np.float64)
+        x = h @ self.wc
+        x += self.bc
+        x -= x.max(axis=1, keepdims=True)
+        out = x[np.arange(len(cls)), cls].astype(np.float64)
+        out -= np.log(np.exp(x, out=x).sum(axis=1))
         head = cls < HEADS
         out[~head] += tail[~head]
         for g in np.unique(cls[head]):
@@ -136,47 +150,68 @@ def gradient(net: Net, x, first, cls, member, on, h0):
     the fixed shares inside shape classes, and the state after it. Arrays are step x lane;
     ``first`` marks document starts (state 0), ``on`` the tokens that count."""
     steps, lanes = x.shape
-    g = Net(np.zeros(Net.SIZE, dtype=np.float32))
-    hs, tape, h = [], [], h0
+    g = Net(np.zeros(Net.SIZE, dtype=net.flat.dtype))
+    given = net.inputs()[x]
+    states = np.empty((steps, lanes, H), dtype=net.flat.dtype)
+    starts = first.any(axis=1)
+    tape, h = [], h0
     for t in range(steps):
-        before = np.where(first[t][:, None], np.float32(0), h)
-        h, kept = net.step(x[t], before)
-        hs.append(h)
-        tape.append((before, *kept))
-    flat = np.concatenate(hs)
-    c, m, w = cls.ravel(), member.ravel(), on.ravel().astype(np.float32)
+        if starts[t]:
+            h = np.where(first[t][:, None], 0, h).astype(net.flat.dtype)
+        after, kept = net.step(given[t], h)
+        tape.append((h, *kept))
+        states[t] = h = after
+    flat = states.reshape(-1, H)
+    c, m = cls.ravel(), member.ravel()
+    w = on.ravel().astype(net.flat.dtype)
     rows = np.arange(len(c))
-    logp = net.log_class(flat)
-    loss = -(logp[rows, c] * w).sum()
-    d = np.exp(logp) * w[:, None]
+    d = flat @ net.wc
+    d += net.bc
+    d -= d.max(axis=1, keepdims=True)
+    picked = d[rows, c]
+    np.exp(d, out=d)
+    total = d.sum(axis=1)
+    loss = -((picked - np.log(total)) * w).sum()
+    d *= (w / total)[:, None]
     d[rows, c] -= w
     g.wc[:], g.bc[:] = flat.T @ d, d.sum(axis=0)
     dh_out = d @ net.wc.T
-    for k in np.unique(c[(c < HEADS) & (w > 0)]):
-        i = np.flatnonzero((c == k) & (w > 0))
-        lp = _log_softmax(flat[i] @ net.wm[k] + net.bm[k])
-        loss -= lp[np.arange(len(i)), m[i]].sum()
-        e = np.exp(lp)
-        e[np.arange(len(i)), m[i]] -= 1
-        g.wm[k], g.bm[k] = flat[i].T @ e, e.sum(axis=0)
-        dh_out[i] += e @ net.wm[k].T
+    order = np.argsort(np.where(w > 0, c, CLASSES), kind="stable")
+    edge = np.searchsorted(c[order][:int((w > 0).sum())], np.arange(HEADS + 1))
+    for k in range(HEADS):
+        i = order[edge[k]:edge[k + 1]]
+        if len(i):
+            lp = _log_softmax(flat[i] @ net.wm[k] + net.bm[k])
+            loss -= lp[np.arange(len(i)), m[i]].sum()
+            e = np.exp(lp)
+            e[np.arange(len(i)), m[i]] -= 1
+            g.wm[k], g.bm[k] = flat[i].T @ e, e.sum(axis=0)
+            dh_out[i] += e @ net.wm[k].T
     dh_out = dh_out.reshape(steps, lanes, H)
-    dh = np.zeros((lanes, H), dtype=np.float32)
-    da_all = np.empty((steps, lanes, 3 * H), dtype=np.float32)
-    db_all = np.empty_like(da_all)
+    dh = np.zeros((lanes, H), dtype=net.flat.dtype)
+    da = np.empty((steps, lanes, 3 * H), dtype=net.flat.dtype)
+    db = np.empty_like(da)
     for t in reversed(range(steps)):
-        before, z, r, n, bn = tape[t]
-        dh = dh + dh_out[t]
-        dn = dh * (1 - z) * (1 - n * n)
-        dz = dh * (before - n) * z * (1 - z)
-        dr = dn * bn * r * (1 - r)
-        da, db = da_all[t], db_all[t]
-        da[:, :H], da[:, H:2 * H], da[:, 2 * H:] = dz, dr, dn
-        db[:, :2 * H], db[:, 2 * H:] = da[:, :2 * H], dn * r
-        dh = np.where(first[t][:, None], np.float32(0), dh * z + db @ net.u.T)
-    before = np.concatenate([k[0] for k in tape])
-    g.u[:] = before.T @ db_all.reshape(-1, 3 * H)
-    da = da_all.reshape(-1, 3 * H)
+        before, zr, n, bn = tape[t]
+        z, r = zr[:, :H], zr[:, H:]
+        dh += dh_out[t]
+        dn = n * n
+        np.subtract(1, dn, out=dn)
+        dn *= dh
+        dn *= 1 - z
+        gate = zr * (1 - zr)
+        a, b = da[t], db[t]
+        np.multiply(dh * (before - n), gate[:, :H], out=a[:, :H])
+        np.multiply(dn * bn, gate[:, H:], out=a[:, H:2 * H])
+        a[:, 2 * H:] = dn
+        b[:, :2 * H] = a[:, :2 * H]
+        np.multiply(dn, r, out=b[:, 2 * H:])
+        dh *= z
+        dh += b @ net.u.T
+        if starts[t]:
+            dh[first[t]] = 0
+    g.u[:] = np.concatenate([k[0] for k in tape]).T @ db.reshape(-1, 3 * H)
+    da = da.reshape(-1, 3 * H)
     g.un[:] = da.sum(axis=0)
     order = np.argsort(x.ravel(), kind="stable")
     symbols, at = np.unique(x.ravel()[order], return_index=True)
@@ -421,6 +456,7 @@ def _log_likelihood(net: Net, first, cls, member, symbol, tail) -> np.ndarray:
     cls, member, tail = _with_end(cls, 0), _with_end(member, 0), _with_end(tail, 0.0)
     symbol = _with_end(symbol, START)
     last = len(cls) - 1  # where the end is
+    given = net.inputs()
     t, longest = 0, int(size[0]) if len(size) else 0
     while t < longest:
         steps = min(WINDOW, longest - t)
@@ -429,7 +465,7 @@ def _log_likelihood(net: Net, first, cls, member, symbol, tail) -> np.ndarray:
             live = int(np.searchsorted(-size, -k, side="left"))  # texts with more than k tokens
             s = start[:live]
             x = symbol[s + k - 1] if k else np.full(live, START)
-            h[:live], _ = net.step(x, h[:live])
+            h[:live], _ = net.step(given[x], h[:live])
             states.append(h[:live].copy())
             goals.append(np.where(k < size[:live] - 1, s + k, last))
             owners.append(np.arange(live))

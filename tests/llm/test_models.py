@@ -131,7 +131,7 @@ def test_state_is_carried_across_windows():
         h, x, s = np.zeros((1, recurrent_lm.H), np.float32), recurrent_lm.START, 0.0
         for k in range(n[d] + 1):
             i = first[d] + k
-            h, _ = net.step(np.array([x]), h)
+            h, _ = net.step(net.inputs()[[x]], h)
             goal = (cls[i], member[i], tail[i]) if k < n[d] else (0, 0, 0.0)
             s += net.log_token(h, *[np.array([g]) for g in goal])[0]
             x = symbol[i] if k < n[d] else x
