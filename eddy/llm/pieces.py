@@ -362,10 +362,14 @@ class Encoder:
         self.fast = model.splits and not model.charmap.units and not model.trim and model.escape
         self._reset()
 
+    def forget(self) -> None:
+        """Drop the kept runs: a worker outlives its task, and what follows needs the memory."""
+        self._reset()
+
     def _reset(self) -> None:
         self.known: dict[int, int] = {}
-        self.ids = np.zeros(1 << 20, dtype=np.int32)
-        self.sizes = np.zeros(1 << 20, dtype=np.int32)
+        self.ids = np.zeros(1 << 16, dtype=np.int32)
+        self.sizes = np.zeros(1 << 16, dtype=np.int32)
         self.first = [0]
 
     def encode(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -475,6 +479,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(pa.ListArray.from_arrays(ends, np.concatenate([np.zeros(0, np.int32), *c])) for c in cols)],
                 names=["id", "ids", "begin", "end"])
+        e.forget()
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = picked.schema["id"].dataType.simpleString()
@@ -502,6 +507,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(text, pa.string()),
                  pa.array(covered, pa.int64())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256", "span_bytes"])
+        e.forget()
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = picked.schema["id"].dataType.simpleString()

@@ -82,6 +82,36 @@ def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recurrent_lm.scores(_table(spark, sf_dir, "documents"), spark)
 
 
+def _rule_sql(host: str, path: str, column: str) -> str:
+    """CASE over the rules, longest first (allow before block among equals)."""
+    order = sorted(URL_RULES, key=lambda r: (-len(r.name), not r.allow))
+    when = " ".join(
+        f"WHEN ({host} = '{r.host}' OR ends_with({host}, '.{r.host}')) AND starts_with({path}, '{r.path}') "
+        f"THEN {repr(r.name) if column == 'name' else str(r.allow).lower()}" for r in order)
+    return f"CASE {when} END"
+
+
+# Aliases in the supplied pages are canonical spellings only, so a component is all urls of
+# one spelling; that, and the rules, plain SQL can say.
+ORACLE["op1_url_filters"] = f"""WITH a AS (
+  SELECT page_id, url, strpos(url, '://') > 0 AS known,
+         CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+b AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw FROM a),
+c AS (SELECT *, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path,
+             list_filter(string_split(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '&'),
+                         lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_|ref=|ref$)')) AS kept FROM b),
+d AS (SELECT *, regexp_replace(host, '^(www|m)\\.', '') AS bare, regexp_replace(path, '/+$', '') AS trimmed FROM c),
+e AS (SELECT *, bare || trimmed || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS spelling,
+             {_rule_sql("host", "path", "name")} AS rule, {_rule_sql("host", "path", "allow")} AS allow,
+             {_rule_sql("bare", "trimmed", "allow")} AS spelled FROM d),
+f AS (SELECT spelling, bool_or(x) AS shared FROM (SELECT spelling, unnest([allow, spelled]) AS x FROM e WHERE known)
+      GROUP BY spelling)
+SELECT page_id, host, path, rule, CASE WHEN coalesce(allow, shared, true) THEN 'allow' ELSE 'block' END AS verdict,
+       allow IS NULL AND shared IS NOT NULL AS inherited
+FROM e LEFT JOIN f ON e.spelling = f.spelling AND e.known"""
+
+
 @_query
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every conversation, and of conversation -1, read back from its format."""

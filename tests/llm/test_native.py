@@ -156,3 +156,11 @@ def test_chat_round_trip(spark):
         assert got[c].learnt == "".join(x for _, _, r, x in want if r == "assistant")
     assert got[1].valid and not got[2].valid and got[3].bad_moves == 1 and not got[3].valid
     assert chat.format_chats(d.limit(0)).count() == 0
+
+
+def test_url_query_equals_its_sql(spark):
+    from compare import compare, duck
+
+    from eddy.llm.queries import ORACLE
+    got = compare(QUERIES["op1_url_filters"](spark, SF), duck(SF), ORACLE["op1_url_filters"])
+    assert got["match"], got["diff"]
