@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Names of the two keyed-state operators whose tag the nested record carries.
-KRYO_STATE_OPERATOR = "ArtificalKeyedStateMapper_Kryo_and_Custom_Stateful"
-AVRO_STATE_OPERATOR = "ArtificalKeyedStateMapper_Avro"
+# Names of the two keyed-state operators whose tag the nested record carries.
+KRYO_STATE_OPERATOR = "keyed_state_generic"
+AVRO_STATE_OPERATOR = "keyed_state_schema"
 
 
 def filter_in(df: DataFrame, column: str, values: list) -> DataFrame:
