@@ -43,8 +43,8 @@ SHAPES = 48            # classes of all other words
 CLASSES = HEADS + SHAPES
 SYMBOLS = HEADS * MEMBERS + SHAPES + 1   # inputs: frequent words, shapes, start
 START = SYMBOLS - 1
-LANES = 192            # wide enough that a step's work outweighs its calls
-WINDOW = 12
+LANES = 64             # with WINDOW: an update for about 1,024 tokens
+WINDOW = 16            # how far back gradients go
 PIECE = 512            # tokens of a document that are learnt in one lane
 STEP = 768             # tokens that a step of the optimiser gathers, at least
 SLICES = ((0, 1), (1, 4), (4, 12))  # of 12: what the rounds learn from

@@ -136,3 +136,15 @@ def test_state_is_carried_across_windows():
             s += net.log_token(h, *[np.array([g]) for g in goal])[0]
             x = symbol[i] if k < n[d] else x
         assert abs(s - got[d]) < 1e-3
+
+
+def _random_docs(rng, sizes):
+    return [(rng.integers(0, recurrent_lm.SYMBOLS, n), rng.integers(0, recurrent_lm.CLASSES, n),
+             rng.integers(0, recurrent_lm.MEMBERS, n)) for n in sizes]
+
+
+def test_an_update_for_about_a_thousand_tokens():
+    rng = np.random.default_rng(7)
+    trainer = recurrent_lm.Trainer(rng.normal(0, 0.1, recurrent_lm.Net.SIZE).astype(np.float32), 0.01)
+    trainer.learn(_random_docs(rng, [200] * 400))
+    assert trainer.n >= 80_000 / 1_100 and recurrent_lm.WINDOW >= 16
