@@ -50,6 +50,8 @@ ROUNDS = 3
 BUCKET_WORDS = 1_000_000  # sketch words that one task of the exchange gets, about
 FILTER_BITS = 1 << 23
 SKETCH_BITS = 1 << 13
+OPEN_ROWS = 1 << 18       # (word, document) rows that one task of the last pairs gets, about
+OPEN_BLOCK = 4096         # documents of a word in a block
 U = np.uint64
 
 
@@ -293,20 +295,57 @@ class Join:
         return (met.groupBy("doc").agg(F.max_by("a", F.struct("shared", F.xxhash64("a"))).alias("a"))
                 .select("a", F.col("doc").alias("b")))
 
+    def _paired(self, rows: DataFrame, key: str, most_docs: int, most_elements: int) -> DataFrame:
+        """``rows`` (``key``, doc, n and more) with ``pair``, ``side`` and ``alone``: the rows
+        of a pair are those of one key, or of two blocks of a key that holds more than the
+        bounds. Blocks are cut by size level and hash, and only blocks of the same or of
+        neighbouring levels meet, since linked sizes differ by one level at most; any two
+        documents that may link meet in exactly one pair, on different sides or ``alone``."""
+        level = F.floor(F.log("n") / float(np.log(100.5 / self.layout.p))).cast("int")
+        rows = rows.withColumn("level", level)
+        whole = Window.partitionBy(key)
+        order = whole.orderBy("level")
+        k = F.ceil(F.greatest(F.col("docs") / most_docs, F.col("elements") / most_elements)).cast("int")
+        cut = (rows.groupBy(key, "level").agg(F.count("*").alias("docs"), F.sum("n").alias("elements"))
+               .withColumn("over", (F.sum("docs").over(whole) > most_docs) | (F.sum("elements").over(whole) > most_elements))
+               .where("over").select(key, "level", k.alias("k")))
+        for name, at, step in (("below", F.lag, -1), ("above", F.lead, 1)):
+            cut = cut.withColumn(name, F.when(at("level").over(order) == F.col("level") + step, at("k").over(order)).otherwise(0))
+        # A row per level of the keys beyond the bounds: a small share of the rows.
+        cut = self.scratch.table(cut, "cut")
+        s = F.pmod(F.xxhash64("doc", F.lit(9)), F.col("k")).cast("int")
+
+        def meets(count: str, la, sa, lb, sb, side) -> Column:
+            some = F.filter(F.sequence(F.lit(0), F.greatest(F.col(count), F.lit(1)) - 1), lambda t: t < F.col(count))
+            return F.transform(some, lambda t: F.struct(*(
+                (f(t) if callable(f) else f).cast("int").alias(x) for f, x in zip((la, sa, lb, sb, side), ("la", "sa", "lb", "sb", "side")))))
+
+        at, own, zero = F.col("level"), F.col("s"), F.lit(0)
+        pairs = F.when(F.col("k").isNull(), F.array(F.struct(*(zero.alias(x) for x in ("la", "sa", "lb", "sb", "side"))))).otherwise(F.concat(
+            meets("k", at, lambda t: F.least(own, t), at, lambda t: F.greatest(own, t), lambda t: own > t),
+            meets("below", at - 1, lambda t: t, at, own, F.lit(1)),
+            meets("above", at, own, at + 1, lambda t: t, zero)))
+        rows = rows.join(F.broadcast(cut), [key, "level"], "left").withColumn("s", s).withColumn("p", F.explode(pairs))
+        return (rows.withColumn("pair", F.xxhash64(key, "p.la", "p.sa", "p.lb", "p.sb")).withColumn("side", F.col("p.side"))
+                .withColumn("alone", F.expr("p.la = p.lb and p.sa = p.sb")).drop("level", "k", "below", "above", "s", "p"))
+
     def _open_pairs(self, words: DataFrame) -> DataFrame:
         """Pairs of different components that share a word and may link.
 
-        Words come together by buckets, each with the bit sketches of its documents; a task
-        walks through the pairs of a word in blocks and returns only those whose sketches
-        differ in no more bits than linked sets can. A word whose documents all lie in one
-        component is left out before."""
+        The documents of a word come together, those of a frequent word as pairs of blocks;
+        a task gets a bounded number of them with the bit sketches of their documents, walks
+        through the pairs and returns only those whose sketches differ in no more bits than
+        linked sets can. A word whose documents all lie in one component is left out before."""
         mixed = self.scratch.table(words.groupBy("word").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
                                    .where("x <> y").select("word"), "mixed")
-        rows = self.scratch.table(words.join(mixed, "word").select("word", "doc", "comp"), "open")
-        count = max(1, -(-rows.count() // BUCKET_WORDS))
-        bucket = F.pmod(F.xxhash64("word"), F.lit(count)).cast("int").alias("bucket")
-        rows = rows.select(bucket, "word", "doc", "comp")
-        bits = self.scratch.table(rows.select("bucket", "doc").distinct().join(self._bit_sketches(), "doc"), "bits")
+        sketches = self.scratch.table(self._bit_sketches(), "sketches")
+        rows = words.join(mixed, "word").select("word", "doc", "comp").join(sketches.select("doc", "n"), "doc")
+        rows = self._paired(self.scratch.table(rows, "mixedrows"), "word", OPEN_BLOCK, 1 << 62)
+        rows = self.scratch.table(rows.select("pair", "side", "alone", "doc", "comp"), "open")
+        count = max(1, -(-rows.count() // OPEN_ROWS))
+        bucket = F.pmod(F.xxhash64("pair"), F.lit(count)).cast("int").alias("bucket")
+        rows = rows.select(bucket, "pair", "side", "alone", "doc", "comp")
+        bits = self.scratch.table(rows.select("bucket", "doc").distinct().join(sketches, "doc"), "bits")
         layout = self.layout
 
         def meet(key, left, right):
@@ -316,22 +355,27 @@ class Join:
             ids, at = np.unique(right.column("doc").to_numpy(), return_index=True)
             n = right.column("n").to_numpy()[at]
             sketch = np.frombuffer(b"".join(right.column("bits").to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)[at]
-            word, comp = left.column("word").to_numpy(), left.column("comp").to_numpy()
+            pair, comp, side = (left.column(x).to_numpy() for x in ("pair", "comp", "side"))
+            alone = left.column("alone").to_numpy()
             doc = np.searchsorted(ids, left.column("doc").to_numpy())
-            order = np.lexsort([doc, word])
-            word, comp, doc = word[order], comp[order], doc[order]
-            edge = np.flatnonzero(np.r_[True, word[1:] != word[:-1], True])
+            order = np.lexsort([doc, pair])
+            pair, comp, doc, side, alone = pair[order], comp[order], doc[order], side[order], alone[order]
+            edge = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1], True])
             found, held, size = [], [], 0
             for x, y in zip(edge[:-1], edge[1:]):
-                for r in range(x, y, 512):  # blocks of a frequent word
-                    d, c = doc[r:min(y, r + 512)], comp[r:min(y, r + 512)]
-                    i, j = np.nonzero((d[:, None] < doc[None, x:y]) & (c[:, None] != comp[None, x:y]))
-                    held.append(d[i] * np.int64(len(ids)) + doc[x:y][j])
+                for r in range(x, y, 512):
+                    to = min(y, r + 512)
+                    meets = (doc[r:to, None] < doc[None, x:y]) & (comp[r:to, None] != comp[None, x:y])
+                    if not alone[x]:
+                        meets &= side[r:to, None] != side[None, x:y]
+                    i, j = np.nonzero(meets)
+                    held.append(doc[r:to][i] * np.int64(len(ids)) + doc[x:y][j])
                     size += len(i)
                     if size > 1 << 20:
                         found.append(_near(np.concatenate(held), ids, n, sketch, layout))
                         held, size = [], 0
-            found.append(_near(np.concatenate(held), ids, n, sketch, layout))
+            if held:
+                found.append(_near(np.concatenate(held), ids, n, sketch, layout))
             pairs = np.unique(np.concatenate(found))
             return pa.table({"a": ids[pairs // len(ids)], "b": ids[pairs % len(ids)]})
 

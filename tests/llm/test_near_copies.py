@@ -99,3 +99,38 @@ def test_sketch_words_share_what_the_bounds_promise():
             x, y = dict(J.sketch_words(a, layout)), dict(J.sketch_words(b, layout))
             band = max(len(a), len(b)).bit_length() - 1
             assert len(np.intersect1d(x[band], y[band])) >= max(layout.bound(len(a)), layout.bound(len(b)))
+
+
+def _one_word(spark, n):
+    """A join and rows of one word that ``n`` documents of their own components share."""
+    rows = [(i, f"alpha beta gamma own{i // 2 * 2} " + " ".join(f"{w}{i // 2}" for w in range(8 + i % 90)), "s") for i in range(n)]
+    d = docs(spark, rows)
+    join = J.Join(d, spark)
+    join.texts = d.select(d.doc_id.alias("doc"), "text")
+    return join, spark.createDataFrame([(7, i, i) for i in range(n)], "word long, doc long, comp long"), rows
+
+
+def test_last_pairs_when_a_flush_ends_a_word(spark):
+    join, words, _ = _one_word(spark, 1449)  # 1,049,076 pairs: the last block passes 1 << 20
+    assert join._open_pairs(words).count() >= 0
+
+
+def test_frequent_words_are_cut_into_bounded_blocks(spark, monkeypatch):
+    join, words, rows = _one_word(spark, 300)
+    n = {i: len(shingles(t)) for i, t, _ in rows}
+    sized = words.join(spark.createDataFrame(list(n.items()), "doc long, n long"), "doc")
+    met, held = {}, {}
+    for r in join._paired(sized, "word", 20, 1 << 62).collect():
+        held.setdefault(r.pair, []).append(r)
+    for group in held.values():
+        assert len(group) <= 3 * 20
+        for a in group:
+            for b in group:
+                if a.doc < b.doc and (a.alone or a.side != b.side):
+                    met[a.doc, b.doc] = met.get((a.doc, b.doc), 0) + 1
+    assert set(met.values()) == {1}
+    assert all((a, b) in met for a in n for b in n if a < b and 100 * min(n[a], n[b]) >= 75 * max(n[a], n[b]))
+    want = {(r.a, r.b) for r in join._links(join._open_pairs(words)).collect()}
+    monkeypatch.setattr(J, "OPEN_BLOCK", 20)
+    got = {(r.a, r.b) for r in join._links(join._open_pairs(words)).collect()}
+    assert got == want and len(got) > 50
