@@ -52,6 +52,8 @@ FILTER_BITS = 1 << 23
 SKETCH_BITS = 1 << 13
 OPEN_ROWS = 1 << 18       # (word, document) rows that one task of the last pairs gets, about
 OPEN_BLOCK = 4096         # documents of a word in a block
+LINK_BLOCK = 1024         # classes of a component in a block, and
+LINK_ELEMENTS = 1 << 18   # elements of their sets, about
 U = np.uint64
 
 
@@ -413,6 +415,7 @@ class Join:
                                 else self._open_pairs(now))
             links = found if links is None else self.scratch.table(links.unionAll(found), "alllinks")
         roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), self.scratch)
+        self.roots = roots = self.scratch.table(roots, "roots")
         least = self.scratch.table(roots.groupBy("root").agg(F.min("node").alias("least")), "least")
         moved = self.scratch.table(roots.join(least, "root").select(F.col("node").alias("rep"), "least"), "moved")
         named = (self.member.join(moved, "rep", "left").groupBy("id").agg(F.min(F.coalesce("least", "rep")).alias("comp")))
@@ -420,6 +423,79 @@ class Join:
         return (self.sizes.join(named, "id", "left")
                 .select("id", "n", F.when(F.col("n") > 0, F.col("comp")).otherwise(F.col("id")).alias("component_id")))
 
+    def degrees(self) -> DataFrame:
+        """(id, n_links) after ``labels``: the other documents that an id links with.
+
+        Links lie inside components, so the classes of a component meet there, those of a
+        large one as pairs of blocks, and their sets are compared exactly. A task returns
+        a row per class of a block, not its pairs; a class counts as many documents as it has."""
+        sizes = self.scratch.table(self.member.groupBy("rep").agg(F.countDistinct("id").alias("w"), F.max("n").alias("n")), "classes")
+        rows = (self.roots.select(F.col("node").alias("rep"), F.col("root").alias("comp")).join(sizes, "rep")
+                .withColumnRenamed("rep", "doc"))
+        rows = self._paired(self.scratch.table(rows, "grouped"), "comp", LINK_BLOCK, LINK_ELEMENTS)
+        rows = rows.select("pair", "side", "alone", "doc", "w")
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in sets(b.column(1))], pa.binary())],
+                                                 names=["doc", "elements"])
+
+        own = self.texts.join(self.roots.select(F.col("node").alias("doc")), "doc", "left_semi").select("doc", "text")
+        own = self.scratch.table(own.mapInArrow(pack, "doc long, elements binary"), "elements")
+        p = self.layout.p
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            last, held = None, []  # the pair that the rows belong to
+            done = []
+            for b in batches:
+                for pair, side, alone, doc, w, e in zip(*(b.column(i).to_pylist() for i in range(6))):
+                    if pair != last and held:
+                        done += _counted(held, p)
+                        held = []
+                    last = pair
+                    held.append((side, alone, doc, w, np.frombuffer(e, np.uint64)))
+                if done:
+                    yield _rows(done)
+                    done = []
+            if held:
+                yield _rows(_counted(held, p))
+
+        met = rows.join(own, "doc").select("pair", "side", "alone", "doc", "w", "elements")
+        met = met.repartition("pair").sortWithinPartitions("pair").mapInArrow(count, "doc long, links long")
+        linked = self.scratch.table(met.groupBy(F.col("doc").alias("rep")).agg(F.sum("links").alias("links")), "linked")
+        every = self.scratch.table(
+            sizes.join(linked, "rep", "left").select("rep", (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "degree")
+        return self.scratch.table(self.member.join(every, "rep").groupBy("id").agg(F.max("n_links").alias("n_links")), "degrees")
+
+
+def _counted(rows: list, percent: int) -> list[tuple[int, int]]:
+    """(doc, documents it links with) of the rows (side, alone, doc, weight, set) of one pair."""
+    side = np.array([r[0] for r in rows])
+    w = np.array([r[3] for r in rows], dtype=np.int64)
+    n = np.array([len(r[4]) for r in rows], dtype=np.int64)
+    owner = np.repeat(np.arange(len(rows)), n)
+    _, column, often = np.unique(np.concatenate([r[4] for r in rows]), return_inverse=True, return_counts=True)
+    shared = often[column] > 1  # elements of one set only never meet
+    owner, column = owner[shared], (np.cumsum(often > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((len(rows), len(rows)), dtype=np.int64)
+    width = max(64, (1 << 22) // len(rows))
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        x, y = np.searchsorted(column, (at, at + width))
+        on = np.zeros((len(rows), width), dtype=np.float32)
+        on[owner[x:y], column[x:y] - at] = 1
+        both += (on @ on.T).astype(np.int64)  # sums below 2^24: exact
+    link = (both > 0) & (100 * both >= percent * (n[:, None] + n[None, :] - both))
+    np.fill_diagonal(link, False)
+    if not rows[0][1]:
+        link &= side[:, None] != side[None, :]
+    return [(r[2], c) for r, c in zip(rows, (link @ w).tolist()) if c]
+
+
+def _rows(counts: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([c[i] for c in counts], pa.int64()) for i in (0, 1)], names=["doc", "links"])
+
 
 def _near(pairs: np.ndarray, ids, n, sketch, layout: Layout) -> np.ndarray:
     """The pairs (place of a times number of documents, plus place of b) whose bit sketches
@@ -457,9 +533,13 @@ def _packed(words: list, owner: list, band: list, count: int) -> pa.RecordBatch:
 
 def classes(docs: DataFrame, spark: SparkSession, id_col: str = "doc_id", text_col: str = "text",
             percent: int = 75) -> DataFrame:
-    """id, n_shingles, component_id (least id reachable by links) of every document."""
-    return Join(docs, spark, id_col, text_col, percent).labels().select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    """id, n_shingles, component_id (least id reachable by links), n_links (other documents
+    it links with; 0 without shingles, null for a null id) of every document."""
+    join = Join(docs, spark, id_col, text_col, percent)
+    found = join.labels()
+    return found.join(join.degrees(), "id", "left").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
+        F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("n_links")).otherwise(0)).alias("n_links"))
 
 
 def keep_one(docs: DataFrame, spark: SparkSession, id_col: str = "doc_id", text_col: str = "text",

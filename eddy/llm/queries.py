@@ -37,7 +37,7 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op2_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_shingles, component_id for every document."""
+    """doc_id, n_shingles, component_id, n_links for every document."""
     return parity_join.classes(_table(spark, sf_dir, "documents"), spark)
 
 

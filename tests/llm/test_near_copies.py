@@ -134,3 +134,13 @@ def test_frequent_words_are_cut_into_bounded_blocks(spark, monkeypatch):
     monkeypatch.setattr(J, "OPEN_BLOCK", 20)
     got = {(r.a, r.b) for r in join._links(join._open_pairs(words)).collect()}
     assert got == want and len(got) > 50
+
+
+@pytest.mark.parametrize("block", [1024, 3])
+def test_number_of_links(spark, monkeypatch, block):
+    monkeypatch.setattr(J, "LINK_BLOCK", block)
+    rows = _corpus(4)
+    sets = {i: shingles(t) for i, t, _ in rows}
+    want = {a: sum(a != b and bool(s) and 100 * len(s & t) >= 75 * len(s | t) for b, t in sets.items()) for a, s in sets.items()}
+    got = {r.doc_id: r.n_links for r in J.classes(docs(spark, rows), spark).collect()}
+    assert got == want and max(want.values()) > 2
