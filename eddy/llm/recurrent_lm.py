@@ -260,16 +260,25 @@ class Trainer:
             self.held_g += g
             self.held += int(on[w].sum())
             if self.held >= STEP or at + WINDOW >= steps and self.held >= STEP // 2:
-                self._update(self.held_g / self.held)
-                self.tokens += self.held
-                self.held_g[:], self.held = 0, 0
+                self._apply(1.0)
 
-    def _update(self, g: np.ndarray) -> None:
+    def finish(self) -> None:
+        """Learns from what is still held at the end of a task, by a step in proportion to
+        its tokens."""
+        if self.held:
+            self._apply(min(1.0, self.held / STEP))
+
+    def _apply(self, share: float) -> None:
+        self._update(self.held_g / self.held, share)
+        self.tokens += self.held
+        self.held_g[:], self.held = 0, 0
+
+    def _update(self, g: np.ndarray, share: float) -> None:
         g *= min(1.0, 1.0 / (float(np.sqrt((g * g).sum())) + 1e-9))
         self.n += 1
         self.m += 0.1 * (g - self.m)
         self.v += 0.01 * (g * g - self.v)
-        self.net.flat -= (self.rate * min(1.0, self.n / 20) * (self.m / (1 - 0.9 ** self.n))
+        self.net.flat -= (self.rate * share * min(1.0, self.n / 20) * (self.m / (1 - 0.9 ** self.n))
                           / (np.sqrt(self.v / (1 - 0.99 ** self.n)) + 1e-6)).astype(np.float32)
 
 
@@ -380,6 +389,7 @@ class Model:
                                          _with_end(member[a:b], 0)))
                         if docs:
                             trainer.learn(docs)
+                trainer.finish()
                 if trainer.tokens:
                     flat = (trainer.net.flat.astype(np.float64) * trainer.tokens).tobytes()
                     yield pa.RecordBatch.from_arrays([pa.array([trainer.tokens]), pa.array([flat], pa.binary())],

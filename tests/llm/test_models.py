@@ -148,3 +148,23 @@ def test_an_update_for_about_a_thousand_tokens():
     trainer = recurrent_lm.Trainer(rng.normal(0, 0.1, recurrent_lm.Net.SIZE).astype(np.float32), 0.01)
     trainer.learn(_random_docs(rng, [200] * 400))
     assert trainer.n >= 80_000 / 1_100 and recurrent_lm.WINDOW >= 16
+
+
+def test_a_short_document_of_a_task_is_learnt_from():
+    rng = np.random.default_rng(9)
+    start = rng.normal(0, 0.1, recurrent_lm.Net.SIZE).astype(np.float32)
+    trainer = recurrent_lm.Trainer(start, 0.01)
+    trainer.learn(_random_docs(rng, [30]))
+    trainer.finish()
+    assert trainer.tokens == 30 and trainer.held == 0 and np.abs(trainer.net.flat - start).max() > 0
+    trainer.learn(_random_docs(rng, [200] * 20))
+    trainer.finish()
+    assert trainer.tokens == 4030
+
+
+def test_every_partition_with_one_short_document_is_learnt_from(spark):
+    d = spark.createDataFrame([(i, f"one two three w{i}") for i in range(24)], "doc_id long, text string").repartition(24)
+    model = recurrent_lm.Model(d, spark)
+    before = model.net.copy()
+    model.train()
+    assert np.abs(model.net - before).max() > 0
