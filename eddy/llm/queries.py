@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddy.llm import chat, mixing, parity_join, pieces, quality_rules, recurrent_lm, sketch, toxicity, url_filters, warc
+from eddy.llm import (byte_pieces, chat, hard_negatives, mixing, parity_join, pieces, quality_rules, recurrent_lm, resampling,
+                      sketch, toxicity, url_filters, warc)
 from eddy.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +142,92 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts of every document, base_failed, the forest's anomaly score and kept."""
     docs = _table(spark, sf_dir, "documents")
     return quality_rules.judge(docs, quality_rules.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+@_query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """anchor_id, positive_id, rank, negative_id, positive_score, negative_score of all
+    anchors (ids divisible by 50) among all vectors."""
+    rows = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = hard_negatives.quantised(rows, F.col("vec_id"), label, F.col("embedding"))
+    return hard_negatives.mine(vectors, F.col("id") % 50 == 0, spark)
+
+
+ORACLE["op11_hard_negatives"] = """WITH a AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT u.r, u.vec_id AS anchor_id, v.vec_id, u.label = v.label AS same,
+             CAST(list_dot_product(u.q, v.q) AS BIGINT) AS score
+      FROM a u JOIN a v ON len(u.q) = len(v.q) AND u.vec_id <> v.vec_id WHERE u.vec_id % 50 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS k FROM s WHERE same)
+      WHERE k <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id,
+             s.score AS negative_score,
+             CAST(row_number() OVER (PARTITION BY p.r, p.k ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+      FROM p JOIN s ON s.r = p.r AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""
+
+
+@_query
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_features, weight, score, rank of every document, the target being benchmark."""
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), spark)
+
+
+def _crc_entries() -> list[int]:
+    """The byte table of CRC-32, from its polynomial."""
+    out = []
+    for x in range(256):
+        for _ in range(8):
+            x = x >> 1 ^ (0xEDB88320 if x & 1 else 0)
+        out.append(x)
+    return out
+
+
+_LOWERED = "translate(coalesce(text,''),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op12_resampling"] = f"""WITH crc AS MATERIALIZED (SELECT {_crc_entries()} AS t),
+d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS MATERIALIZED (SELECT regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+fd AS MATERIALIZED (SELECT r, unnest(list_concat(w, list_concat(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i+1]),
+   list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2])))) AS f FROM d),
+fb AS MATERIALIZED (SELECT unnest(list_concat(w, list_concat(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i+1]),
+   list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2])))) AS f FROM b),
+u AS MATERIALIZED (SELECT f, hex(encode(f)) AS x FROM (SELECT f FROM fd UNION SELECT f FROM fb)),
+k AS MATERIALIZED (SELECT f, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+   list_transform(range(0, len(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+   lambda s, c: xor(s >> 8, t[(xor(s, c) & 255) + 1]))) % 10000 AS bucket FROM u, crc),
+s AS (SELECT bucket, count(*) AS n FROM fd JOIN k USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM fb JOIN k USING (f) GROUP BY bucket),
+g AS MATERIALIZED (SELECT i AS bucket, CAST(floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE)
+   / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain
+   FROM range(10000) x(i) LEFT JOIN s ON s.bucket = i LEFT JOIN t ON t.bucket = i),
+w AS (SELECT r, sum(gain) AS weight FROM fd JOIN k USING (f) JOIN g USING (bucket) GROUP BY r),
+z AS (SELECT d.r, doc_id, len(w) AS words, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+   CAST('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+   FROM d LEFT JOIN w ON d.r = w.r),
+y AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM z),
+e AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS k FROM y WHERE words >= 20)
+SELECT doc_id, CAST(words + greatest(words - 1, 0) + greatest(words - 2, 0) AS BIGINT) AS n_features, weight, score,
+   CASE WHEN k <= 5 * (SELECT count(*) FROM e) // 100 THEN k END AS rank
+FROM y LEFT JOIN e USING (r)"""
+
+
+def byte_ranks() -> str:
+    """The multilingual rank file among the public tokenizers, installed at one path on all nodes."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@_query
+def op13_byte_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_tokens, ids_sha256, decoded_sha256 of every document."""
+    import public_tokenizers
+
+    path = byte_ranks()
+    tokens = byte_pieces.encode(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, spark)
+    return byte_pieces.digests(tokens, path)
