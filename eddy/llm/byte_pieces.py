@@ -12,8 +12,8 @@ last stitch on is one piece. Texts of one chunk skip the stitching.
 A match is trusted when it ends ``LOOKAHEAD`` characters before the chunk does: every
 alternative of the supplied pattern is a run of one class of characters, which is seen to
 end, or has three characters at most. A pre-token is encoded as a whole if the vocabulary
-has it, else by merges of the pair of least rank, the leftmost first; distinct pre-tokens
-of a batch are merged together (numpy) and kept in a bounded cache of the worker.
+has it, else by merges of the pair of least rank, the leftmost first. Distinct
+pre-tokens of a batch are merged together (numpy) and kept in a bounded cache of the worker.
 
 Defined cases: a null text counts as empty and has no ids; null ids and repeated rows pass
 row by row; an empty table gives no rows; columns other than the id and the text are
@@ -24,6 +24,7 @@ bytes of the ids; null ids give no bytes, an id outside the vocabulary is an err
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,27 +43,53 @@ LOOKAHEAD = 4
 _CACHE = 300_000
 
 
-class ByteModel(pieces.Model):
-    """Ranks read from their file. A symbol is a rank; single bytes are symbols too."""
+class Ranks:
+    """A rank file: bytes -> id, and back."""
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.path = path
-        self.pieces = [b""] * (max(self.ranks.values()) + 1)
-        for b, i in self.ranks.items():
-            self.pieces[i] = b
-        # The merging code takes runs of characters: byte x stands as character x.
-        self.symbol = {chr(x).encode(): self.ranks[bytes([x])] for x in range(256)}
-        self.symbol_bytes = [len(b.decode("latin-1").encode()) for b in self.pieces]
-        pairs = sorted((self.ranks[b[:cut]] << 20 | self.ranks[b[cut:]], i) for b, i in self.ranks.items()
-                       for cut in range(1, len(b)) if b[:cut] in self.ranks and b[cut:] in self.ranks)
-        self.pair = np.array([x[0] for x in pairs], dtype=np.int64)
-        self.pair_to = np.array([x[1] for x in pairs], dtype=np.int32)
+            self.of = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.bytes = {i: b for b, i in self.of.items()}
+
+
+class _Merges:
+    """Pair of ids -> (rank, merged id), by search in the sorted pairs."""
+
+    def __init__(self, pair: np.ndarray, to: np.ndarray):
+        self.pair, self.to = pair, to
+
+    def get(self, pair: int) -> tuple[int, int] | None:
+        i = int(np.searchsorted(self.pair, pair))
+        return (int(self.to[i]),) * 2 if i < len(self.pair) and self.pair[i] == pair else None
+
+
+class Merger(pieces.Model):
+    """Merges of the pair of least rank, with the piece encoder's code for many runs at
+    once: byte x stands as character x, a symbol is an id and its rank."""
+
+    def __init__(self, ranks: Ranks):
+        of = ranks.of
+        self.pieces = range(max(ranks.bytes) + 1)  # every symbol is final
+        self.symbol = {chr(x).encode(): of[bytes([x])] for x in range(256)}
+        self.symbol_bytes = [len(ranks.bytes.get(i, b"").decode("latin-1").encode()) for i in self.pieces]
+        pair, to = array("q"), array("i")
+        for b, i in of.items():
+            for cut in range(1, len(b)):
+                left, right = of.get(b[:cut]), of.get(b[cut:])
+                if left is not None and right is not None:
+                    pair.append(left << 20 | right)
+                    to.append(i)
+        order = np.argsort(np.asarray(pair))
+        self.pair, self.pair_to = np.asarray(pair)[order], np.asarray(to)[order]
         self.pair_rank = self.pair_to
         self.maybe = np.zeros(1 << 22, dtype=bool)
         self.maybe[pieces._slot(self.pair)] = True
-        self.merge = {k: (i, i) for k, i in pairs}
+        self.merge = _Merges(self.pair, self.pair_to)
+
+    def merged(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, first) of the pre-tokens, by merges alone."""
+        first, ids, _ = self.merge_many([t.decode("latin-1").encode() for t in tokens])
+        return ids, first
 
 
 class _Known(dict):
@@ -79,10 +106,12 @@ class _Known(dict):
 
 
 class Encoder:
-    """Encodes lists of pre-tokens with one vocabulary, keeping those seen before."""
+    """Encodes texts with one vocabulary, keeping the pre-tokens seen before."""
 
-    def __init__(self, path: str):
-        self.model = ByteModel(path)
+    def __init__(self, path: str, pattern: str):
+        ranks = Ranks(path)
+        self.of, self.merger = ranks.of, Merger(ranks)
+        self.split = regex.compile(pattern)
         self.forget()
 
     def forget(self) -> None:
@@ -91,47 +120,48 @@ class Encoder:
         self.ids = np.zeros(1 << 16, dtype=np.int32)
         self.first = np.zeros(1, dtype=np.int64)
 
-    def encode(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, ends): the ids of all pre-tokens in order, and where each one's ids end."""
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, first): the ids of all texts in order, text i's at ``first[i]:first[i + 1]``."""
         if len(self.known) > _CACHE:
             self.forget()
-        at = np.array([*map(self.known.__getitem__, tokens)], dtype=np.int64)
+        place, at, stops = self.known.__getitem__, array("q"), [0]
+        for text in texts:
+            if text:
+                at.extend(map(place, self.split.findall(text)))
+            stops.append(len(at))
         if self.known.fresh:
             self._learn(self.known.fresh)
             self.known.fresh = []
+        at = np.asarray(at)
         length = self.first[at + 1] - self.first[at]
-        ends = np.cumsum(length)
-        total = int(ends[-1]) if len(ends) else 0
-        pick = np.arange(total) + np.repeat(self.first[at] - (ends - length), length)
-        return self.ids[pick], ends
+        ends = np.concatenate([[0], np.cumsum(length)])
+        pick = np.arange(ends[-1]) + np.repeat(self.first[at] - ends[:-1], length)
+        return self.ids[pick], ends[stops]
 
     def _learn(self, tokens: list[str]) -> None:
-        m = self.model
         raw = [t.encode() for t in tokens]
-        whole = [m.ranks.get(b, -1) for b in raw]
-        rest = [i for i, r in enumerate(whole) if r < 0]
-        first, ids, _ = m.merge_many([raw[i].decode("latin-1").encode() for i in rest])
+        whole = np.array([self.of.get(b, -1) for b in raw], dtype=np.int32)
+        rest = np.flatnonzero(whole < 0)
+        ids, first = self.merger.merged([raw[i] for i in rest])
         count = np.ones(len(tokens), dtype=np.int64)
         count[rest] = np.diff(first)
-        ends = self.first[-1] + np.cumsum(count)
-        while ends[-1] > len(self.ids):
+        start = self.first[-1] + np.cumsum(count) - count
+        total = int(start[-1] + count[-1])
+        while total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        start = ends - count
-        direct = np.array(whole, dtype=np.int32)
-        self.ids[start[direct >= 0]] = direct[direct >= 0]
-        to = np.arange(len(ids)) + np.repeat(start[rest] - first[:-1], count[rest])
-        self.ids[to] = ids
-        self.first = np.concatenate([self.first, ends])
+        self.ids[start[whole >= 0]] = whole[whole >= 0]
+        self.ids[np.arange(len(ids)) + np.repeat(start[rest] - first[:-1], count[rest])] = ids
+        self.first = np.concatenate([self.first, start + count])
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, str], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, pattern: str) -> Encoder:
     """The worker's encoder for a rank file (which every node holds at this path)."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, pattern) not in _encoders:
+        _encoders[path, pattern] = Encoder(path, pattern)
+    return _encoders[path, pattern]
 
 
 def _lists(ends: list[int], flat: list[np.ndarray]) -> pa.Array:
@@ -144,16 +174,11 @@ def _encoded(df: DataFrame, path: str, pattern: str) -> DataFrame:
     head = [f for f in df.schema.fields if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e, split = encoder(path), regex.compile(pattern)
+        e = encoder(path, pattern)
         for b in batches:
             text = b.column(b.num_columns - 1)
             for at, to in K.parts(text, 2 << 20):
-                tokens, stops = [], [0]
-                for t in text.slice(at, to - at).to_pylist():
-                    tokens += split.findall(t or "")
-                    stops.append(len(tokens))
-                ids, ends = e.encode(tokens)
-                ends = np.concatenate([[0], ends])[stops]
+                ids, ends = e.encode(text.slice(at, to - at).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*(b.column(i).slice(at, to - at) for i in range(b.num_columns - 1)), _lists(ends[1:], [ids])],
                     names=[*(f.name for f in head), "ids"])
@@ -253,11 +278,14 @@ def decode(tokens: DataFrame, path: str, ids_col: str = "ids", name: str = "deco
     at = tokens.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(path)
-        of = dict(enumerate(e.model.pieces)).__getitem__
+        of = Ranks(path).bytes.__getitem__
         for b in batches:
-            out = [b"".join(map(of, ids or ())) for ids in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*b.schema.names, name])
+            for i in range(0, b.num_rows, 512):
+                part = b.slice(i, 512)
+                lists = part.column(at).fill_null([]) if part.column(at).null_count else part.column(at)
+                flat, first = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+                out = [b"".join(map(of, flat[x:y].tolist())) for x, y in zip(first, first[1:])]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], names=[*b.schema.names, name])
 
     return tokens.mapInArrow(run, schema)
 

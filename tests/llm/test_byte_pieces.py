@@ -6,7 +6,6 @@ import random
 
 import public_tokenizers as P
 import pytest
-import regex
 import tiktoken
 from conftest import SF001
 from llm.helpers import ODD, docs
@@ -35,13 +34,14 @@ def long_texts():
 
 
 def test_encoder_equals_library(library):
-    e = B.Encoder(PATH)
-    split = regex.compile(P.PATTERN)
+    e = B.Encoder(PATH, P.PATTERN)
     for text in [*long_texts(), "".join(map(chr, range(0x20, 0x2000))), "Zürich naïve " * 3, "a" * 3000]:
-        ids, ends = e.encode(split.findall(text))
-        assert ids.tolist() == library.encode_ordinary(text)
-        assert ends[-1] == len(ids)
+        ids, ends = e.encode([text, None, text])
+        assert ids.tolist() == library.encode_ordinary(text) * 2
+        assert ends.tolist() == [0, len(ids) // 2, len(ids) // 2, len(ids)]
     assert e.encode([])[0].tolist() == []
+    every = "".join(rf"{a}{b} {c}x" for a in "a'\n \x1c\u3000\x85" for b in "z \x1f\t'" for c in " \x1d\u2028é\n's")
+    assert e.encode([every])[0].tolist() == library.encode_ordinary(every)
 
 
 @pytest.mark.parametrize("chunk,overlap", [(64, 32), (50, 7), (1000, 100)])
