@@ -29,21 +29,12 @@ def timeless_rows(df: DataFrame, ts: str) -> DataFrame:
 def tumbling_pass(df: DataFrame, ts: str, size: str) -> DataFrame:
     """Every element re-emitted with the tumbling window that holds it.
 
-    In batch the window is known per row, so no grouping is needed; a streaming caller
-    that must emit only when the window closes uses ``tumbling_close``."""
+    In batch the window is known per row, so no grouping is needed; a stream that must emit
+    only when the window closes uses ``streaming.windows.window_members_stream``."""
     return df.select("*", F.window(ts, size).alias("_w")).select(
         *[F.col(c) for c in df.columns], *flat_window("_w"))
 
 
-def tumbling_close(df: DataFrame, key: str, ts: str, size: str, items: list[str]) -> DataFrame:
-    """W1 streaming form: collect a window's rows, emit them (append mode) once the
-    watermark closes the window. Each group is one key's rows of one window."""
-    g = df.groupBy(F.window(ts, size).alias("_w"), key).agg(
-        F.collect_list(F.struct(*items)).alias("_rows"))
-    return g.select(key, *flat_window("_w"), F.explode("_rows").alias("_r")).select(
-        key, "window_start", "window_end", "_r.*")
-
-
 def tumbling_count(df: DataFrame, key: str, ts: str, size: str) -> DataFrame:
     """W2 with a computed size: count per key and tumbling window."""
     return (df.groupBy(F.window(ts, size).alias("_w"), key)

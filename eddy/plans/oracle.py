@@ -309,6 +309,10 @@ SELECT key, event_time, payload, event_id, sequence_number AS position FROM ev""
 SELECT user_id AS key, ts AS event_time, event_id, cents,
        CAST(sum(cents) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total
 FROM e""",
+
+    "top_list": """SELECT event_type, place, value, event_id FROM (
+  SELECT event_type, value, event_id, row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS place
+  FROM events WHERE value IS NOT NULL) WHERE place <= 5""",
 }
 ORACLE["q3_join_sql"] = ORACLE["q3_join"]
 ORACLE["q5_sliding_count_sql"] = ORACLE["q5_panes"]

@@ -17,6 +17,7 @@ from ..operators import checks as C
 from ..operators import graph as G
 from ..operators import joins as J
 from ..operators import text as X
+from ..operators import user_aggregates as UA
 from ..operators import windows as W
 from ..operators.records import AVRO_STATE_OPERATOR, KRYO_STATE_OPERATOR, complex_payload, flatten_payload
 from ..operators.timing import late_rows
@@ -255,6 +256,16 @@ def upsert_latest(spark, d):
     return latest_per_key(a, ["seller"], ["date_time", "id"]).select("seller", "id", "reserve")
 
 
+# -- user aggregates -------------------------------------------------------------------
+
+def top_list(spark, d):
+    """The five largest values of every event type, by a mergeable user aggregate."""
+    lists = UA.aggregate_by(B.events(spark, d), ["event_type"], ["value", "event_id"], UA.TopList(5))
+    return lists.select("event_type", F.posexplode(F.arrays_zip("vals", "ids"))).select(
+        "event_type", (F.col("pos") + 1).cast("bigint").alias("place"), F.col("col.vals").alias("value"),
+        F.col("col.ids").alias("event_id"))
+
+
 # -- graph -----------------------------------------------------------------------------
 
 def connected_components(spark, d):
@@ -298,6 +309,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "state_nested_changes": state_nested_changes,
     "state_append_log": state_append_log,
     "running_sum": running_sum,
+    "top_list": top_list,
     "q11_session_count_sql": SQL.q11_session_count_sql,
     "q3_join_sql": SQL.q3_join_sql,
     "q5_sliding_count_sql": SQL.q5_sliding_count_sql,

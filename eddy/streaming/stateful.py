@@ -1,5 +1,6 @@
 """Stateful processors for the streaming forms that built-in operators cannot express:
-emit-once joins (J2, J3), session counts with early results (W6), keyed state (A4-A8).
+emit-once joins (J2, J3), sequence checks (C1, C2), keyed state (A4-A8). Windows are in
+``windows``, user folds in ``folds``.
 
 They run with ``groupBy(key).transformWithStateInPandas``: Spark shuffles rows by key
 and keeps the state in the state store (RocksDB); Python only sees one key's rows of one
@@ -17,9 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..config import STATE_STORES
+from . import windows
 
 JOIN_OUT = "name string, city string, state string, auction_id long"
-SESSION_OUT = "bidder long, session_start timestamp, session_end timestamp, num long, is_final boolean"
 STATE_OUT = ("key long, sequence_number long, first_payload string, last_payload string, "
              "position long, map_entry string")
 
@@ -87,71 +88,6 @@ def emit_once_stream(tagged: DataFrame, keep: str = "last", dedupe_waiting: bool
         EmitOnceJoin(keep, dedupe_waiting), JOIN_OUT, "append", "None")
 
 
-class EarlySessionCount(StatefulProcessor):
-    """Per bidder, sessions closed by ``gap_ms`` of inactivity; an early row each
-    time ``every`` more bids arrived (running count), a final row when the watermark
-    passes the session end (event-time timer).
-
-    Bids may come in any order within the watermark's bound: a key holds a list of open
-    sessions, a bid joins all of them that it touches, and their counts and counters add
-    up. A bid never moves a session's last time back."""
-
-    def __init__(self, gap_ms: int, every: int):
-        self.gap = pd.Timedelta(milliseconds=gap_ms)
-        self.every = every
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getListState("sessions", "start timestamp, last timestamp, num long, counter long")
-
-    def _ms(self, t) -> int:
-        return int(pd.Timestamp(t).value // 1_000_000)
-
-    def _sessions(self) -> list[list]:
-        if not self.open.exists():
-            return []
-        return [[pd.Timestamp(a), pd.Timestamp(b), int(n), int(c)] for a, b, n, c in self.open.get()]
-
-    def _keep(self, sessions: list[list]) -> None:
-        if sessions:
-            self.open.put([(a.to_pydatetime(), b.to_pydatetime(), n, c) for a, b, n, c in sessions])
-        else:
-            self.open.clear()
-
-    def handleInputRows(self, key, rows, timerValues):
-        sessions = self._sessions()
-        before = {self._ms(s[1] + self.gap) for s in sessions}
-        bidder, out = int(key[0]), []
-        for pdf in rows:
-            for t in pdf.sort_values(["date_time", "event_id"])["date_time"]:
-                t = pd.Timestamp(t)
-                met = [s for s in sessions if s[0] - self.gap <= t <= s[1] + self.gap]
-                new = [min([t, *(s[0] for s in met)]), max([t, *(s[1] for s in met)]),
-                       1 + sum(s[2] for s in met), 1 + sum(s[3] for s in met)]
-                sessions = [s for s in sessions if not any(s is m for m in met)] + [new]
-                if new[3] >= self.every:
-                    out.append((bidder, new[0], new[1] + self.gap, new[2], False))
-                    new[3] = 0
-        after = {self._ms(s[1] + self.gap) for s in sessions}
-        for ms in before - after:
-            self.handle.deleteTimer(ms)
-        for ms in after - before:
-            self.handle.registerTimer(ms)
-        self._keep(sessions)
-        yield pd.DataFrame(out, columns=["bidder", "session_start", "session_end", "num", "is_final"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        sessions = self._sessions()
-        ended = [s for s in sessions if self._ms(s[1] + self.gap) <= now]
-        self._keep([s for s in sessions if not any(s is e for e in ended)])
-        out = [(int(key[0]), a, b + self.gap, n, True) for a, b, n, _ in ended]
-        yield pd.DataFrame(out, columns=["bidder", "session_start", "session_end", "num", "is_final"])
-
-    def close(self) -> None:
-        pass
-
-
 class SequenceCheck(StatefulProcessor):
     """C1 / C2 on a stream: the last sequence number of a key is kept for ever; an event
     whose number doesn't follow it gives an alert (``exactly_once``: by exactly 1,
@@ -187,9 +123,16 @@ def sequence_check_stream(ev: DataFrame, mode: str) -> DataFrame:
 
 
 def early_session_stream(bids: DataFrame, gap_ms: int, every: int) -> DataFrame:
-    """``bids``: bidder, date_time (TIMESTAMP, watermarked), event_id (streaming)."""
-    return bids.groupBy("bidder").transformWithStateInPandas(
-        EarlySessionCount(gap_ms, every), SESSION_OUT, "append", "EventTime")
+    """W6 on ``bids``: bidder, date_time (TIMESTAMP, watermarked), event_id (streaming).
+
+    Sessions closed by ``gap_ms`` of inactivity; an early row each time ``every`` more bids
+    arrived (running count), a final row when the watermark passes the session end. Bids may
+    come in any order within the watermark's bound: a bid joins all sessions that it touches,
+    and their counts and counters add up."""
+    out = windows.keyed_windows_stream(bids, "bidder", "date_time", windows.Sessions(gap_ms), windows.EveryElements(every),
+                                       windows.Count(), ["date_time", "event_id"])
+    return out.select(F.col("key").alias("bidder"), F.col("window_start").alias("session_start"),
+                      F.col("window_end").alias("session_end"), "num", "is_final")
 
 
 class KeyedStates(StatefulProcessor):

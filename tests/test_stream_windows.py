@@ -124,32 +124,31 @@ def test_window_checks_stream_equals_batch(spark, tmp_path, part):
     assert {r[0] for r in rows} == {"contiguity", "missed_window", "seen_too_often", "sequence_back"} and 0 < at_stop < len(rows)
 
 
-class _Extremes(SW.Aggregate):
-    """A user's aggregate: number, least and largest sequence number."""
-
-    state = "num long, low long, high long"
-    result = "num long, low long, high long"
+def test_user_trigger_and_aggregate_on_sliding_windows(spark, tmp_path, events):
+    """Fire after every second element and at the close; a purging trigger starts anew."""
+    class Extremes(SW.Aggregate):
+        """A user's aggregate: number, least and largest sequence number."""
 
-    def create(self):
-        return [0, 2 ** 62, -1]
+        state = "num long, low long, high long"
+        result = "num long, low long, high long"
 
-    def add(self, acc, row):
-        return [acc[0] + 1, min(acc[1], row.sequence_number), max(acc[2], row.sequence_number)]
+        def create(self):
+            return [0, 2 ** 62, -1]
 
-    def merge(self, a, b):
-        return [a[0] + b[0], min(a[1], b[1]), max(a[2], b[2])]
+        def add(self, acc, row):
+            return [acc[0] + 1, min(acc[1], row.sequence_number), max(acc[2], row.sequence_number)]
 
-    def value(self, acc):
-        return tuple(acc)
+        def merge(self, a, b):
+            return [a[0] + b[0], min(a[1], b[1]), max(a[2], b[2])]
 
+        def value(self, acc):
+            return tuple(acc)
 
-def test_user_trigger_and_aggregate_on_sliding_windows(spark, tmp_path, events):
-    """Fire after every second element and at the close; a purging trigger starts anew."""
     for purge in (False, True):
         got, _ = stopped_and_resumed(
             spark, tmp_path, events, "event_time", "10 days", END,
             lambda s: SW.keyed_windows_stream(s.withWatermark("event_time", "0 seconds"), "key", "event_time",
-                                              SW.Sliding(48 * 3_600_000, 24 * 3_600_000), SW.EveryElements(2, purge), _Extremes(),
+                                              SW.Sliding(48 * 3_600_000, 24 * 3_600_000), SW.EveryElements(2, purge), Extremes(),
                                               ["event_time", "event_id"]), f"trigger-{purge}")
         want = {}
         for r in W.sliding_members(events, "event_time", "48 hours", "24 hours").collect():

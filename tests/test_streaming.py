@@ -182,19 +182,6 @@ def test_unbounded_join_stream_equals_batch(spark, tmp_path):
     assert _rows(out) == _rows(Q.q3_join(spark, SF001))
 
 
-def test_tumbling_close_stream(spark, tmp_path):
-    """Every element re-emitted once its tumbling window closes (append mode)."""
-    ev = B.keyed_events(spark, SF001).withColumn("event_time", F.col("event_time").cast("timestamp"))
-    d = str(tmp_path / "ev")
-    _replay(spark, ev, "event_time", d, "5 days", {"key": -1, "sequence_number": -1, "event_id": -1})
-    s = _stream(spark, ev.schema, d).withWatermark("event_time", "0 seconds")
-    out = run_to_memory(W.tumbling_close(s, "key", "event_time", Q.TUMBLE, ["sequence_number", "payload"]),
-                        "w1_stream").filter("key <> -1")
-    exp = W.tumbling_pass(B.keyed_events(spark, SF001), "event_time", Q.TUMBLE).select(
-        "key", "window_start", "window_end", "sequence_number", "payload")
-    assert _rows(out) == _rows(exp)
-
-
 def test_progress_metrics_and_state_reader(spark, tmp_path, bids_ts):
     """K3/K4: latency percentiles and input rates per batch; queryable state (2.13)."""
     from eddy.streaming.sinks import with_latency
