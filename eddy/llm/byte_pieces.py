@@ -52,17 +52,6 @@ class Ranks:
         self.bytes = {i: b for b, i in self.of.items()}
 
 
-class _Merges:
-    """Pair of ids -> (rank, merged id), by search in the sorted pairs."""
-
-    def __init__(self, pair: np.ndarray, to: np.ndarray):
-        self.pair, self.to = pair, to
-
-    def get(self, pair: int) -> tuple[int, int] | None:
-        i = int(np.searchsorted(self.pair, pair))
-        return (int(self.to[i]),) * 2 if i < len(self.pair) and self.pair[i] == pair else None
-
-
 class Merger(pieces.Model):
     """Merges of the pair of least rank, with the piece encoder's code for many runs at
     once: byte x stands as character x, a symbol is an id and its rank."""
@@ -79,12 +68,7 @@ class Merger(pieces.Model):
                 if left is not None and right is not None:
                     pair.append(left << 20 | right)
                     to.append(i)
-        order = np.argsort(np.asarray(pair))
-        self.pair, self.pair_to = np.asarray(pair)[order], np.asarray(to)[order]
-        self.pair_rank = self.pair_to
-        self.maybe = np.zeros(1 << 22, dtype=bool)
-        self.maybe[pieces._slot(self.pair)] = True
-        self.merge = _Merges(self.pair, self.pair_to)
+        self._pair_tables(pair, to, to)
 
     def merged(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, first) of the pre-tokens, by merges alone."""
@@ -185,7 +169,7 @@ def _encoded(df: DataFrame, path: str, pattern: str) -> DataFrame:
         e.forget()
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in head), "ids array<int>"])
-    return df.select(*(f.name for f in head), "text").mapInArrow(run, schema)
+    return df.select(*(f.name for f in head), "text").mapInArrow(K.trimmed(run), schema)
 
 
 def cut(long: DataFrame, chunk: int, overlap: int) -> DataFrame:

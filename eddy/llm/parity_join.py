@@ -159,7 +159,7 @@ class Join:
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), *(pa.array([x[i] for x in got], pa.int64()) for i in (0, 1))], names=["id", "n", "key"])
 
-        self.sizes = self.scratch.table(self.docs.mapInArrow(sizes, "id long, n long, key long"), "sizes")
+        self.sizes = self.scratch.table(self.docs.mapInArrow(K.trimmed(sizes), "id long, n long, key long"), "sizes")
         real = self.sizes.where("n > 0 and id is not null")
         self.reps = self.scratch.table(real.groupBy("n", "key").agg(F.min("id").alias("rep")), "reps")
         self.member = self.scratch.table(
@@ -205,7 +205,7 @@ class Join:
             return pa.table({"word": word, "id": ids[many], "c": c[many].astype(np.int32)})
 
         packed = self.docs.where("id is not null").mapInArrow(
-            pack, "bucket int, base long, narrow boolean, words binary, ids binary, bands binary")
+            K.trimmed(pack), "bucket int, base long, narrow boolean, words binary, ids binary, bands binary")
         words = self.scratch.table(packed.groupBy("bucket").applyInArrow(unpack, "word long, id long, c int"), "words")
         return words.join(self.member, "id").select("word", "rep", "c", "n").distinct()
 
@@ -248,7 +248,7 @@ class Join:
                 yield b.filter(pa.array(on.astype(bool)))
 
         rows = self.docs.where("id is not null").select(F.col("id").alias("doc"), "text", slot.alias("slot"))
-        near = rows.mapInArrow(maybe, "doc long, text string, slot long").drop("slot")
+        near = rows.mapInArrow(K.trimmed(maybe), "doc long, text string, slot long").drop("slot")
         return self.scratch.table(near.join(wanted, "doc", "left_semi").dropDuplicates(["doc"]), "texts")
 
     def _links(self, pairs: DataFrame) -> DataFrame:
@@ -274,7 +274,7 @@ class Join:
         rows = (pairs.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("tb")), "b")
                 .join(texts.select(F.col("doc").alias("a"), F.col("text").alias("ta")), "a")
                 .select("a", "b", "ta", "tb"))
-        return self.scratch.table(rows.mapInArrow(compare, "a long, b long"), "links")
+        return self.scratch.table(rows.mapInArrow(K.trimmed(compare), "a long, b long"), "links")
 
     def _labelled(self, words: DataFrame, links: DataFrame | None) -> DataFrame:
         """``words`` with the component of every document so far."""
@@ -395,7 +395,7 @@ class Join:
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(out, pa.binary())],
                                                  names=["doc", "n", "bits"])
 
-        return self.texts.select("doc", "text").mapInArrow(flip, "doc long, n long, bits binary")
+        return self.texts.select("doc", "text").mapInArrow(K.trimmed(flip), "doc long, n long, bits binary")
 
     def pairs(self) -> DataFrame:
         """All links (a, b), a < b, between class representatives; with ``member`` they
@@ -441,7 +441,7 @@ class Join:
                                                  names=["doc", "elements"])
 
         own = self.texts.join(self.roots.select(F.col("node").alias("doc")), "doc", "left_semi").select("doc", "text")
-        own = self.scratch.table(own.mapInArrow(pack, "doc long, elements binary"), "elements")
+        own = self.scratch.table(own.mapInArrow(K.trimmed(pack), "doc long, elements binary"), "elements")
         p = self.layout.p
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -461,7 +461,7 @@ class Join:
                 yield _rows(_counted(held, p))
 
         met = rows.join(own, "doc").select("pair", "side", "alone", "doc", "w", "elements")
-        met = met.repartition("pair").sortWithinPartitions("pair").mapInArrow(count, "doc long, links long")
+        met = met.repartition("pair").sortWithinPartitions("pair").mapInArrow(K.trimmed(count), "doc long, links long")
         linked = self.scratch.table(met.groupBy(F.col("doc").alias("rep")).agg(F.sum("links").alias("links")), "linked")
         every = self.scratch.table(
             sizes.join(linked, "rep", "left").select("rep", (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "degree")

@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -153,19 +154,24 @@ class Model:
                     self.symbol_bytes.append(len(b))
         order = sorted({self.scores[i] for i in self.ids.values()}, reverse=True)
         rank = {s: r for r, s in enumerate(order)}
-        pairs = []
+        pair, ranks, to = array("q"), array("i"), array("i")
         for p, i in self.ids.items():
             for cut in range(1, len(p)):
                 left, right = self.symbol.get(p[:cut]), self.symbol.get(p[cut:])
                 if left is not None and right is not None:
-                    pairs.append((left << 20 | right, rank[self.scores[i]], i))
-        pairs.sort()
-        self.pair = np.array([x[0] for x in pairs], dtype=np.int64)
-        self.pair_rank = np.array([x[1] for x in pairs], dtype=np.int32)
-        self.pair_to = np.array([x[2] for x in pairs], dtype=np.int32)
+                    pair.append(left << 20 | right)
+                    ranks.append(rank[self.scores[i]])
+                    to.append(i)
+        self._pair_tables(pair, ranks, to)
+
+    def _pair_tables(self, pair: array, ranks: array, to: array) -> None:
+        """Sorted pairs with their ranks and what they merge to: arrays, for every worker
+        holds them."""
+        order = np.argsort(np.asarray(pair))
+        self.pair, self.pair_rank, self.pair_to = (np.asarray(x)[order] for x in (pair, ranks, to))
         self.maybe = np.zeros(1 << 22, dtype=bool)
         self.maybe[_slot(self.pair)] = True
-        self.merge = {x[0]: (x[1], x[2]) for x in pairs}
+        self.merge = _Merges(self.pair, self.pair_rank, self.pair_to)
 
     # Normalisation -----------------------------------------------------------------
 
@@ -350,6 +356,17 @@ class Model:
         return rank, to
 
 
+class _Merges:
+    """Pair -> (rank, merged symbol), by search in the sorted pairs."""
+
+    def __init__(self, pair: np.ndarray, rank: np.ndarray, to: np.ndarray):
+        self.pair, self.rank, self.to = pair, rank, to
+
+    def get(self, pair: int) -> tuple[int, int] | None:
+        i = int(np.searchsorted(self.pair, pair))
+        return (int(self.rank[i]), int(self.to[i])) if i < len(self.pair) and self.pair[i] == pair else None
+
+
 def _slot(key: np.ndarray) -> np.ndarray:
     return ((key * np.int64(-7046029254386353131)) >> 42) & np.int64((1 << 22) - 1)
 
@@ -483,7 +500,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = picked.schema["id"].dataType.simpleString()
-    return (picked.mapInArrow(run, f"id {kind}, ids array<int>, begin array<int>, end array<int>")
+    return (picked.mapInArrow(K.trimmed(run), f"id {kind}, ids array<int>, begin array<int>, end array<int>")
             .withColumnRenamed("id", id_col))
 
 
@@ -511,5 +528,5 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = picked.schema["id"].dataType.simpleString()
-    return (picked.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, span_bytes long")
+    return (picked.mapInArrow(K.trimmed(run), f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, span_bytes long")
             .withColumnRenamed("id", id_col))

@@ -8,6 +8,9 @@ temporary arrays stay small however long a text is.
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -51,6 +54,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` (over a task's batches), giving back to the system at the task's end what it
+    has freed: an idle worker outlives its task and would keep it."""
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            _powers.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+    return task
+
+
 @dataclass
 class Words:
     """Words of a batch of texts. ``first[d]:first[d + 1]`` are the words of text ``d``;
