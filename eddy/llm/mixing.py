@@ -19,6 +19,7 @@ by ``mix`` and kept by ``resample``. Targets and multipliers are one row per sou
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -164,13 +165,16 @@ def resample(docs: DataFrame, spark: SparkSession, id_col: str = "doc_id", text_
 
     Rows alike in every column can't be told apart: one of them stands for all of them."""
     names = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.withColumn("_u", F.xxhash64(*names)).withColumn("_v", F.xxhash64(F.lit(1), *names))
+    taken = {c.lower() for c in docs.columns}
+    fresh = (f"_mix{i}" for i in itertools.count())  # helper columns that the table lacks
+    u, v, many, place, again = itertools.islice((c for c in fresh if c not in taken), 5)
+    keyed = docs.withColumn(u, F.xxhash64(*names)).withColumn(v, F.xxhash64(F.lit(1), *names))
     rows, _ = _plan(keyed.select(
-        F.struct("_u", "_v").alias("id"), F.lit(0).cast("long").alias("u"), F.col(source_col).alias("source"),
-        word_count(F.col(text_col)).alias("size")), spark, most)
-    copies = (rows.groupBy("id._u", "id._v").agg(F.sum("copies").alias("_copies")).where("_copies > 0")
-              .withColumn("_copies", F.col("_copies").cast("int")))
-    first = F.row_number().over(Window.partitionBy("_u", "_v").orderBy("_u"))
-    return (keyed.join(copies, ["_u", "_v"]).withColumn("_first", first).where("_first = 1")
-            .withColumn("_again", F.explode(F.array_repeat(F.lit(0), F.col("_copies"))))
+        F.struct(F.col(u).alias("u"), F.col(v).alias("v")).alias("id"), F.lit(0).cast("long").alias("u"),
+        F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), spark, most)
+    copies = (rows.groupBy(F.col("id.u").alias(u), F.col("id.v").alias(v)).agg(F.sum("copies").cast("int").alias(many))
+              .where(F.col(many) > 0))
+    first = F.row_number().over(Window.partitionBy(u, v).orderBy(u))
+    return (keyed.join(copies, [u, v]).withColumn(place, first).where(F.col(place) == 1)
+            .withColumn(again, F.explode(F.array_repeat(F.lit(0), F.col(many))))
             .select(*names))

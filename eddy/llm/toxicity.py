@@ -137,7 +137,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     for y, n in ((1, max_labelled // 3), (0, max_labelled - max_labelled // 3)):
         part = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(n)
         picked = part if picked is None else picked.unionAll(part)
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
+    sample = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
+              .groupBy("id", "y").agg(F.min("text").alias("text")))  # one row stands for a repeated id
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _small(batches):
@@ -152,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # One row for each distinct set of words: groups of copies must not weigh more.
     scratch = Scratch(docs.sparkSession, "toxicity")
     held = scratch.table(sample.select("id", "text", "y").mapInArrow(
-        bags, "id long, y int, mark long, keys array<long>"), "bags")
+        K.trimmed(bags), "id long, y int, mark long, keys array<long>"), "bags")
     one = held.where(F.size("keys") > 0).groupBy("y", "mark").agg(F.min("id").alias("id"))
     one = scratch.table(one.groupBy("id", "y").agg(F.min("mark").alias("mark")), "one")
     total = {r["y"]: r["n"] for r in one.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -176,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                  pa.array([r.tobytes() for r in x], type=pa.binary())], names=["id", "y", "dense", "x"])
 
     got = (sample.join(F.broadcast(one), ["id", "y"]).select("id", "text", "y")
-           .mapInArrow(rows, "id long, y int, dense double, x binary").toArrow())
+           .mapInArrow(K.trimmed(rows), "id long, y int, dense double, x binary").toArrow())
     x = np.frombuffer(b"".join(got.column("x").to_pylist()), dtype=np.float32).reshape(got.num_rows, len(keys))
     ids, y, dense = (got.column(k).to_numpy() for k in ("id", "y", "dense"))
     order = np.lexsort([dense, ids])
@@ -235,7 +236,7 @@ def judge(docs: DataFrame, model: Severity | None, id_col: str = "doc_id", text_
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = picked.schema["id"].dataType.simpleString()
-    out = picked.mapInArrow(run, f"id {kind}, severity double, p_toxic double, grade int, toxic boolean")
+    out = picked.mapInArrow(K.trimmed(run), f"id {kind}, severity double, p_toxic double, grade int, toxic boolean")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -253,4 +254,4 @@ def keep(docs: DataFrame, model: Severity | None, text_col: str = "text") -> Dat
         for b in batches:
             yield b.filter(pa.array(~_is_toxic(model.at_least(b.column(at)), model)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(K.trimmed(run), docs.schema)

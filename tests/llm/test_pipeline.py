@@ -38,4 +38,4 @@ def test_stages_take_effect(spark, tmp_path):
 
 def test_registered_queries():
     names = {n.split("_")[0] for n in QUERIES}
-    assert names == {f"op{n}" for n in range(1, 11)}
+    assert names == {f"op{n}" for n in range(1, 14)}
