@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-__all__ = ["col_of", "to_event_time", "to_ntz", "flat_window", "key_slot", "slot_task",
-           "letters_from_number", "payload_chars", "arrival_struct", "ALERT"]
+__all__ = ["col_of", "to_event_time", "to_ntz", "flat_window", "ALERT"]
 
 
 def col_of(c: Column | str) -> Column:
@@ -30,33 +29,5 @@ def flat_window(wcol: str = "window", prefix: str = "window") -> list[Column]:
             to_ntz(F.col(f"{wcol}.end")).alias(f"{prefix}_end")]
 
 
-def key_slot(key: Column | str, keyspace: int, max_parallelism: int) -> Column:
-    """Slot i of M owns keys ceil(i*K/M) .. ; for a key k < K that is floor(k*M/K)."""
-    k = F.pmod(col_of(key), F.lit(keyspace))
-    return F.floor(k * F.lit(max_parallelism) / F.lit(keyspace)).cast("int")
-
-
-def slot_task(slot: Column | str, parallelism: int, max_parallelism: int) -> Column:
-    """Task s of p owns slots floor(s*M/p) .. floor((s+1)*M/p)-1."""
-    return F.floor(((col_of(slot) + 1) * F.lit(parallelism) - 1) / F.lit(max_parallelism)).cast("int")
-
-
-def letters_from_number(n: Column, length: int, base_char: int = 97, radix: int = 26) -> Column:
-    """Deterministic string of ``length`` characters: the base-``radix`` digits of n."""
-    parts = [F.chr(F.lit(base_char) + F.pmod(F.floor(n / F.lit(radix ** i)), F.lit(radix)))
-             for i in range(length)]
-    return F.concat(*parts)
-
-
-def payload_chars(n: Column, size: int) -> Column:
-    """S4 payload: ``size`` characters between 'A' and 'z' (58 code points), from n."""
-    parts = [F.chr(F.lit(65) + F.pmod(n * F.lit(31) + F.lit(7 * j), F.lit(58))) for j in range(size)]
-    return F.concat(*parts) if parts else F.lit("")
-
-
-def arrival_struct(*cols: str) -> Column:
-    return F.struct(*[F.col(c) for c in cols])
-
-
 # Fixed value: alert prefix printed by the guarantee checks.
 ALERT = "Alert: "

@@ -28,9 +28,9 @@ def sequence_check(ev: DataFrame, mode: str, order: list[str], key="key",
 
 
 def window_contiguity(members: DataFrame, key="key", win="window_start", seq="sequence_number") -> DataFrame:
-    """Inside each window, sorted by sequence, neighbours must differ by exactly 1."""
-    w = Window.partitionBy(key, win).orderBy(seq)
-    x = members.select(key, win, seq, F.lag(seq).over(w).alias("_p"))
+    """Inside each window, sorted by sequence, neighbours must differ by exactly 1. A
+    window too large for a task is split by the keyed scan."""
+    x = keyed_running(members.select(key, win, seq), [key, win], [seq], {"_p": ("prev", F.col(seq))})
     return x.filter(F.col("_p").isNotNull() & (F.col(seq) - F.col("_p") != 1)).select(
         key, win, F.col("_p").alias("previous"), F.col(seq).alias("sequence_number"))
 

@@ -327,6 +327,78 @@ u AS (SELECT x, y FROM g UNION SELECT y, x FROM g),
 r(v, l) AS (SELECT DISTINCT x, x FROM u UNION SELECT u.y, r.l FROM r JOIN u ON r.v = u.x)
 SELECT v AS vertex, min(l) AS component FROM r GROUP BY v"""
 
-# TPC-H: the same text over the same decimal views (engine agreement on exact sums).
-from . import tpch as _tpch  # noqa: E402
-ORACLE.update({k: _tpch.duckdb_text(k) for k in _tpch.TEXTS})
+# TPC-H: written by hand on the raw tables, in other forms than the Spark texts (filters as
+# CASE or FILTER, semi joins as IN or grouped flags, subqueries as window functions).
+_NET = "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
+_QTY = "CAST(l_quantity AS DECIMAL(12,2))"
+ORACLE |= {
+    "tpch_q1": f"""WITH l AS (
+  SELECT l_returnflag, l_linestatus, {_QTY} AS q, CAST(l_extendedprice AS DECIMAL(12,2)) AS p, {_NET} AS d,
+         {_NET} * (1 + CAST(l_tax AS DECIMAL(4,2))) AS c, CAST(l_discount AS DECIMAL(4,2)) AS r
+  FROM lineitem WHERE date_trunc('day', l_shipdate) < TIMESTAMP '2001-08-07')
+SELECT l_returnflag, l_linestatus, sum(q)::DOUBLE AS sum_qty, sum(p)::DOUBLE AS sum_base_price, sum(d)::DOUBLE AS sum_disc_price,
+       sum(c)::DOUBLE AS sum_charge, sum(q)::DOUBLE / count(q) AS avg_qty, sum(p)::DOUBLE / count(p) AS avg_price,
+       sum(r)::DOUBLE / count(r) AS avg_disc, count(*) AS count_order
+FROM l GROUP BY ALL""",
+
+    "tpch_q3": f"""WITH c AS (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'),
+o AS (SELECT o_orderkey, o_orderdate::DATE AS o_orderdate, o_orderpriority FROM orders
+      WHERE o_custkey IN (FROM c) AND o_orderdate < TIMESTAMP '1998-03-15'),
+l AS (SELECT l_orderkey, sum({_NET}) AS r FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-03-16' GROUP BY l_orderkey),
+k AS (SELECT l_orderkey, r::DOUBLE AS revenue, o_orderdate, o_orderpriority,
+             row_number() OVER (ORDER BY r::DOUBLE DESC, o_orderdate, l_orderkey) AS n FROM l JOIN o ON o_orderkey = l_orderkey)
+SELECT l_orderkey, revenue, o_orderdate, o_orderpriority FROM k WHERE n <= 10""",
+
+    "tpch_q5": f"""WITH n AS (SELECT n_nationkey, n_name FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name = 'ASIA')),
+x AS (SELECT o_orderkey, c_nationkey FROM orders, customer WHERE o_custkey = c_custkey AND year(o_orderdate) = 1998)
+SELECT n_name, sum({_NET})::DOUBLE AS revenue
+FROM lineitem, x, supplier, n
+WHERE l_orderkey = o_orderkey AND l_suppkey = s_suppkey AND s_nationkey = n_nationkey AND c_nationkey = n_nationkey
+GROUP BY n_name""",
+
+    "tpch_q6": """SELECT (sum(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)))
+        FILTER (WHERE year(l_shipdate) = 1998 AND round(l_discount * 100) IN (5, 6, 7) AND l_quantity < 24))::DOUBLE AS revenue
+FROM lineitem""",
+
+    "tpch_q10": f"""WITH r AS (SELECT o_custkey, sum({_NET}) AS v FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+  WHERE l_returnflag = 'R' AND year(o_orderdate) = 1998 AND quarter(o_orderdate) = 4 GROUP BY o_custkey),
+k AS (SELECT *, row_number() OVER (ORDER BY v::DOUBLE DESC, o_custkey) AS n FROM r)
+SELECT c_custkey, c_name, v::DOUBLE AS revenue, CAST(c_acctbal AS DECIMAL(12,2))::DOUBLE AS c_acctbal,
+       (SELECT n_name FROM nation WHERE n_nationkey = c_nationkey) AS n_name
+FROM k JOIN customer ON c_custkey = o_custkey WHERE n <= 20""",
+
+    "tpch_q14": f"""SELECT 100 * coalesce(sum({_NET}) FILTER (WHERE starts_with(p_type, 'PROMO')), 0)::DOUBLE / sum({_NET})::DOUBLE AS promo_revenue
+FROM part, lineitem WHERE p_partkey = l_partkey AND year(l_shipdate) = 1998 AND month(l_shipdate) = 9""",
+
+    "tpch_q4": """WITH late AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
+SELECT o_orderpriority, count(*) AS order_count FROM orders JOIN late ON l_orderkey = o_orderkey
+WHERE year(o_orderdate) = 1998 AND quarter(o_orderdate) = 3 GROUP BY o_orderpriority""",
+
+    "tpch_q13": """WITH n AS (SELECT c_custkey, (SELECT count(*) FROM orders WHERE o_custkey = c_custkey AND o_orderpriority <> '1-URGENT') AS c_count
+  FROM customer)
+SELECT c_count, count(*) AS custdist FROM n GROUP BY c_count""",
+
+    "tpch_q17": f"""WITH l AS (SELECT l_partkey, {_QTY} AS q, CAST(l_extendedprice AS DECIMAL(12,2)) AS p,
+         sum({_QTY}) OVER (PARTITION BY l_partkey) AS total, count(*) OVER (PARTITION BY l_partkey) AS n FROM lineitem)
+SELECT sum(p)::DOUBLE / 7 AS avg_yearly, count(*) AS lines FROM l
+WHERE 5 * q * n < total AND l_partkey IN (SELECT p_partkey FROM part WHERE p_brand = 'Brand#17')""",
+
+    "tpch_q18": f"""WITH big AS (SELECT l_orderkey, sum({_QTY}) AS q FROM lineitem GROUP BY l_orderkey HAVING sum({_QTY}) > 250),
+k AS (SELECT *, row_number() OVER (ORDER BY CAST(o_totalprice AS DECIMAL(12,2)) DESC, o_orderdate::DATE, o_orderkey) AS n
+      FROM big JOIN orders ON o_orderkey = l_orderkey)
+SELECT c_name, c_custkey, o_orderkey, o_orderdate::DATE AS o_orderdate, CAST(o_totalprice AS DECIMAL(12,2))::DOUBLE AS o_totalprice,
+       q::DOUBLE AS sum_qty FROM k JOIN customer ON c_custkey = o_custkey WHERE n <= 100""",
+
+    "tpch_q21": """WITH f AS (SELECT l_orderkey, count(DISTINCT l_suppkey) AS all_, count(DISTINCT l_suppkey) FILTER (WHERE l_returnflag = 'R') AS late
+  FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY l_orderkey),
+w AS (SELECT l_suppkey, count(*) AS numwait FROM lineitem JOIN f USING (l_orderkey)
+      WHERE l_returnflag = 'R' AND all_ > 1 AND late = 1 GROUP BY l_suppkey),
+k AS (SELECT s_name, sum(numwait) AS numwait FROM w JOIN supplier ON s_suppkey = l_suppkey
+      WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_name = 'NATION_9') GROUP BY s_name)
+SELECT s_name, CAST(numwait AS BIGINT) AS numwait FROM k ORDER BY numwait DESC, s_name LIMIT 100""",
+}
+
+# Components of customers and suppliers linked by order lines, by the same reachability.
+ORACLE["trade_components"] = ORACLE["connected_components"].replace(
+    "SELECT DISTINCT o_custkey * 2 AS x, o_orderkey * 2 + 1 AS y FROM orders",
+    "SELECT DISTINCT o_custkey * 2 AS x, l_suppkey * 2 + 1 AS y FROM orders JOIN lineitem ON l_orderkey = o_orderkey")

@@ -272,6 +272,11 @@ def connected_components(spark, d):
     return G.connected_components(B.order_graph(spark, d))
 
 
+def trade_components(spark, d):
+    """Customers and suppliers linked by order lines: paths of many hops."""
+    return G.connected_components(B.trade_graph(spark, d))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q3_join": q3_join,
     "q3_emit_once_last": q3_emit_once_last,
@@ -315,5 +320,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q5_sliding_count_sql": SQL.q5_sliding_count_sql,
     "q8_window_join_sql": SQL.q8_window_join_sql,
     "connected_components": connected_components,
+    "trade_components": trade_components,
     **TPCH.QUERIES,
 }

@@ -50,20 +50,18 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
+    """The shared checkpoint folder that the cluster names (``spark.checkpoint.dir``).
 
     Only a local session (tests, a laptop: one machine) that names none gets a scratch
-    folder, recorded so that every later call in the session agrees on it. Anywhere else a
-    missing setting is an error: a folder of the driver's machine is seen by no executor.
+    folder, kept as the context's checkpoint folder. Anywhere else a missing setting is an
+    error: a folder of the driver's machine is seen by no executor.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("start the session with spark.checkpoint.dir, a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="eddy-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d

@@ -22,6 +22,37 @@ def decode(msgs: DataFrame, schema: T.StructType, key_type: str = "bigint") -> D
                        F.from_json(F.col("value").cast("string"), schema).alias("_v")).select("msg_key", "_v.*")
 
 
+def decode_checked(msgs: DataFrame, schema: T.StructType, key_type: str = "bigint") -> DataFrame:
+    """``decode`` that keeps what can't be decoded: the message's columns, ``msg_key``, the
+    declared fields and ``broken``, which says why a message is one of the quarantine (else
+    null): no value, a key that isn't a ``key_type``, or a value that isn't JSON of the
+    declared fields. Works on streams."""
+    text = F.col("value").cast("string")
+    wide = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    read = msgs.select("*", F.expr(f"try_cast(cast(key as string) as {key_type})").alias("msg_key"),
+                       F.from_json(text, wide, {"columnNameOfCorruptRecord": "_corrupt"}).alias("_v"))
+    why = (F.when(F.col("value").isNull() | (F.trim(text) == ""), "no value")
+           .when(F.col("key").isNotNull() & F.col("msg_key").isNull(), "key")
+           .when(F.col("_v._corrupt").isNotNull() | F.col("_v").isNull(), "value"))
+    return read.withColumn("broken", why).select(
+        *msgs.columns, "msg_key", *[F.col(f"_v.{f.name}").alias(f.name) for f in schema.fields], "broken")
+
+
+def sorted_out(good, quarantine: str):
+    """A ``foreachBatch`` writer for ``decode_checked`` rows: the broken ones of a batch go to
+    ``quarantine``/batch=N (written over when the batch is repeated), the others to the
+    writer ``good`` (batch, id), without the message's bytes."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            (batch.where("broken is not null").select("key", "value", "broken")
+             .write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch={batch_id}"))
+            good(batch.where("broken is null").drop("key", "value", "broken"), batch_id)
+        finally:
+            batch.unpersist()
+    return write
+
+
 def kafka_reader(spark, servers: str, topic: str):
     """S7 over kafka: earliest offsets (needs the spark-sql-kafka package on the classpath)."""
     return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
