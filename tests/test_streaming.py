@@ -247,3 +247,19 @@ def test_early_sessions_under_disorder(spark, tmp_path, bids_ts):
         "bidder", F.col("session_start").cast("timestamp_ntz"), F.col("session_end").cast("timestamp_ntz"), "num")
     assert _rows(final) == _rows(W.session_count(B.bids(spark, SF001), "bidder", "date_time", Q.Q11_GAP,
                                                  order=["date_time", "event_id"], scan=True))
+
+
+@pytest.mark.parametrize("keep,query", [("last", "q3_emit_once_last"), ("first", "q3_emit_once_first")])
+def test_emit_once_resumes(spark, tmp_path, keep, query):
+    """R3 for J2 and J3: waiting auctions and stored persons outlive a stop."""
+    ST.use_rocksdb(spark)
+    t = _tagged(spark)
+    d, out, ck = (str(tmp_path / x) for x in ("q3", "out", "ck"))
+    n = write_slices(t, "date_time", d, "900 days", 0, 1)
+    run_to_parquet(ST.emit_once_stream(_stream(spark, t.schema, d), keep), out, ck)
+    first = spark.read.parquet(out).count()
+    write_slices(t, "date_time", d, "900 days", n, None)
+    run_to_parquet(ST.emit_once_stream(_stream(spark, t.schema, d), keep), out, ck)
+    res = spark.read.parquet(out)
+    assert 0 < first < res.count()
+    assert _rows(res) == _rows(Q.QUERIES[query](spark, SF001))
