@@ -263,3 +263,16 @@ def test_emit_once_resumes(spark, tmp_path, keep, query):
     res = spark.read.parquet(out)
     assert 0 < first < res.count()
     assert _rows(res) == _rows(Q.QUERIES[query](spark, SF001))
+
+
+def test_upsert_resumes(spark, tmp_path):
+    """R3 for K5: the snapshot of a stopped sink goes on."""
+    a = B.auctions_q3(spark, SF001).withColumn("date_time", F.col("date_time").cast("timestamp"))
+    d, snap, ck = (str(tmp_path / x) for x in ("auc", "snap", "ck"))
+    n = write_slices(a, "date_time", d, "900 days", 0, 1)
+    for start in (None, n):
+        if start is not None:
+            write_slices(a, "date_time", d, "900 days", start, None)
+        s = _stream(spark, a.schema, d).select("seller", "id", "reserve", "date_time")
+        run_foreach_batch(s, upsert_writer(snap, ["seller"], ["date_time", "id"]), ck, mode="append")
+    assert _rows(latest_snapshot(spark, snap).select("seller", "id", "reserve")) == _rows(Q.upsert_latest(spark, SF001))
