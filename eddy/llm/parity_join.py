@@ -28,9 +28,11 @@ pairs that pass leave a task, so a large group of near copies is never listed as
 pair that may link is dropped: the result is exact but for 64-bit hash collisions.
 
 Defined cases: a null or empty text, or one without words, has no shingles and links with
-nothing; one to four words are one shingle; rows of one id count as one document; rows
-with a null id take no part and have a null component; an empty table gives no rows;
-other columns are ignored.
+nothing; one to four words are one shingle; rows of one id with the same set of shingles
+count as one document, rows of one id with different sets as documents of their own (a
+component is then named by the least id in it, and rows of an id may lie in different
+ones); rows with a null id take no part and have a null component; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -145,25 +147,45 @@ class Join:
     def __init__(self, docs: DataFrame, spark: SparkSession, id_col: str = "doc_id", text_col: str = "text",
                  percent: int = 75):
         self.layout = Layout(percent)
-        # Texts reach a worker in batches of this many rows: with wide texts the default of
-        # 10,000 makes batches that weigh more than the work on them.
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
         self.scratch = Scratch(spark, "parity")
-        self.docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+        self.rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
         self._classes()
+        self.docs = self.told(self.rows).select("doc", "text")
 
     def _classes(self) -> None:
         def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                got = [(len(s), set_key(s)) for s in sets(b.column(1))]
+                got = [(len(s), set_key(s)) for s in sets(b.column(2))]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), *(pa.array([x[i] for x in got], pa.int64()) for i in (0, 1))], names=["id", "n", "key"])
-
-        self.sizes = self.scratch.table(self.docs.mapInArrow(K.trimmed(sizes), "id long, n long, key long"), "sizes")
+                    [b.column(0), b.column(1), *(pa.array([x[i] for x in got], pa.int64()) for i in (0, 1))],
+                    names=["id", "h", "n", "key"])
+
+        sized = self.scratch.table(
+            self.rows.select("id", F.xxhash64("text").alias("h"), "text")
+            .mapInArrow(K.trimmed(sizes), "id long, h long, n long, key long"), "sized")
+        self.several = self.scratch.table(
+            sized.where("id is not null").groupBy("id")
+            .agg(F.min("n").alias("n"), F.max("n").alias("n2"), F.min("key").alias("key"), F.max("key").alias("key2"))
+            .where("n <> n2 or key <> key2").select("id"), "several")
+        self.alone = self.several.isEmpty()
+        self.sizes = self.told(sized)
+        if not self.alone:
+            self.sizes = self.scratch.table(self.sizes, "sizes")
         real = self.sizes.where("n > 0 and id is not null")
-        self.reps = self.scratch.table(real.groupBy("n", "key").agg(F.min("id").alias("rep")), "reps")
+        self.reps = self.scratch.table(
+            real.groupBy("n", "key").agg(F.min("doc").alias("rep"), F.min("id").alias("low")), "reps")
         self.member = self.scratch.table(
-            real.join(self.reps, ["n", "key"]).select("id", "rep", "n").distinct(), "member")
+            real.join(self.reps, ["n", "key"]).select("doc", "rep", "low", "n").distinct(), "member")
+
+    def told(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (id, text or its hash h, more) with ``doc``, the number of the document: the
+        id, or a hash of id and text where rows of one id have different sets."""
+        if self.alone:
+            return rows.withColumn("doc", F.col("id"))
+        h = F.col("h") if "h" in rows.columns else F.xxhash64("text")
+        mark = self.several.withColumn("many", F.lit(True))
+        return rows.join(mark, "id", "left").withColumn(
+            "doc", F.when(F.col("many"), F.xxhash64("id", h)).otherwise(F.col("id"))).drop("many")
 
     def _shared_words(self) -> DataFrame:
         """(word, rep, c, n): exchanged words that at least two documents have."""
@@ -202,12 +224,12 @@ class Join:
             first = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
             many = np.repeat(np.diff(np.r_[first, len(low)]) > 1, np.diff(np.r_[first, len(low)]))
             word = low[many].astype(np.int64) | (np.int64(key[0].as_py()) << 32)
-            return pa.table({"word": word, "id": ids[many], "c": c[many].astype(np.int32)})
+            return pa.table({"word": word, "doc": ids[many], "c": c[many].astype(np.int32)})
 
-        packed = self.docs.where("id is not null").mapInArrow(
+        packed = self.docs.where("doc is not null").mapInArrow(
             K.trimmed(pack), "bucket int, base long, narrow boolean, words binary, ids binary, bands binary")
-        words = self.scratch.table(packed.groupBy("bucket").applyInArrow(unpack, "word long, id long, c int"), "words")
-        return words.join(self.member, "id").select("word", "rep", "c", "n").distinct()
+        words = self.scratch.table(packed.groupBy("bucket").applyInArrow(unpack, "word long, doc long, c int"), "words")
+        return words.join(self.member, "doc").select("word", "rep", "c", "n").distinct()
 
     def _bound(self, n: Column) -> Column:
         """``Layout.bound`` as an expression."""
@@ -247,7 +269,7 @@ class Join:
                 on = (shared.value[at // 32] >> (at % 32)) & 1
                 yield b.filter(pa.array(on.astype(bool)))
 
-        rows = self.docs.where("id is not null").select(F.col("id").alias("doc"), "text", slot.alias("slot"))
+        rows = self.docs.where("doc is not null").select("doc", "text", slot.alias("slot"))
         near = rows.mapInArrow(K.trimmed(maybe), "doc long, text string, slot long").drop("slot")
         return self.scratch.table(near.join(wanted, "doc", "left_semi").dropDuplicates(["doc"]), "texts")
 
@@ -405,7 +427,8 @@ class Join:
         return self._links(self._open_pairs(words.withColumn("comp", F.col("doc"))))
 
     def labels(self) -> DataFrame:
-        """One row per row of the table: id, n (set size), component_id."""
+        """One row per row of the table: id, doc, n (set size), root (the same for the documents
+        of a component), component_id."""
         words = self.candidates()
         self.texts = self._texts(words.select("doc").distinct())
         links = None
@@ -416,20 +439,24 @@ class Join:
             links = found if links is None else self.scratch.table(links.unionAll(found), "alllinks")
         roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), self.scratch)
         self.roots = roots = self.scratch.table(roots, "roots")
-        least = self.scratch.table(roots.groupBy("root").agg(F.min("node").alias("least")), "least")
-        moved = self.scratch.table(roots.join(least, "root").select(F.col("node").alias("rep"), "least"), "moved")
-        named = (self.member.join(moved, "rep", "left").groupBy("id").agg(F.min(F.coalesce("least", "rep")).alias("comp")))
-        named = self.scratch.table(named, "named")
-        return (self.sizes.join(named, "id", "left")
-                .select("id", "n", F.when(F.col("n") > 0, F.col("comp")).otherwise(F.col("id")).alias("component_id")))
+        low = self.reps.select(F.col("rep").alias("node"), "low")
+        least = self.scratch.table(roots.join(low, "node").groupBy("root").agg(F.min("low").alias("least")), "least")
+        moved = self.scratch.table(roots.join(least, "root").select(F.col("node").alias("rep"), "root", "least"), "moved")
+        named = self.scratch.table(
+            self.member.join(moved, "rep", "left")
+            .select("doc", F.coalesce("root", "rep").alias("root"), F.coalesce("least", "low").alias("comp")), "named")
+        own = F.col("n") > 0
+        return (self.sizes.join(named, "doc", "left")
+                .select("id", "doc", "n", F.when(own, F.col("root")).otherwise(F.col("doc")).alias("root"),
+                        F.when(own, F.col("comp")).otherwise(F.col("id")).alias("component_id")))
 
     def degrees(self) -> DataFrame:
-        """(id, n_links) after ``labels``: the other documents that an id links with.
+        """(doc, n_links) after ``labels``: the other documents that one links with.
 
         Links lie inside components, so the classes of a component meet there, those of a
         large one as pairs of blocks, and their sets are compared exactly. A task returns
         a row per class of a block, not its pairs; a class counts as many documents as it has."""
-        sizes = self.scratch.table(self.member.groupBy("rep").agg(F.countDistinct("id").alias("w"), F.max("n").alias("n")), "classes")
+        sizes = self.scratch.table(self.member.groupBy("rep").agg(F.count("doc").alias("w"), F.max("n").alias("n")), "classes")
         rows = (self.roots.select(F.col("node").alias("rep"), F.col("root").alias("comp")).join(sizes, "rep")
                 .withColumnRenamed("rep", "doc"))
         rows = self._paired(self.scratch.table(rows, "grouped"), "comp", LINK_BLOCK, LINK_ELEMENTS)
@@ -465,7 +492,7 @@ class Join:
         linked = self.scratch.table(met.groupBy(F.col("doc").alias("rep")).agg(F.sum("links").alias("links")), "linked")
         every = self.scratch.table(
             sizes.join(linked, "rep", "left").select("rep", (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "degree")
-        return self.scratch.table(self.member.join(every, "rep").groupBy("id").agg(F.max("n_links").alias("n_links")), "degrees")
+        return self.scratch.table(self.member.join(every, "rep").select("doc", "n_links"), "degrees")
 
 
 def _counted(rows: list, percent: int) -> list[tuple[int, int]]:
@@ -537,7 +564,7 @@ def classes(docs: DataFrame, spark: SparkSession, id_col: str = "doc_id", text_c
     it links with; 0 without shingles, null for a null id) of every document."""
     join = Join(docs, spark, id_col, text_col, percent)
     found = join.labels()
-    return found.join(join.degrees(), "id", "left").select(
+    return found.join(join.degrees(), "doc", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
         F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("n_links")).otherwise(0)).alias("n_links"))
 
@@ -545,13 +572,20 @@ def classes(docs: DataFrame, spark: SparkSession, id_col: str = "doc_id", text_c
 def keep_one(docs: DataFrame, spark: SparkSession, id_col: str = "doc_id", text_col: str = "text",
              percent: int = 75) -> DataFrame:
     """``docs`` with one document of each component, the one of the least id (of several
-    rows of that id the first in order of text). Rows with a null id stay."""
+    documents of that id, and of several rows of it, one that depends on the texts alone).
+    Verdicts are per text: a row goes only if its own text is a near copy of one that
+    stays, or the same document again. Rows with a null id stay."""
     join, scratch = Join(docs, spark, id_col, text_col, percent), Scratch(spark, "copies")
-    found = join.labels()
-    gone = scratch.table(found.where(F.col("component_id") != F.col("id")).select(F.col("id").alias(id_col)).distinct(), "gone")
-    again = scratch.table(join.sizes.where("id is not null").groupBy(F.col("id").alias(id_col)).agg(F.count("*").alias("n"))
-                          .where("n > 1").select(id_col), "again")
-    left = docs.join(gone, id_col, "left_anti")
-    first = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))
-    one = left.join(again, id_col, "left_semi").withColumn("_first", first).where("_first = 1")
-    return left.join(again, id_col, "left_anti").select(docs.columns).unionAll(one.select(docs.columns))
+    found = scratch.table(join.labels().where("id is not null"), "found")
+    stays = found.groupBy("root").agg(F.min(F.struct("id", "doc")).alias("s")).select(F.col("s.doc").alias("doc"))
+    per_doc = found.groupBy("doc").agg(F.count("*").alias("rows"))
+    marks = scratch.table(per_doc.join(stays.distinct().withColumn("stays", F.lit(True)), "doc", "left"), "marks")
+    gone = scratch.table(marks.where("stays is null").select("doc"), "gone")
+    again = scratch.table(marks.where("stays and rows > 1").select("doc"), "again")
+    # the row travels as one struct: no name of a helper column can clash with its own
+    rows = join.told(docs.select(F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("id"),
+                                 F.col(text_col).alias("text")))
+    left = rows.join(gone, "doc", "left_anti")
+    first = F.row_number().over(Window.partitionBy("doc").orderBy("text"))
+    one = left.join(again, "doc", "left_semi").withColumn("first", first).where("first = 1")
+    return left.join(again, "doc", "left_anti").select("row.*").unionAll(one.select("row.*"))

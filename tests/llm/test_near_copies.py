@@ -144,3 +144,34 @@ def test_number_of_links(spark, monkeypatch, block):
     want = {a: sum(a != b and bool(s) and 100 * len(s & t) >= 75 * len(s | t) for b, t in sets.items()) for a, s in sets.items()}
     got = {r.doc_id: r.n_links for r in J.classes(docs(spark, rows), spark).collect()}
     assert got == want and max(want.values()) > 2
+
+
+def test_verdicts_are_per_text_of_a_repeated_id(spark):
+    a, b, c = (" ".join(f"{w}{i}" for i in range(40)) for w in "abc")
+    rows = [(1, a, "s"), (2, a + " x", "s"), (2, b, "s"), (3, c, "s"), (3, b + " y", "s"), (3, b + " y", "t"), (4, "", "s"),
+            (4, b, "s"), (None, a, "s")]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    kept = sorted((r.doc_id or 0, r.text) for r in J.keep_one(docs(spark, rows), spark).collect())
+    assert kept == [(0, a), (1, a), (2, b), (3, c), (4, "")]
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.n_links or 0) for r in J.classes(docs(spark, rows), spark).collect())
+    assert got == [(0, 36, 0, 0), (1, 36, 1, 1), (2, 36, 2, 2), (2, 37, 1, 1), (3, 36, 3, 0), (3, 37, 2, 2), (3, 37, 2, 2),
+                   (4, 0, 4, 0), (4, 36, 2, 2)]
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_repeated_ids_equal_brute_force_over_texts(spark, seed):
+    """Every id stands for several texts: components, links and what stays, text by text."""
+    rows = [(i % 23, t, s) for i, t, s in _corpus(seed)]
+    nodes = sorted({(i, frozenset(shingles(t))) for i, t, _ in rows}, key=lambda x: (x[0], sorted(x[1])))
+    link = [[100 * len(s & t) >= 75 * len(s | t) for _, t in nodes] for _, s in nodes]
+    comp = list(range(len(nodes)))
+    for _ in nodes:
+        comp = [min(comp[k] for k in range(len(nodes)) if link[j][k]) for j in range(len(nodes))]
+    want = {n: (nodes[comp[j]][0], sum(link[j]) - 1) for j, n in enumerate(nodes)}
+    d = docs(spark, rows).dropDuplicates(["doc_id", "text"])
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in J.classes(d, spark).collect())
+    assert got == sorted((i, len(shingles(t)), *want[i, frozenset(shingles(t))]) for i, t in {(i, t) for i, t, _ in rows})
+    kept = [(r.doc_id, frozenset(shingles(r.text))) for r in J.keep_one(d, spark).collect()]
+    assert sorted(comp[nodes.index(k)] for k in kept) == sorted(set(comp))
+    assert all(i == want[i, s][0] for i, s in kept)
