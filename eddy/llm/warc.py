@@ -1,8 +1,9 @@
 """Deterministic sharded WARC archives: write, read back.
 
-Writing. Records are dealt to shards by ranges of the id; a shard is sorted by id and
-written as gzip members, one per record, to files that are rolled when their compressed
-size reaches ``roll_bytes``. Headers, record ids and digests are regenerated from the
+Writing. Records are dealt to shards by ranges of (id, payload digest), whose bounds follow
+the bytes, however the ids are spread; a shard is sorted by them and written as gzip
+members, one per record, to files that are rolled when their compressed size reaches
+``roll_bytes``; a shard holds several files. Headers, record ids and digests are regenerated from the
 record alone and dates are a parameter, so a repeated run, or a second attempt of a lost
 task, makes the same bytes under the same names. A file is written under a temporary name
 and renamed when complete; a table of manifests (file, records, bytes, digest of the
@@ -32,16 +33,19 @@ import zlib
 from collections.abc import Iterator
 from urllib.parse import quote, urlparse
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eddy.llm.scratch import Scratch
 
 MANIFEST = "file string, records long, bytes long, sha256 string"
 DATE = "2024-01-01T00:00:00Z"
-BLOCKS = 1 << 16
+BLOCKS = 1 << 16  # ranges of the order that are weighed: bounds and weights of so many are held at once
+TASKS = 1 << 16   # tasks that write at most; a task may write several shards
 
 
 def _store(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -123,10 +127,12 @@ def _manifests(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def write(pages: DataFrame, folder: str, spark: SparkSession, id_col: str = "page_id", url_col: str = "url",
-          payload_col: str = "html", revisit_from: int = 0, shard_bytes: int = 16 << 20,
-          roll_bytes: int = 32 << 20) -> DataFrame:
+          payload_col: str = "html", revisit_from: int = 0, shard_bytes: int = 32 << 20,
+          roll_bytes: int = 4 << 20, blocks: int = BLOCKS) -> DataFrame:
     """Write the archive to ``folder`` (seen by all nodes); returns the table of manifests.
 
+    ``shard_bytes`` are bytes of payload, ``roll_bytes`` compressed ones.
+
     Payloads move once, to their shard. What a record becomes is settled on digests; the
     rows that say so go to the same shard and are sorted in front of the records.
     """
@@ -139,15 +145,13 @@ def write(pages: DataFrame, folder: str, spark: SparkSession, id_col: str = "pag
         keys.where(F.col("length") >= revisit_from).groupBy("sha").agg(F.count("*").alias("n"), F.max("id").alias("last"))
         .where("n > 1").select("sha", "last"), "equal")
     known = keys.join(equal, "sha").select("id", "sha", "last").distinct()
-    shards, low, width, count = _shards(keys, shard_bytes)
-    shards = scratch.table(shards, "shards")
-    block = F.coalesce(F.floor((F.col("id") - F.lit(low)) / F.lit(width)), F.lit(BLOCKS)).cast("int")
+    shard, count = _shards(keys, shard_bytes, blocks)
     both = known.select("id", "sha", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"),
                         F.lit(None).cast("binary").alias("payload"), "last").unionAll(
         rows.select("id", F.sha1("payload").alias("sha"), F.lit(1).alias("kind"), "url", "payload",
                     F.lit(None).cast("bigint").alias("last")))
-    dealt = (both.withColumn("block", block).join(F.broadcast(shards), "block")  # at most BLOCKS + 1 small rows
-             .repartition(count, "shard")
+    tasks = min(count, TASKS)
+    dealt = (both.withColumn("shard", shard).repartitionById(tasks, F.col("shard") % tasks)
              .sortWithinPartitions("shard", F.asc_nulls_last("id"), "sha", "kind", "url")
              .select("shard", "id", "sha", "kind", "url", "payload", "last"))
     _folder(spark, folder)
@@ -155,9 +159,9 @@ def write(pages: DataFrame, folder: str, spark: SparkSession, id_col: str = "pag
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, current, last, copy, several = None, None, None, 0, False
         for b in batches:
-            shard, key, sha, kind, url, data, response = b.columns
-            for i in range(b.num_rows):
-                s, k, d = shard[i].as_py(), key[i].as_py(), sha[i].as_py()
+            shard, key, sha, kind, url, _, response = (c.to_pylist() if i != 5 else None for i, c in enumerate(b.columns))
+            data = b.column(5)  # payloads one at a time
+            for i, (s, k, d) in enumerate(zip(shard, key, sha)):
                 if out is None or out.shard != s:
                     if out is not None:
                         out.close()
@@ -165,11 +169,11 @@ def write(pages: DataFrame, folder: str, spark: SparkSession, id_col: str = "pag
                     out, current = _Roller(folder, s, roll_bytes), None
                 if current != (k, d):
                     current, copy, several = (k, d), 0, False
-                if kind[i].as_py() == 0:
-                    several, last = True, response[i].as_py()
+                if kind[i] == 0:
+                    several, last = True, response[i]
                     continue
                 revisit = several and not (k == last and copy == 0)
-                out.put(record(k, url[i].as_py(), data[i].as_py(), last if revisit else None, revisit, copy))
+                out.put(record(k, url[i], data[i].as_py(), last if revisit else None, revisit, copy))
                 copy += 1
         if out is not None:
             out.close()
@@ -178,19 +182,48 @@ def write(pages: DataFrame, folder: str, spark: SparkSession, id_col: str = "pag
     return scratch.table(dealt.mapInArrow(run, MANIFEST), "manifests")
 
 
-def _shards(keys: DataFrame, shard_bytes: int) -> tuple[DataFrame, int, int, int]:
-    """(block, shard) table, least id, ids in a block, number of shards. Ids are cut into
-    ``BLOCKS`` equal blocks between the least and the largest (null ids: one more), and
-    neighbouring blocks are joined to shards of about ``shard_bytes``. It depends on the
-    rows alone, so reruns agree."""
-    r = keys.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.sum("length").alias("bytes")).first()
-    low = r["low"] or 0
-    width = max(1, -(-((r["high"] or 0) - low + 1) // BLOCKS))
-    block = F.coalesce(F.floor((F.col("id") - F.lit(low)) / F.lit(width)), F.lit(BLOCKS)).cast("int")
-    weights = keys.groupBy(block.alias("block")).agg(F.sum(F.col("length") + 1).alias("w"))
-    before = F.sum("w").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
-    shard = F.floor(F.coalesce(before, F.lit(0)) / F.lit(shard_bytes)).cast("int")
-    return weights.select("block", shard.alias("shard")), low, width, max(1, -(-(r["bytes"] or 0) // shard_bytes))
+def _order(id: pd.Series, none: pd.Series, sha: pd.Series) -> np.ndarray:
+    """The order of records, (id, digest) with null ids (0, marked) last, as byte strings that
+    compare alike: the mark, the id with its sign turned, the head of the digest."""
+    mark = none.to_numpy(dtype=np.uint8).reshape(-1, 1)
+    n = (id.to_numpy(dtype=np.int64).view(np.uint64) ^ np.uint64(1 << 63)).astype(">u8").view(np.uint8).reshape(-1, 8)
+    head = sha.to_numpy().astype("S16").view(np.uint8).reshape(-1, 16)
+    return np.ascontiguousarray(np.concatenate([mark, n, head], axis=1)).view("S25").ravel()
+
+
+def _shards(keys: DataFrame, shard_bytes: int, blocks: int):
+    """(column that gives the shard of the rows' id and sha, number of shards).
+
+    Bounds of about ``blocks`` ranges are keys that a hash picks from the distinct ones
+    (all of them in small tables), so that each range has about as many keys, wherever the
+    ids lie; ranges are weighed over all rows, and neighbouring ones join to shards of
+    about ``shard_bytes``. It depends on the rows alone, so reruns agree. At most a few
+    times ``blocks`` bounds and weights are held by driver and tasks, whatever the table."""
+    distinct = keys.select("id", "sha").distinct()
+    rate = max(1, -(-distinct.count() // blocks))
+    of = (F.coalesce("id", F.lit(0)).alias("id"), F.col("id").isNull().alias("none"), F.col("sha"))
+    picked = distinct.where(F.pmod(F.xxhash64("id", "sha"), F.lit(rate)) == 0).select(*of).toPandas()
+    spark = keys.sparkSession
+    bounds = np.sort(_order(picked["id"], picked["none"], picked["sha"])) if len(picked) else np.zeros(0, "S25")
+    shared = spark.sparkContext.broadcast(bounds)
+
+    @F.pandas_udf("int")
+    def block(id: pd.Series, none: pd.Series, sha: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(shared.value, _order(id, none, sha), side="right").astype(np.int32))
+
+    weights = (keys.select(block(*of).alias("block"), "length").groupBy("block")
+               .agg(F.sum(F.col("length") + 1).alias("w")).toPandas())
+    heavy = np.zeros(len(bounds) + 1, dtype=np.int64)
+    heavy[weights["block"].to_numpy(dtype=np.int64)] = weights["w"].to_numpy(dtype=np.int64)
+    number = (np.cumsum(heavy) - heavy) // shard_bytes
+    # numbers without a gap: a range heavier than a shard would leave some out
+    table = spark.sparkContext.broadcast(np.unique(number, return_inverse=True)[1].astype(np.int32))
+
+    @F.pandas_udf("int")
+    def shard(id: pd.Series, none: pd.Series, sha: pd.Series) -> pd.Series:
+        return pd.Series(table.value[np.searchsorted(shared.value, _order(id, none, sha), side="right")])
+
+    return shard(*of), int(table.value.max()) + 1
 
 
 def _folder(spark: SparkSession, folder: str) -> None:
