@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
-
 STATE_STORES = {
     # "hashmap" keeps state on the JVM heap; "rocks" puts it in RocksDB.
     "hashmap": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
@@ -34,6 +32,7 @@ class Params:
     keep_checkpoints: bool = True
     parallelism: int = 1
     max_parallelism: int = 128
+    idle_inputs_hold_time: bool = True
     extra: dict = field(default_factory=dict)
 
     def __post_init__(self):
@@ -52,23 +51,20 @@ class Params:
         return self.slide_ms * self.slide_factor
 
 
-def apply_stream_settings(spark: SparkSession, p: Params) -> None:
-    """State store choice and the partition count of stateful operators.
+def stream_conf(p: Params) -> dict:
+    """R6/R7/T4 as settings of a query: state store, the partition count of stateful
+    operators, and whether an idle input holds event time back.
 
     The state partition count is pinned by the first checkpoint, so it is set to the
-    maximum parallelism up front (rescaling later keeps the same state layout).
-    """
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORES[p.state_store])
+    maximum parallelism up front (rescaling later keeps the same state layout). With several
+    inputs the joint watermark is the minimum, so that an idle input holds time back, or
+    the most advanced input's."""
+    conf = {"spark.sql.streaming.stateStore.providerClass": STATE_STORES[p.state_store],
+            "spark.sql.shuffle.partitions": str(p.max_parallelism),
+            "spark.sql.streaming.multipleWatermarkPolicy": "min" if p.idle_inputs_hold_time else "max"}
     if p.state_store == "rocks":
-        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
-                       str(p.incremental).lower())
-    spark.conf.set("spark.sql.shuffle.partitions", str(p.max_parallelism))
-
-
-def watermark_policy(spark: SparkSession, idle_sources_hold_time: bool = True) -> None:
-    """T4: with several inputs the joint watermark is the minimum by default, so an
-    idle input holds time back; ``False`` follows the most advanced input instead."""
-    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min" if idle_sources_hold_time else "max")
+        conf["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = str(p.incremental).lower()
+    return conf
 
 
 def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict:
@@ -93,5 +89,5 @@ def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict:
 
 
 def trigger_kwargs(p: Params) -> dict:
-    """One micro-batch per checkpoint interval."""
+    """One micro-batch, hence one checkpoint, per interval."""
     return {"processingTime": f"{p.checkpoint_interval_ms} milliseconds"}

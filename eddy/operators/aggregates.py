@@ -80,11 +80,6 @@ def final_nested_latest(ev: DataFrame, tag: str, key="key", seq="sequence_number
     return g.select(key, *flatten_payload("state"))
 
 
-def with_running_count(df: DataFrame, key: str, order: list[str], name: str = "n") -> DataFrame:
-    """A2 change log: each input emits its key's new total (running keyed sum of 1s)."""
-    return keyed_running(df, [key], order, {name: ("count", None)})
-
-
 def with_running_sum(df: DataFrame, key: str, value: str, order: list[str], name: str = "total") -> DataFrame:
     """A2/A3 with a value: running keyed sum (reduce by +)."""
     return keyed_running(df, [key], order, {name: ("sum", F.col(value))})

@@ -14,10 +14,3 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-def read_stream_table(spark: SparkSession, path: str, schema, max_files_per_trigger: int = 1) -> DataFrame:
-    """Streaming scan over a folder of ordered parquet slices (see ``sources.replay``)."""
-    return (spark.readStream.schema(schema)
-            .option("maxFilesPerTrigger", max_files_per_trigger)
-            .parquet(path))
