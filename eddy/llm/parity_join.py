@@ -335,7 +335,8 @@ class Join:
                .where("over").select(key, "level", k.alias("k")))
         for name, at, step in (("below", F.lag, -1), ("above", F.lead, 1)):
             cut = cut.withColumn(name, F.when(at("level").over(order) == F.col("level") + step, at("k").over(order)).otherwise(0))
-        # A row per level of the keys beyond the bounds: a small share of the rows.
+        # A row per level of the keys beyond the bounds, written so that Spark knows its size:
+        # it is broadcast when that is small, else joined by (key, level).
         cut = self.scratch.table(cut, "cut")
         s = F.pmod(F.xxhash64("doc", F.lit(9)), F.col("k")).cast("int")
 
@@ -349,7 +350,7 @@ class Join:
             meets("k", at, lambda t: F.least(own, t), at, lambda t: F.greatest(own, t), lambda t: own > t),
             meets("below", at - 1, lambda t: t, at, own, F.lit(1)),
             meets("above", at, own, at + 1, lambda t: t, zero)))
-        rows = rows.join(F.broadcast(cut), [key, "level"], "left").withColumn("s", s).withColumn("p", F.explode(pairs))
+        rows = rows.join(cut, [key, "level"], "left").withColumn("s", s).withColumn("p", F.explode(pairs))
         return (rows.withColumn("pair", F.xxhash64(key, "p.la", "p.sa", "p.lb", "p.sb")).withColumn("side", F.col("p.side"))
                 .withColumn("alone", F.expr("p.la = p.lb and p.sa = p.sb")).drop("level", "k", "below", "above", "s", "p"))
 
