@@ -45,6 +45,7 @@ SYMBOLS = HEADS * MEMBERS + SHAPES + 1   # inputs: frequent words, shapes, start
 START = SYMBOLS - 1
 LANES = 64             # with WINDOW: an update for about 1,024 tokens
 WINDOW = 16            # how far back gradients go
+BESIDE = 128           # texts scored side by side
 PIECE = 512            # tokens of a document that are learnt in one lane
 STEP = 768             # tokens that a step of the optimiser gathers, at least
 SLICES = ((0, 1), (1, 4), (4, 12))  # of 12: what the rounds learn from
@@ -103,41 +104,56 @@ class Net:
         net.bc[:], net.bm[:] = np.log(class_prior), np.log(member_prior)
         return net
 
-    def inputs(self) -> np.ndarray:
-        """What every input symbol adds to the gates."""
-        return self.wx + self.un
+    def log_token(self, h: np.ndarray, cls: np.ndarray, member: np.ndarray, tail: np.ndarray) -> np.ndarray:
+        """Natural log probability of tokens given as class, member (frequent words) or
+        log share within the class (``tail``, others)."""
+        x = self.wc.T @ h.T  # classes x tokens
+        x += self.bc[:, None]
+        x -= x.max(axis=0)
+        out = x[cls, np.arange(len(cls))].astype(np.float64)
+        out -= np.log(np.exp(x, out=x).sum(axis=0))
+        i, edge = _by_class(cls)
+        out += np.where(cls < HEADS, 0.0, tail)
+        if len(i):
+            own, y = h[i], np.empty((len(i), MEMBERS), dtype=h.dtype)
+            for k in np.flatnonzero(np.diff(edge)):
+                np.matmul(own[edge[k]:edge[k + 1]], self.wm[k], out=y[edge[k]:edge[k + 1]])
+            out[i] += _log_softmax(y + self.bm[cls[i]])[np.arange(len(i)), member[i]]
+        return out
 
-    def step(self, a: np.ndarray, h: np.ndarray):
-        """One step of the gated unit from the inputs' share ``a`` (overwritten) and the
-        state: the new state and what going back needs."""
-        b = h @ self.u
-        zr, n, bn = a[:, :2 * H], a[:, 2 * H:], b[:, 2 * H:]
-        zr += b[:, :2 * H]
-        zr *= 0.5
+
+class Cell:
+    """The gated unit of a net, gate by gate (forget, reset, new), so that every array is
+    contiguous. The weights of the first two are halved: a logistic is a tanh of half."""
+
+    def __init__(self, net: Net):
+        self.u = net.u.reshape(H, 3, H).transpose(1, 0, 2).copy()
+        self.given = (net.wx + net.un).reshape(SYMBOLS, 3, H).transpose(1, 0, 2).copy()
+        self.u[:2] *= 0.5
+        self.given[:2] *= 0.5
+
+    def step(self, x: np.ndarray, h: np.ndarray, zr: np.ndarray, n: np.ndarray, out: np.ndarray) -> np.ndarray:
+        """The state after symbols ``x`` into ``out``; the gates into ``zr`` and ``n``; returns
+        the state's share of the new value."""
+        b, given = np.matmul(h, self.u), self.given.take(x, axis=1)
+        np.add(b[:2], given[:2], out=zr)
         np.tanh(zr, out=zr)
-        zr += 1.0
         zr *= 0.5
-        n += zr[:, H:] * bn
+        zr += 0.5
+        np.multiply(zr[1], b[2], out=n)
+        n += given[2]
         np.tanh(n, out=n)
-        new = h - n
-        new *= zr[:, :H]
-        new += n
-        return new, (zr, n, bn)
+        np.subtract(h, n, out=out)
+        out *= zr[0]
+        out += n
+        return b[2]
 
-    def log_token(self, h: np.ndarray, cls: np.ndarray, member: np.ndarray, tail: np.ndarray) -> np.ndarray:
-        """Natural log probability of tokens given as class, member (frequent words) or
-        log share within the class (``tail``, others)."""
-        x = h @ self.wc
-        x += self.bc
-        x -= x.max(axis=1, keepdims=True)
-        out = x[np.arange(len(cls)), cls].astype(np.float64)
-        out -= np.log(np.exp(x, out=x).sum(axis=1))
-        head = cls < HEADS
-        out[~head] += tail[~head]
-        for g in np.unique(cls[head]):
-            i = np.flatnonzero(cls == g)
-            out[i] += _log_softmax(h[i] @ self.wm[g] + self.bm[g])[np.arange(len(i)), member[i]]
-        return out
+
+def _by_class(cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of tokens of frequent words' classes, class by class, and where each begins."""
+    i = np.flatnonzero(cls < HEADS)
+    i = i[np.argsort(cls[i].astype(np.int8), kind="stable")]
+    return i, np.searchsorted(cls[i], np.arange(HEADS + 1))
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -150,72 +166,83 @@ def gradient(net: Net, x, first, cls, member, on, h0):
     the fixed shares inside shape classes, and the state after it. Arrays are step x lane;
     ``first`` marks document starts (state 0), ``on`` the tokens that count."""
     steps, lanes = x.shape
-    g = Net(np.zeros(Net.SIZE, dtype=net.flat.dtype))
-    given = net.inputs()[x]
-    states = np.empty((steps, lanes, H), dtype=net.flat.dtype)
+    kind = net.flat.dtype
+    g, cell = Net(np.zeros(Net.SIZE, dtype=kind)), Cell(net)
+    before = np.empty((steps, lanes, H), dtype=kind)
+    states, n, bn = np.empty_like(before), np.empty_like(before), np.empty_like(before)
+    zr = np.empty((steps, 2, lanes, H), dtype=kind)
     starts = first.any(axis=1)
-    tape, h = [], h0
+    h = h0
     for t in range(steps):
+        before[t] = h
         if starts[t]:
-            h = np.where(first[t][:, None], 0, h).astype(net.flat.dtype)
-        after, kept = net.step(given[t], h)
-        tape.append((h, *kept))
-        states[t] = h = after
+            before[t][first[t]] = 0
+        bn[t] = cell.step(x[t], before[t], zr[t], n[t], states[t])
+        h = states[t]
     flat = states.reshape(-1, H)
     c, m = cls.ravel(), member.ravel()
-    w = on.ravel().astype(net.flat.dtype)
+    w = on.ravel().astype(kind)
     rows = np.arange(len(c))
-    d = flat @ net.wc
-    d += net.bc
-    d -= d.max(axis=1, keepdims=True)
-    picked = d[rows, c]
+    d = net.wc.T @ flat.T  # classes x tokens
+    d += net.bc[:, None]
+    d -= d.max(axis=0)
+    picked = d[c, rows]
     np.exp(d, out=d)
-    total = d.sum(axis=1)
+    total = d.sum(axis=0)
     loss = -((picked - np.log(total)) * w).sum()
-    d *= (w / total)[:, None]
-    d[rows, c] -= w
-    g.wc[:], g.bc[:] = flat.T @ d, d.sum(axis=0)
-    dh_out = d @ net.wc.T
-    order = np.argsort(np.where(w > 0, c, CLASSES), kind="stable")
-    edge = np.searchsorted(c[order][:int((w > 0).sum())], np.arange(HEADS + 1))
-    for k in range(HEADS):
-        i = order[edge[k]:edge[k + 1]]
-        if len(i):
-            lp = _log_softmax(flat[i] @ net.wm[k] + net.bm[k])
-            loss -= lp[np.arange(len(i)), m[i]].sum()
-            e = np.exp(lp)
-            e[np.arange(len(i)), m[i]] -= 1
-            g.wm[k], g.bm[k] = flat[i].T @ e, e.sum(axis=0)
-            dh_out[i] += e @ net.wm[k].T
+    d *= w / total
+    d[c, rows] -= w
+    g.wc[:], g.bc[:] = (d @ flat).T, d.sum(axis=1)
+    dh_out = (net.wc @ d).T.copy()
+    i, edge = _by_class(np.where(on.ravel(), c, CLASSES))
+    if len(i):
+        own, k = flat[i], np.arange(len(i))
+        used = [(j, slice(edge[j], edge[j + 1])) for j in np.flatnonzero(np.diff(edge))]
+        y = net.bm[c[i]]
+        for j, at in used:
+            y[at] += own[at] @ net.wm[j]
+        y = _log_softmax(y)
+        loss -= y[k, m[i]].sum()
+        np.exp(y, out=y)
+        y[k, m[i]] -= 1
+        back = np.empty_like(own)
+        for j, at in used:
+            g.wm[j], g.bm[j] = own[at].T @ y[at], y[at].sum(axis=0)
+            np.matmul(y[at], net.wm[j].T, out=back[at])
+        dh_out[i] += back
     dh_out = dh_out.reshape(steps, lanes, H)
-    dh = np.zeros((lanes, H), dtype=net.flat.dtype)
-    da = np.empty((steps, lanes, 3 * H), dtype=net.flat.dtype)
-    db = np.empty_like(da)
+    # What a change of the state does to the gates, for all steps at once.
+    z, r = zr[:, 0], zr[:, 1]
+    to_z = (before - n) * z * (1 - z)
+    to_r = bn * r * (1 - r)
+    to_n = (1 - z) * (1 - n * n)
+    da = np.empty((steps, lanes, 3, H), dtype=kind)
+    db = np.empty((steps, 3, lanes, H), dtype=kind)
+    back = net.u.reshape(H, 3, H).transpose(1, 2, 0).copy()
+    dh = np.zeros((lanes, H), dtype=kind)
     for t in reversed(range(steps)):
-        before, zr, n, bn = tape[t]
-        z, r = zr[:, :H], zr[:, H:]
         dh += dh_out[t]
-        dn = n * n
-        np.subtract(1, dn, out=dn)
-        dn *= dh
-        dn *= 1 - z
-        gate = zr * (1 - zr)
-        a, b = da[t], db[t]
-        np.multiply(dh * (before - n), gate[:, :H], out=a[:, :H])
-        np.multiply(dn * bn, gate[:, H:], out=a[:, H:2 * H])
-        a[:, 2 * H:] = dn
-        b[:, :2 * H] = a[:, :2 * H]
-        np.multiply(dn, r, out=b[:, 2 * H:])
-        dh *= z
-        dh += b @ net.u.T
+        dn = dh * to_n[t]
+        np.multiply(dh, to_z[t], out=db[t, 0])
+        np.multiply(dn, to_r[t], out=db[t, 1])
+        np.multiply(dn, r[t], out=db[t, 2])
+        da[t, :, 2] = dn
+        dh *= z[t]
+        parts = np.matmul(db[t], back)
+        dh += parts[0]
+        dh += parts[1]
+        dh += parts[2]
         if starts[t]:
             dh[first[t]] = 0
-    g.u[:] = np.concatenate([k[0] for k in tape]).T @ db.reshape(-1, 3 * H)
+    da[:, :, 0], da[:, :, 1] = db[:, 0], db[:, 1]
+    g.u.reshape(H, 3, H)[:] = np.stack([before.reshape(-1, H).T @ db[:, k].reshape(-1, H) for k in range(3)], axis=1)
+    # Sorted by symbol, runs of equal symbols are added up; two floats at a time.
     da = da.reshape(-1, 3 * H)
-    g.un[:] = da.sum(axis=0)
-    order = np.argsort(x.ravel(), kind="stable")
+    order = np.argsort(x.ravel().astype(np.int16), kind="stable")
     symbols, at = np.unique(x.ravel()[order], return_index=True)
-    g.wx[symbols] = np.add.reduceat(da[order], at, axis=0)
+    pair = np.complex64 if kind == np.float32 else np.complex128
+    g.wx[symbols] = np.add.reduceat(da[order].view(pair), at, axis=0).view(kind)
+    g.un[:] = g.wx.sum(axis=0)
     return g.flat, float(loss), h
 
 
@@ -240,8 +267,8 @@ class Trainer:
             lanes[k].append((d, a))
             load[k] += min(PIECE, len(docs[d][0]) - a)
         steps = -(-int(load.max()) // WINDOW) * WINDOW
-        x = np.full((steps, LANES), START)
-        cls, member = np.zeros((steps, LANES), np.int64), np.zeros((steps, LANES), np.int64)
+        x = np.full((steps, LANES), START, np.int16)
+        cls, member = np.zeros((steps, LANES), np.int16), np.zeros((steps, LANES), np.int16)
         first, on = np.zeros((steps, LANES), bool), np.zeros((steps, LANES), bool)
         for k, own in enumerate(lanes):
             at = 0
@@ -258,7 +285,7 @@ class Trainer:
                                    on[w][:, live], h[live])
             h[live] = state
             self.held_g += g
-            self.held += int(on[w].sum())
+            self.held += int(np.count_nonzero(on[w]))
             if self.held >= STEP or at + WINDOW >= steps and self.held >= STEP // 2:
                 self._apply(1.0)
 
@@ -274,12 +301,20 @@ class Trainer:
         self.held_g[:], self.held = 0, 0
 
     def _update(self, g: np.ndarray, share: float) -> None:
-        g *= min(1.0, 1.0 / (float(np.sqrt((g * g).sum())) + 1e-9))
+        g *= min(1.0, 1.0 / (float(np.sqrt(g @ g)) + 1e-9))
         self.n += 1
-        self.m += 0.1 * (g - self.m)
-        self.v += 0.01 * (g * g - self.v)
-        self.net.flat -= (self.rate * share * min(1.0, self.n / 20) * (self.m / (1 - 0.9 ** self.n))
-                          / (np.sqrt(self.v / (1 - 0.99 ** self.n)) + 1e-6)).astype(np.float32)
+        self.m *= 0.9
+        self.m += 0.1 * g
+        self.v *= 0.99
+        np.multiply(g, g, out=g)
+        g *= 0.01
+        self.v += g
+        np.multiply(self.v, 1 / (1 - 0.99 ** self.n), out=g)
+        np.sqrt(g, out=g)
+        g += 1e-6
+        np.divide(self.m, g, out=g)
+        g *= self.rate * share * min(1.0, self.n / 20) / (1 - 0.9 ** self.n)
+        self.net.flat -= g
 
 
 class Heads:
@@ -466,23 +501,28 @@ def _log_likelihood(net: Net, first, cls, member, symbol, tail) -> np.ndarray:
     cls, member, tail = _with_end(cls, 0), _with_end(member, 0), _with_end(tail, 0.0)
     symbol = _with_end(symbol, START)
     last = len(cls) - 1  # where the end is
-    given = net.inputs()
-    t, longest = 0, int(size[0]) if len(size) else 0
-    while t < longest:
-        steps = min(WINDOW, longest - t)
-        states, goals, owners = [], [], []
-        for k in range(t, t + steps):
-            live = int(np.searchsorted(-size, -k, side="left"))  # texts with more than k tokens
-            s = start[:live]
-            x = symbol[s + k - 1] if k else np.full(live, START)
-            h[:live], _ = net.step(given[x], h[:live])
-            states.append(h[:live].copy())
-            goals.append(np.where(k < size[:live] - 1, s + k, last))
-            owners.append(np.arange(live))
-        goal, owner = np.concatenate(goals), np.concatenate(owners)
-        got = net.log_token(np.concatenate(states), cls[goal], member[goal], tail[goal])
-        out += np.bincount(owner, weights=got, minlength=len(out))
-        t += steps
+    cell = Cell(net)
+    for t in range(0, int(size[0]) if len(size) else 0, WINDOW):
+        steps = min(WINDOW, int(size[0]) - t)
+        live = int(np.searchsorted(-size, -t, side="left"))  # texts with more than t tokens
+        for a in range(0, live, BESIDE):
+            own = slice(a, min(live, a + BESIDE))
+            k = np.arange(t, t + steps)[:, None]
+            at, more = start[own] + k, k < size[own] - 1  # a text that has ended goes on idly to the window's end
+            goal = np.where(more, at, last)
+            x = symbol[np.minimum(at - 1, last)]
+            if t == 0:
+                x[0] = START
+            states = np.empty((steps + 1, *h[own].shape), dtype=np.float32)
+            zr, new = np.empty((2, *h[own].shape), dtype=np.float32), np.empty(h[own].shape, dtype=np.float32)
+            states[0] = h[own]
+            for j in range(steps):
+                cell.step(x[j], states[j], zr, new, states[j + 1])
+            h[own] = states[steps]
+            on = k < size[own]
+            goal, owner = goal[on], np.broadcast_to(np.arange(own.start, own.stop), on.shape)[on]
+            got = net.log_token(states[1:][on], cls[goal], member[goal], tail[goal])
+            out += np.bincount(owner, weights=got, minlength=len(out))
     result = np.empty(len(n))
     result[order] = out
     return result

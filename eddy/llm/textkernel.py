@@ -11,6 +11,7 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -70,6 +71,25 @@ def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterato
     return task
 
 
+@contextmanager
+def pages_kept():
+    """Arrays of a few hundred kilobytes, made and freed again and again, reuse their pages
+    inside; at the end the C library is asked for its defaults and what is free goes back."""
+    libc = ctypes.CDLL(None)
+    tune, trim = getattr(libc, "mallopt", None), getattr(libc, "malloc_trim", None)
+    if tune is not None:
+        tune(-3, 32 << 20)  # from this size on a mapping of its own
+        tune(-1, 64 << 20)  # free memory kept
+    try:
+        yield
+    finally:
+        if tune is not None:
+            tune(-3, 128 << 10)
+            tune(-1, 128 << 10)
+        if trim is not None:
+            trim(0)
+
+
 @dataclass
 class Words:
     """Words of a batch of texts. ``first[d]:first[d + 1]`` are the words of text ``d``;
