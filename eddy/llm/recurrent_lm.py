@@ -9,10 +9,15 @@ probability above 0 and they sum to 1, whatever the vocabulary.
 
 Training: truncated backpropagation in numpy. Documents run in parallel lanes, windows of
 ``WINDOW`` tokens are learnt one after another with the state carried over, reset at the
-start of a document (and of every 512th token of a long one, in training). Each Spark task trains a copy on its documents, copies are averaged
-by tokens; that is repeated over three disjoint slices of the training documents, so every
-training document is learnt from once. The copy's size is fixed; word counts cover all
-training documents and are never gathered in one place.
+start of a document (and of every 512th token of a long one, in training). Training
+documents are written once as symbols and dealt, by a hash of their id and text, to groups
+of about ``GROUP`` tokens; a copy is trained on each group, in the order of that hash, and
+copies are averaged by tokens. That is repeated over three disjoint slices of the training
+documents, so every training document is learnt from once, and neither the partitions nor
+the batches of the input move the model beyond rounding (but for rows that repeat one id
+and text over 64 times in a task: those are dealt on, so that no group outgrows a task).
+The copy's size is fixed; word counts cover all training documents and are never gathered
+in one place.
 
 Scoring: documents are dealt to ranges of ids; each range asks for the counts of its own
 words, which are joined to it, and carries the state from window to window, so that the
@@ -25,6 +30,7 @@ other columns are ignored. Words are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +53,8 @@ LANES = 64             # with WINDOW: an update for about 1,024 tokens
 WINDOW = 16            # how far back gradients go
 BESIDE = 128           # texts scored side by side
 PIECE = 512            # tokens of a document that are learnt in one lane
+GROUP = 1 << 18        # tokens a copy of the net is trained on, about
+TASKS = 16_384         # tasks that train, at most; each adds up its copies
 STEP = 768             # tokens that a step of the optimiser gathers, at least
 SLICES = ((0, 1), (1, 4), (4, 12))  # of 12: what the rounds learn from
 END = np.uint64(0)     # the end's place among the word hashes
@@ -317,6 +325,34 @@ class Trainer:
         self.net.flat -= g
 
 
+def _trained(batches: Iterator[pa.RecordBatch], start: np.ndarray, rate: float) -> Iterator[Trainer]:
+    """A trainer for each group of rows (group, key, symbols), which come sorted. Documents
+    are learnt about ``GROUP`` tokens at a time, wherever batches end."""
+    group, trainer, docs, held = None, None, [], 0
+    for batch in batches:
+        for g, codes in zip(batch.column(0).to_pylist(), batch.column(2)):
+            if trainer is None or g != group or held >= GROUP:
+                if docs:
+                    trainer.learn(docs)
+                docs, held = [], 0
+                if g != group or trainer is None:
+                    if trainer is not None:
+                        trainer.finish()
+                        yield trainer
+                    group, trainer = g, Trainer(start, rate)
+            symbol = np.frombuffer(codes.as_buffer() or b"", "<u2").astype(np.int16)
+            head = symbol < HEADS * MEMBERS
+            docs.append((np.append(np.int16(START), symbol),
+                         np.append(np.where(head, symbol // MEMBERS, symbol - HEADS * MEMBERS + HEADS), np.int16(0)),
+                         np.append(np.where(head, symbol % MEMBERS, 0), np.int16(0))))
+            held += len(symbol) + 1
+    if trainer is not None:
+        if docs:
+            trainer.learn(docs)
+        trainer.finish()
+        yield trainer
+
+
 class Heads:
     """The frequent words: sorted hashes and their numbers (class * MEMBERS + member).
     Number 0 is the end's."""
@@ -404,30 +440,49 @@ class Model:
         prior = np.concatenate([member.sum(axis=1), plain + 0.5])
         self.net = Net.start(prior / prior.sum(), member / member.sum(axis=1, keepdims=True)).flat
 
+    def _codes(self) -> DataFrame:
+        """The training documents, split once: slice, key (of id and text) and symbols."""
+        heads = self.heads
+
+        def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen = Counter()  # how often each key came up in this task
+            for batch in batches:
+                text, part, key = batch.column(0), batch.column(1), batch.column(2).to_pylist()
+                again = []
+                for k in key:
+                    again.append(seen[k] // 64)
+                    seen[k] += 1
+                for x, y in K.parts(text):
+                    w = K.words(text.slice(x, y - x))
+                    symbol = _targets(heads.numbers(w.hash), shapes(w))[2].astype("<u2")
+                    codes = pa.Array.from_buffers(pa.binary(), y - x, [
+                        None, pa.py_buffer((w.first * 2).astype(np.int32)), pa.py_buffer(symbol)])
+                    yield pa.RecordBatch.from_arrays([part.slice(x, y - x), batch.column(2).slice(x, y - x),
+                                                      pa.array(again[x:y], pa.int32()), codes],
+                                                     names=["part", "key", "again", "codes"])
+
+        part = F.coalesce(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(12)), F.lit(0)).cast("int")
+        return self.scratch.table(
+            self.docs.where("not held").select("text", part.alias("part"), F.xxhash64("id", "text").alias("key"))
+            .mapInArrow(code, "part int, key long, again int, codes binary"), "codes")
+
     def train(self, rates: tuple[float, ...] = (0.01, 0.006, 0.003)) -> None:
         """Three rounds, each over its slice of the training documents."""
-        part = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(12))
-        heads = self.heads
+        codes = self._codes()
+        tokens = {r["part"]: r["n"] for r in
+                  codes.groupBy("part").agg(F.sum(F.octet_length("codes") / 2 + 1).alias("n")).collect()}
         for (low, high), rate in zip(SLICES, rates):
             start = self.net
+            groups = max(1, round(sum(tokens.get(k, 0) for k in range(low, high)) / GROUP))
 
             def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                trainer = Trainer(start, rate)
-                for batch in batches:
-                    text = batch.column(0)
-                    for x, y in K.parts(text):
-                        w = K.words(text.slice(x, y - x))
-                        cls, member, symbol = _targets(heads.numbers(w.hash), shapes(w))
-                        docs = []
-                        for a, b in zip(w.first[:-1], w.first[1:]):
-                            docs.append((np.concatenate([[START], symbol[a:b]]), _with_end(cls[a:b], 0),
-                                         _with_end(member[a:b], 0)))
-                        if docs:
-                            trainer.learn(docs)
-                trainer.finish()
-                if trainer.tokens:
-                    flat = (trainer.net.flat.astype(np.float64) * trainer.tokens).tobytes()
-                    yield pa.RecordBatch.from_arrays([pa.array([trainer.tokens]), pa.array([flat], pa.binary())],
+                sums, done = np.zeros(len(start), np.float64), 0
+                with K.pages_kept():
+                    for trainer in _trained(batches, start, rate):
+                        sums += trainer.net.flat.astype(np.float64) * trainer.tokens
+                        done += trainer.tokens
+                if done:
+                    yield pa.RecordBatch.from_arrays([pa.array([done]), pa.array([sums.tobytes()], pa.binary())],
                                                      names=["tokens", "flat"])
 
             def add(table):
@@ -436,11 +491,13 @@ class Model:
                                  "flat": pa.array([total.tobytes()], pa.binary())})
 
             kind = "tokens long, flat binary"
-            own = (self.docs.where(~F.col("held") & (F.coalesce(part, F.lit(0)) >= low) & (F.coalesce(part, F.lit(0)) < high))
-                   .select("text").mapInArrow(learn, kind))
-            # Copies are added up by up to 64 tasks, the driver adds 64 sums of fixed size.
-            sums = own.withColumn("g", F.spark_partition_id() % 64).groupBy("g").applyInArrow(add, kind).collect()
+            own = (codes.where((F.col("part") >= low) & (F.col("part") < high))
+                   .select(F.pmod(F.xxhash64("key", "again"), F.lit(groups)).alias("g"), "key", "codes")
+                   .repartition(min(groups, TASKS), "g").sortWithinPartitions("g", "key").mapInArrow(learn, kind))
+            # A sum for each task; 256 tasks at most add those up, the driver adds their sums of fixed size.
+            sums = own.withColumn("g", F.spark_partition_id() % 256).groupBy("g").applyInArrow(add, kind).collect()
             if sums:
+                sums.sort(key=lambda r: (r["tokens"], bytes(r["flat"])))
                 total = sum(np.frombuffer(bytes(r["flat"]), np.float64) for r in sums)
                 self.net = (total / sum(r["tokens"] for r in sums)).astype(np.float32)
 
@@ -461,7 +518,7 @@ class Model:
             tail = np.log(c + 1.0) - log_mass[shape.astype(np.int64)]
             size, known, low, high = [], [], [], []
             text = docs.column("text").combine_chunks()
-            for x, y in K.parts(text):
+            for x, y in K.parts(text, 16 << 20):  # the more texts run side by side, the fewer steps are narrow
                 w = K.words(text.slice(x, y - x))
                 at = np.searchsorted(word, w.hash)
                 n = np.diff(w.first)
@@ -479,7 +536,8 @@ class Model:
                 return pa.table({"id": pa.array([], pa.int64()), "held": pa.array([], pa.bool_()),
                                  "n_tokens": pa.array([], pa.int64()), "n_known": pa.array([], pa.int64()),
                                  "base_score": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
-            return run(key, docs, counts)
+            with K.pages_kept():
+                return run(key, docs, counts)
 
         return (self.docs.select("b", "id", "held", "text").groupBy("b")
                 .cogroup(self.counts.select("b", "word", "shape", "c").groupBy("b")).applyInArrow(guarded, kind))

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from llm.helpers import ODD, docs, lower, words
 from pyspark.sql import functions as F
 
@@ -176,3 +177,33 @@ def test_every_partition_with_one_short_document_is_learnt_from(spark):
     before = model.net.copy()
     model.train()
     assert np.abs(model.net - before).max() > 0
+
+
+def test_partitions_and_batches_do_not_move_the_model(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    d = d.unionAll(spark.createDataFrame([(None, "a b c"), (None, "a b c"), (-5, None), (-6, "")], d.schema))
+    nets, size = [], spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for n, rows in ((1, 10_000), (4, 10_000), (16, 7)):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+            model = recurrent_lm.Model(d.repartition(n), spark)
+            model.train()
+            nets.append(model.net)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert all(np.abs(nets[0] - x).max() < 1e-5 for x in nets[1:])
+    assert np.isfinite(nets[0]).all()
+
+
+def test_groups_are_trained_apart_wherever_batches_end():
+    rng = np.random.default_rng(4)
+    rows = sorted((int(g), int(k), rng.integers(0, 288, int(n)).astype("<u2").tobytes())
+                  for g, k, n in zip(rng.integers(0, 3, 40), rng.integers(0, 99, 40), rng.integers(0, 300, 40)))
+    batch = pa.RecordBatch.from_pylist([{"g": g, "key": k, "codes": c} for g, k, c in rows])
+    start = rng.normal(0, 0.1, recurrent_lm.Net.SIZE).astype(np.float32)
+    whole = list(recurrent_lm._trained(iter([batch]), start, 0.01))
+    cut = list(recurrent_lm._trained(iter([batch.slice(i, 7) for i in range(0, 40, 7)]), start, 0.01))
+    assert len(whole) == len(cut) == len({g for g, _, _ in rows})
+    assert all((a.net.flat == b.net.flat).all() and a.tokens == b.tokens for a, b in zip(whole, cut))
+    assert sum(a.tokens for a in whole) == sum(len(c) // 2 + 1 for _, _, c in rows)
+    assert list(recurrent_lm._trained(iter([]), start, 0.01)) == []
