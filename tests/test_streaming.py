@@ -276,3 +276,25 @@ def test_upsert_resumes(spark, tmp_path):
         s = _stream(spark, a.schema, d).select("seller", "id", "reserve", "date_time")
         run_foreach_batch(s, upsert_writer(snap, ["seller"], ["date_time", "id"]), ck, mode="append")
     assert _rows(latest_snapshot(spark, snap).select("seller", "id", "reserve")) == _rows(Q.upsert_latest(spark, SF001))
+
+
+def test_early_sessions_resume(spark, tmp_path, bids_ts):
+    """R3 for W6: open sessions, their counts and timers outlive a stop."""
+    ST.use_rocksdb(spark)
+    d, out, ck = (str(tmp_path / x) for x in ("bids", "out", "ck"))
+    sentinel = {"auction": -1, "bidder": -1, "event_id": -1}
+
+    def run():
+        s = _stream(spark, bids_ts.schema, d).withWatermark("date_time", "0 seconds")
+        run_to_parquet(ST.early_session_stream(s, 6 * 3600 * 1000, Q.Q11_EARLY_EVERY), out, ck)
+
+    n = _replay(spark, bids_ts, "date_time", d, "5 days", sentinel, 0, 3, with_sentinel=False)
+    run()
+    first = spark.read.parquet(out).count()
+    _replay(spark, bids_ts, "date_time", d, "5 days", sentinel, n, None)
+    run()
+    res = spark.read.parquet(out).filter("bidder <> -1")
+    assert 0 < first < res.count()
+    res = res.select("bidder", F.col("session_start").cast("timestamp_ntz"),
+                     F.col("session_end").cast("timestamp_ntz"), "num", "is_final")
+    assert _rows(res) == _rows(Q.q11_session_early(spark, SF001))
