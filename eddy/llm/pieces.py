@@ -22,6 +22,7 @@ import hashlib
 import heapq
 import struct
 from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -146,11 +147,13 @@ class Model:
         piece of their own follow as further symbols when a piece holds them."""
         self.symbol = dict(self.ids)
         self.symbol_bytes = [len(p) for p in self.pieces]
+        self.letters: dict[int, bytes] = {}  # characters of pieces that are no piece
         for p in self.ids:
             for c in p.decode():
                 b = c.encode()
                 if b not in self.symbol:
                     self.symbol[b] = len(self.symbol_bytes)
+                    self.letters[len(self.symbol_bytes)] = b
                     self.symbol_bytes.append(len(b))
         order = sorted({self.scores[i] for i in self.ids.values()}, reverse=True)
         rank = {s: r for r, s in enumerate(order)}
@@ -284,13 +287,9 @@ class Model:
         for low, high in ((0, 8), (8, 16), (16, 32)):
             group = np.flatnonzero((length > low) & (length <= high))
             if len(group):
-                sym, size = self._merge_group([texts[i] for i in group], length[group], high)
-                plain = ((sym < len(self.pieces)) & (sym != -2)).all(axis=1)
-                for i in group[~plain]:
-                    single[i] = self.merge_one(runs[i])
-                group, sym, size = group[plain], sym[plain], size[plain]
-                count[group] = (sym >= 0).sum(axis=1)
-                groups.append((group, sym, size))
+                row, ids, size = self._finals(self._merge_group([texts[i] for i in group], length[group], high))
+                count[group] = np.bincount(row, minlength=len(group))
+                groups.append((group, ids, size))
         for i in np.flatnonzero(length > 32):
             single[i] = self.merge_one(runs[i])
         for i, pieces in single.items():
@@ -298,23 +297,37 @@ class Model:
         first = np.concatenate([[0], np.cumsum(count)])
         ids, sizes = np.zeros(first[-1], np.int32), np.zeros(first[-1], np.int32)
         for group, sym, size in groups:
-            on = sym >= 0
-            to = (first[group][:, None] + np.cumsum(on, axis=1) - 1)[on]
-            ids[to], sizes[to] = sym[on], size[on]
+            n = count[group]
+            to = np.arange(len(sym)) + np.repeat(first[group] - np.cumsum(n) + n, n)
+            ids[to], sizes[to] = sym, size
         for i, pieces in single.items():
             if pieces:
                 ids[first[i]:first[i + 1]], sizes[first[i]:first[i + 1]] = np.array(pieces).T
         return first, ids, sizes
 
-    def _merge_group(self, texts: list[str], length: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols left after all merges, a row per run: -1 after the last, -2 for a
-        character that the model lacks; and their sizes in bytes."""
+    def _finals(self, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, id, bytes) of the pieces of the symbols that ``_merge_group`` leaves, in
+        order: as ``_final`` gives them, looked up once per kind of symbol."""
+        on = sym != -1
+        row, left = np.nonzero(on)[0], sym[on]
+        kinds, back = np.unique(left, return_inverse=True)
+        finals = [self._final(k, b"\0" * self.symbol_bytes[k]) if 0 <= k < len(self.pieces) else
+                  self._final(-1, chr(-2 - k).encode() if k < 0 else self.letters[k]) for k in kinds.tolist()]
+        n = np.array([len(f) for f in finals], dtype=np.int64)
+        flat = np.array([p for f in finals for p in f], dtype=np.int32).reshape(-1, 2)
+        many = n[back]
+        pick = np.arange(many.sum()) + np.repeat((np.cumsum(n) - n)[back] - np.cumsum(many) + many, many)
+        return np.repeat(row, many), flat[pick, 0], flat[pick, 1]
+
+    def _merge_group(self, texts: list[str], length: np.ndarray, width: int) -> np.ndarray:
+        """Symbols left after all merges, a row per run: -1 after the last, -2 less its
+        code point for a character that the model lacks."""
         n = len(texts)
         chars = np.array(texts, dtype=f"<U{width}").view(np.uint32).reshape(n, width)
         kinds, back = np.unique(chars, return_inverse=True)
-        of = np.array([self.symbol.get(chr(c).encode(), -2) if c else -1 for c in kinds], dtype=np.int64)
+        of = np.array([self.symbol.get(chr(c).encode(), -2 - c) if c else -1 for c in kinds.tolist()], dtype=np.int64)
         sym = of[back].reshape(n, width)
-        sym[(np.arange(width) < length[:, None]) & (sym == -1)] = -2  # the character 0
+        sym[(np.arange(width) < length[:, None]) & (sym == -1)] = self.symbol.get(b"\0", -2)
         rank, to = self._pairs(sym[:, :-1], sym[:, 1:])
         live = np.arange(n)
         place = np.arange(width)
@@ -339,7 +352,7 @@ class Model:
                 a = at[ok]
                 rl[ok, a], tl[ok, a] = self._pairs(s[ok, a], s[ok, a + 1])
             rank[live], to[live] = rl, tl
-        return sym, np.array(self.symbol_bytes)[np.maximum(sym, 0)]
+        return sym
 
     def _pairs(self, left: np.ndarray, right: np.ndarray):
         key = (left << 20 | (right & 0xFFFFF))
@@ -357,14 +370,15 @@ class Model:
 
 
 class _Merges:
-    """Pair -> (rank, merged symbol), by search in the sorted pairs."""
+    """Pair -> (rank, merged symbol), by search in the sorted pairs (as buffers: an array's
+    call for one number costs more than the search)."""
 
     def __init__(self, pair: np.ndarray, rank: np.ndarray, to: np.ndarray):
-        self.pair, self.rank, self.to = pair, rank, to
+        self.pair, self.rank, self.to = (memoryview(np.ascontiguousarray(x)) for x in (pair, rank, to))
 
     def get(self, pair: int) -> tuple[int, int] | None:
-        i = int(np.searchsorted(self.pair, pair))
-        return (int(self.rank[i]), int(self.to[i])) if i < len(self.pair) and self.pair[i] == pair else None
+        i = bisect_left(self.pair, pair)
+        return (self.rank[i], self.to[i]) if i < len(self.pair) and self.pair[i] == pair else None
 
 
 def _slot(key: np.ndarray) -> np.ndarray:
@@ -433,7 +447,9 @@ class Encoder:
         end = np.concatenate([w.end, offsets[1:][trailing]])
         key = K.mix(key + gaps.astype(K.U) * K.U(0x9E3779B97F4A7C15))
         keys, at, back = np.unique(key, return_index=True, return_inverse=True)
-        run = self._runs(keys, lambda i: SPACE.encode() * int(gaps[at[i]]) + w.data[begin[at[i]]:end[at[i]]].tobytes())
+        raw, mark = w.data.tobytes(), SPACE.encode()
+        before, low, high = gaps[at].tolist(), begin[at].tolist(), end[at].tolist()
+        run = self._runs(keys, lambda i: mark * before[i] + raw[low[i]:high[i]])
         first = np.array(self.first)
         run = run[back[order]]
         length = (first[run + 1] - first[run])

@@ -31,6 +31,25 @@ def test_ids_and_spans_equal_the_library(model):
         assert [(p.begin, p.end) for p in want] == list(zip(begin.tolist(), end.tolist()))
 
 
+def test_short_runs_with_unknown_characters_are_merged_together(model, monkeypatch):
+    """Characters that are no piece (line breaks, rare scripts, the character 0) don't send
+    a run of at most 32 characters to the single merges."""
+    texts = ["end.\nNext line\n\n\t x", "日\U00020000本 \U0001f9ff\U0001f9ff a\x00b\x00", "\nq\n " * 40, "\x00", "\u1e9e\n"]
+    library = spm.SentencePieceProcessor(model_file=model.path)
+    want = [library.encode(t, return_type="proto").pieces for t in texts]
+    monkeypatch.setattr(pieces.Model, "merge_one", None)
+    for own, (ids, begin, end) in zip(want, pieces.Encoder(model).encode(pa.array(texts))):
+        assert [(p.id, p.begin, p.end) for p in own] == list(zip(ids.tolist(), begin.tolist(), end.tolist()))
+    # A model without byte pieces gives the unknown piece, as the single merges do.
+    runs = ["a\nb".encode(), "▁日\U00020000".encode()]
+    bare = pieces.Model(model.path)
+    bare.bytes = {}
+    first, ids, sizes = bare.merge_many(runs)
+    monkeypatch.undo()
+    assert list(zip(ids.tolist(), sizes.tolist())) == [p for r in runs for p in bare.merge_one(r)]
+    assert first.tolist() == np.cumsum([0, *(len(bare.merge_one(r)) for r in runs)]).tolist()
+
+
 def test_character_map_by_longest_prefix(model):
     """Normalisation and its alignment with a compiled map, against the library's."""
     rule = spm.SentencePieceNormalizer(rule_name="nmt_nfkc", add_dummy_prefix=False, escape_whitespaces=False,
