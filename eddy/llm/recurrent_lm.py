@@ -30,6 +30,8 @@ other columns are ignored. Words are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import heapq
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -51,7 +53,7 @@ SYMBOLS = HEADS * MEMBERS + SHAPES + 1   # inputs: frequent words, shapes, start
 START = SYMBOLS - 1
 LANES = 64             # with WINDOW: an update for about 1,024 tokens
 WINDOW = 16            # how far back gradients go
-BESIDE = 128           # texts scored side by side
+BESIDE = 128           # lanes scored side by side
 PIECE = 512            # tokens of a document that are learnt in one lane
 GROUP = 1 << 18        # tokens a copy of the net is trained on, about
 TASKS = 16_384         # tasks that train, at most; each adds up its copies
@@ -66,18 +68,19 @@ _LAST[48:58] = 3
 _LAST[[ord(c) for c in "#*$%&|<>()[]{}\"'/\\+=-_@^~`"]] = 4
 
 
-def shapes(w: K.Words) -> np.ndarray:
-    """The shape class, 0 to ``SHAPES`` - 1, of every word."""
-    if not len(w.start):
+def shapes(w: K.Words, of: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """The shape class, 0 to ``SHAPES`` - 1, of every word (of the words at ``of``)."""
+    start, end = w.start[of], w.end[of]
+    if not len(start):
         return np.zeros(0, dtype=np.int64)
-    last = _LAST[w.data[w.end - 1]]
-    length = np.digitize(w.end - w.start, (4, 7))
+    last = _LAST[w.data[end - 1]]
+    length = np.digitize(end - start, (4, 7))
     out = last * 3 + length
     lead = np.flatnonzero(w.data >= 0xC0)
     if len(lead):
-        i = np.searchsorted(lead, w.start)
+        i = np.searchsorted(lead, start)
         at = lead[np.minimum(i, len(lead) - 1)]
-        wide = (i < len(lead)) & (at < w.end)
+        wide = (i < len(lead)) & (at < end)
         accent = w.data[np.minimum(at + 1, len(w.data) - 1)] % 16
         out = np.where(wide, 15 + accent * 2 + (last > 0), out)
     return out
@@ -92,12 +95,12 @@ class Net:
 
     PARTS = {"wx": (SYMBOLS, 3 * H), "u": (H, 3 * H), "un": (3 * H,), "wc": (H, CLASSES), "bc": (CLASSES,),
              "wm": (HEADS, H, MEMBERS), "bm": (HEADS, MEMBERS)}
-    SIZE = sum(int(np.prod(s)) for s in PARTS.values())
+    SIZE = sum(math.prod(s) for s in PARTS.values())
 
     def __init__(self, flat: np.ndarray):
         self.flat, at = flat, 0
         for name, shape in self.PARTS.items():
-            n = int(np.prod(shape))
+            n = math.prod(shape)
             setattr(self, name, flat[at:at + n].reshape(shape))
             at += n
 
@@ -123,38 +126,43 @@ class Net:
         i, edge = _by_class(cls)
         out += np.where(cls < HEADS, 0.0, tail)
         if len(i):
-            own, y = h[i], np.empty((len(i), MEMBERS), dtype=h.dtype)
-            for k in np.flatnonzero(np.diff(edge)):
-                np.matmul(own[edge[k]:edge[k + 1]], self.wm[k], out=y[edge[k]:edge[k + 1]])
-            out[i] += _log_softmax(y + self.bm[cls[i]])[np.arange(len(i)), member[i]]
+            own, y = h[i], np.repeat(self.bm.T, np.diff(edge), axis=1)  # members x tokens
+            for k in np.flatnonzero(np.diff(edge)).tolist():
+                at = slice(edge[k], edge[k + 1])
+                y[:, at] += self.wm[k].T @ own[at].T
+            y -= y.max(axis=0)
+            picked = y[member[i], np.arange(len(i))]
+            out[i] += picked - np.log(np.exp(y, out=y).sum(axis=0))
         return out
 
 
 class Cell:
     """The gated unit of a net, gate by gate (forget, reset, new), so that every array is
-    contiguous. The weights of the first two are halved: a logistic is a tanh of half."""
+    contiguous. The weights of the first two are negated, for a logistic is 1 / (1 + exp(-x));
+    a sum so large that the exponential would overflow means a gate of 0 all the same."""
 
     def __init__(self, net: Net):
         self.u = net.u.reshape(H, 3, H).transpose(1, 0, 2).copy()
         self.given = (net.wx + net.un).reshape(SYMBOLS, 3, H).transpose(1, 0, 2).copy()
-        self.u[:2] *= 0.5
-        self.given[:2] *= 0.5
-
-    def step(self, x: np.ndarray, h: np.ndarray, zr: np.ndarray, n: np.ndarray, out: np.ndarray) -> np.ndarray:
-        """The state after symbols ``x`` into ``out``; the gates into ``zr`` and ``n``; returns
-        the state's share of the new value."""
-        b, given = np.matmul(h, self.u), self.given.take(x, axis=1)
+        np.negative(self.u[:2], out=self.u[:2])
+        np.negative(self.given[:2], out=self.given[:2])
+
+    def step(self, x: np.ndarray, h: np.ndarray, b: np.ndarray, zr: np.ndarray, n: np.ndarray, out: np.ndarray) -> None:
+        """The state after symbols ``x`` into ``out``; the state's shares of the sums into
+        ``b``, the gates into ``zr`` and ``n``."""
+        np.matmul(h, self.u, out=b)
+        given = self.given.take(x, axis=1)
         np.add(b[:2], given[:2], out=zr)
-        np.tanh(zr, out=zr)
-        zr *= 0.5
-        zr += 0.5
+        np.minimum(zr, 80.0, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1.0
+        np.reciprocal(zr, out=zr)
         np.multiply(zr[1], b[2], out=n)
         n += given[2]
         np.tanh(n, out=n)
         np.subtract(h, n, out=out)
         out *= zr[0]
         out += n
-        return b[2]
 
 
 def _by_class(cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,11 +172,6 @@ def _by_class(cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return i, np.searchsorted(cls[i], np.arange(HEADS + 1))
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
-
 def gradient(net: Net, x, first, cls, member, on, h0):
     """Gradient of the summed negative log probability of one window, that sum without
     the fixed shares inside shape classes, and the state after it. Arrays are step x lane;
@@ -176,17 +179,21 @@ def gradient(net: Net, x, first, cls, member, on, h0):
     steps, lanes = x.shape
     kind = net.flat.dtype
     g, cell = Net(np.zeros(Net.SIZE, dtype=kind)), Cell(net)
-    before = np.empty((steps, lanes, H), dtype=kind)
-    states, n, bn = np.empty_like(before), np.empty_like(before), np.empty_like(before)
+    states = np.empty((steps + 1, lanes, H), dtype=kind)
+    n, b = np.empty((steps, lanes, H), dtype=kind), np.empty((steps, 3, lanes, H), dtype=kind)
     zr = np.empty((steps, 2, lanes, H), dtype=kind)
-    starts = first.any(axis=1)
-    h = h0
+    starts = first.any(axis=1).tolist()
+    states[0] = h0
     for t in range(steps):
-        before[t] = h
-        if starts[t]:
-            before[t][first[t]] = 0
-        bn[t] = cell.step(x[t], before[t], zr[t], n[t], states[t])
         h = states[t]
+        if starts[t]:
+            h = h.copy()
+            h[first[t]] = 0
+        cell.step(x[t], h, b[t], zr[t], n[t], states[t + 1])
+    before, states = states[:-1], states[1:]
+    if any(starts):
+        before = before.copy()
+        before[first] = 0
     flat = states.reshape(-1, H)
     c, m = cls.ravel(), member.ravel()
     w = on.ravel().astype(kind)
@@ -201,57 +208,60 @@ def gradient(net: Net, x, first, cls, member, on, h0):
     d *= w / total
     d[c, rows] -= w
     g.wc[:], g.bc[:] = (d @ flat).T, d.sum(axis=1)
-    dh_out = (net.wc @ d).T.copy()
+    dh_out = d.T @ net.wc.T
     i, edge = _by_class(np.where(on.ravel(), c, CLASSES))
     if len(i):
-        own, k = flat[i], np.arange(len(i))
-        used = [(j, slice(edge[j], edge[j + 1])) for j in np.flatnonzero(np.diff(edge))]
-        y = net.bm[c[i]]
+        own, k, m = flat[i], np.arange(len(i)), m[i]
+        used = [(j, slice(edge[j], edge[j + 1])) for j in np.flatnonzero(np.diff(edge)).tolist()]
+        y = np.repeat(net.bm.T, np.diff(edge), axis=1)  # members x tokens
         for j, at in used:
-            y[at] += own[at] @ net.wm[j]
-        y = _log_softmax(y)
-        loss -= y[k, m[i]].sum()
+            y[:, at] += net.wm[j].T @ own[at].T
+        y -= y.max(axis=0)
+        picked = y[m, k]
         np.exp(y, out=y)
-        y[k, m[i]] -= 1
+        total = y.sum(axis=0)
+        loss -= (picked - np.log(total)).sum()
+        y /= total
+        y[m, k] -= 1
         back = np.empty_like(own)
         for j, at in used:
-            g.wm[j], g.bm[j] = own[at].T @ y[at], y[at].sum(axis=0)
-            np.matmul(y[at], net.wm[j].T, out=back[at])
+            np.matmul(own[at].T, y[:, at].T, out=g.wm[j])
+            np.matmul(y[:, at].T, net.wm[j].T, out=back[at])
+        some = [j for j, _ in used]
+        g.bm[some] = np.add.reduceat(y, edge[some], axis=1).T
         dh_out[i] += back
     dh_out = dh_out.reshape(steps, lanes, H)
-    # What a change of the state does to the gates, for all steps at once.
+    # What a change of the state does to the gates' sums, for all steps at once.
     z, r = zr[:, 0], zr[:, 1]
-    to_z = (before - n) * z * (1 - z)
-    to_r = bn * r * (1 - r)
     to_n = (1 - z) * (1 - n * n)
-    da = np.empty((steps, lanes, 3, H), dtype=kind)
-    db = np.empty((steps, 3, lanes, H), dtype=kind)
-    back = net.u.reshape(H, 3, H).transpose(1, 2, 0).copy()
+    to = np.empty((steps, lanes, 3, H), dtype=kind)
+    to[:, :, 0] = (before - n) * z * (1 - z)
+    to_r = to_n * r
+    to[:, :, 2] = to_r
+    to_r *= b[:, 2]
+    to_r *= 1 - r
+    to[:, :, 1] = to_r
+    back = net.u.T.copy()
+    dhs, part = np.empty((steps, lanes, H), dtype=kind), np.empty((lanes, H), dtype=kind)
     dh = np.zeros((lanes, H), dtype=kind)
     for t in reversed(range(steps)):
-        dh += dh_out[t]
-        dn = dh * to_n[t]
-        np.multiply(dh, to_z[t], out=db[t, 0])
-        np.multiply(dn, to_r[t], out=db[t, 1])
-        np.multiply(dn, r[t], out=db[t, 2])
-        da[t, :, 2] = dn
-        dh *= z[t]
-        parts = np.matmul(db[t], back)
-        dh += parts[0]
-        dh += parts[1]
-        dh += parts[2]
+        np.add(dh, dh_out[t], out=dhs[t])
+        to[t] *= dhs[t][:, None]
+        np.multiply(dhs[t], z[t], out=dh)
+        np.matmul(to[t].reshape(lanes, 3 * H), back, out=part)
+        dh += part
         if starts[t]:
             dh[first[t]] = 0
-    da[:, :, 0], da[:, :, 1] = db[:, 0], db[:, 1]
-    g.u.reshape(H, 3, H)[:] = np.stack([before.reshape(-1, H).T @ db[:, k].reshape(-1, H) for k in range(3)], axis=1)
+    da = to.reshape(-1, 3 * H)
+    np.matmul(before.reshape(-1, H).T, da, out=g.u)
+    to[:, :, 2] = dhs * to_n
     # Sorted by symbol, runs of equal symbols are added up; two floats at a time.
-    da = da.reshape(-1, 3 * H)
     order = np.argsort(x.ravel().astype(np.int16), kind="stable")
     symbols, at = np.unique(x.ravel()[order], return_index=True)
     pair = np.complex64 if kind == np.float32 else np.complex128
     g.wx[symbols] = np.add.reduceat(da[order].view(pair), at, axis=0).view(kind)
     g.un[:] = g.wx.sum(axis=0)
-    return g.flat, float(loss), h
+    return g.flat, float(loss), states[-1]
 
 
 class Trainer:
@@ -260,7 +270,7 @@ class Trainer:
     def __init__(self, flat: np.ndarray, rate: float):
         self.net, self.rate = Net(flat.copy()), rate
         self.m, self.v, self.n, self.tokens = np.zeros_like(flat), np.zeros_like(flat), 0, 0
-        self.held_g, self.held = np.zeros_like(flat), 0  # gradients gathered for the next step
+        self.held_g, self.held = None, 0  # gradients gathered for the next step
 
     def learn(self, docs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
         """``docs``: (inputs, classes, members) of documents. Pieces of ``PIECE`` tokens at
@@ -289,10 +299,14 @@ class Trainer:
         for at in range(0, steps, WINDOW):
             w = slice(at, at + WINDOW)
             live = np.flatnonzero(on[w].any(axis=0))
+            live = slice(None) if len(live) == LANES else live
             g, _, state = gradient(self.net, x[w][:, live], first[w][:, live], cls[w][:, live], member[w][:, live],
                                    on[w][:, live], h[live])
             h[live] = state
-            self.held_g += g
+            if self.held_g is None:
+                self.held_g = g
+            else:
+                self.held_g += g
             self.held += int(np.count_nonzero(on[w]))
             if self.held >= STEP or at + WINDOW >= steps and self.held >= STEP // 2:
                 self._apply(1.0)
@@ -304,24 +318,26 @@ class Trainer:
             self._apply(min(1.0, self.held / STEP))
 
     def _apply(self, share: float) -> None:
-        self._update(self.held_g / self.held, share)
+        self._update(self.held_g, share)
         self.tokens += self.held
-        self.held_g[:], self.held = 0, 0
+        self.held_g, self.held = None, 0
 
     def _update(self, g: np.ndarray, share: float) -> None:
-        g *= min(1.0, 1.0 / (float(np.sqrt(g @ g)) + 1e-9))
+        """A step along the mean of the gathered gradients (``g``, overwritten), of length 1 at
+        most. ``m`` and ``v`` hold Adam's means times 10 and 100."""
+        mean = 1.0 / self.held
+        g *= mean * min(1.0, 1.0 / (float(np.sqrt(g @ g)) * mean + 1e-9))
         self.n += 1
         self.m *= 0.9
-        self.m += 0.1 * g
+        self.m += g
         self.v *= 0.99
-        np.multiply(g, g, out=g)
-        g *= 0.01
+        g *= g
         self.v += g
-        np.multiply(self.v, 1 / (1 - 0.99 ** self.n), out=g)
-        np.sqrt(g, out=g)
-        g += 1e-6
+        np.sqrt(self.v, out=g)
+        scale = 0.1 / np.sqrt(1 - 0.99 ** self.n)
+        g += 1e-6 / scale
         np.divide(self.m, g, out=g)
-        g *= self.rate * share * min(1.0, self.n / 20) / (1 - 0.9 ** self.n)
+        g *= 0.1 / scale * self.rate * share * min(1.0, self.n / 20) / (1 - 0.9 ** self.n)
         self.net.flat -= g
 
 
@@ -405,21 +421,23 @@ class Model:
                     w = K.words(text.slice(x, y - x))
                     n = np.diff(w.first)
                     where, train = np.repeat(bucket[x:y], n), np.repeat(~held[x:y], n)
-                    shape = shapes(w)
                     for b in np.unique(bucket[x:y]):
                         i = np.flatnonzero(where == b)
-                        h, at, back = np.unique(w.hash[i], return_index=True, return_inverse=True)
-                        c = np.bincount(back, weights=train[i], minlength=len(h)).astype(np.int64)
+                        i = i[np.argsort(w.hash[i])]  # any one of a word's places tells its shape
+                        h = w.hash[i]
+                        at = np.flatnonzero(np.r_[True, h[1:] != h[:-1]][:len(h)])
+                        c = np.add.reduceat(train[i], at, dtype=np.int64) if len(h) else np.zeros(0, np.int64)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(h), b, np.int32)), pa.array(h.view(np.int64)),
-                             pa.array(shape[i][at].astype(np.int8)), pa.array(c)], names=["b", "word", "shape", "n"])
+                            [pa.array(np.full(len(at), b, np.int32)), pa.array(h[at].view(np.int64)),
+                             pa.array(shapes(w, i[at]).astype(np.int8)), pa.array(c)], names=["b", "word", "shape", "n"])
 
         words = self.docs.select("text", "held", "b").mapInArrow(asked, "b int, word long, shape byte, n long")
         # A word's group here has a row for each range and batch, however often it occurs.
         c = F.sum("n").over(Window.partitionBy("word"))
         one = F.row_number().over(Window.partitionBy("word").orderBy("b"))
+        # The finer order first, so that one sort serves both.
         self.counts = self.scratch.table(
-            words.withColumn("c", c).withColumn("one", one == 1).select("b", "word", "shape", "c", "one"), "counts")
+            words.withColumn("one", one == 1).withColumn("c", c).select("b", "word", "shape", "c", "one"), "counts")
         seen = self.counts.where("one and c > 0")
         self.ends = self.docs.where("not held").count()
         top = seen.orderBy(F.desc("c"), "word").limit(HEADS * MEMBERS - 1).select("word", "c").collect()
@@ -454,7 +472,10 @@ class Model:
                     seen[k] += 1
                 for x, y in K.parts(text):
                     w = K.words(text.slice(x, y - x))
-                    symbol = _targets(heads.numbers(w.hash), shapes(w))[2].astype("<u2")
+                    symbol = heads.numbers(w.hash)
+                    rest = np.flatnonzero(symbol < 0)
+                    symbol[rest] = HEADS * MEMBERS + shapes(w, rest)
+                    symbol = symbol.astype("<u2")
                     codes = pa.Array.from_buffers(pa.binary(), y - x, [
                         None, pa.py_buffer((w.first * 2).astype(np.int32)), pa.py_buffer(symbol)])
                     yield pa.RecordBatch.from_arrays([part.slice(x, y - x), batch.column(2).slice(x, y - x),
@@ -514,7 +535,7 @@ class Model:
             word = word[order]
             keep = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else order
             word, c, shape = word[keep], counts.column("c").to_numpy()[order][keep], counts.column("shape").to_numpy()[order][keep]
-            cls, member, symbol = _targets(heads.numbers(word), shape.astype(np.int64))
+            cls, member, symbol = (x.astype(np.int16) for x in _targets(heads.numbers(word), shape.astype(np.int64)))
             tail = np.log(c + 1.0) - log_mass[shape.astype(np.int64)]
             size, known, low, high = [], [], [], []
             text = docs.column("text").combine_chunks()
@@ -548,42 +569,62 @@ def spark_words(spark: SparkSession, top: list) -> DataFrame:
     return spark.createDataFrame([(x["word"],) for x in top], "word long")
 
 
+def _lanes(size: np.ndarray, lanes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Texts dealt to lanes, the longest first and each to the lane with the least tokens:
+    (order, load), the texts lane by lane and the lanes' tokens, the longest lane first."""
+    heap, own = [(0, k) for k in range(lanes)], [[] for _ in range(lanes)]
+    for d in np.argsort(-size, kind="stable").tolist():
+        load, k = heap[0]
+        own[k].append(d)
+        heapq.heapreplace(heap, (load + int(size[d]), k))
+    heap.sort(reverse=True)
+    return np.array([d for _, k in heap for d in own[k]], dtype=np.int64), np.array([n for n, _ in heap], dtype=np.int64)
+
+
 def _log_likelihood(net: Net, first, cls, member, symbol, tail) -> np.ndarray:
-    """Natural log probability of every text, the end included. Texts run side by side,
-    longest first; the state is carried from window to window."""
+    """Natural log probability of every text, the end included. Lanes run side by side, each
+    through its texts one after another; the state is carried from window to window and
+    begins anew with a text."""
     n = np.diff(first)
-    order = np.argsort(-n, kind="stable")
-    start, size = first[:-1][order], n[order] + 1
-    out = np.zeros(len(n))
-    h = np.zeros((len(n), H), dtype=np.float32)
-    cls, member, tail = _with_end(cls, 0), _with_end(member, 0), _with_end(tail, 0.0)
-    symbol = _with_end(symbol, START)
-    last = len(cls) - 1  # where the end is
+    if not len(n):
+        return np.zeros(0)
+    order, load = _lanes(n + 1, min(BESIDE, len(n)))
+    size = n[order] + 1
+    begin = np.cumsum(size) - size  # of a text among all tokens, lane by lane
+    owner = np.repeat(order.astype(np.int32), size)
+    goal = np.arange(len(owner), dtype=np.int32) + np.repeat((first[:-1][order] - begin).astype(np.int32), size)
+    goal[begin + size - 1] = len(cls)  # the end
+    given = _with_end(symbol, symbol.dtype.type(START))[np.roll(goal, 1)]
+    given[begin] = START
+    fresh = np.zeros(len(owner), dtype=bool)
+    fresh[begin] = True
+    cls, member, tail = (_with_end(x, x.dtype.type(0))[goal] for x in (cls, member, tail))
+    del goal
+    got = np.empty(len(owner))
+    start = np.cumsum(load) - load
+    states = np.zeros((WINDOW + 1, len(load), H), dtype=np.float32)
+    gates = np.empty((6, len(load), H), dtype=np.float32)
     cell = Cell(net)
-    for t in range(0, int(size[0]) if len(size) else 0, WINDOW):
-        steps = min(WINDOW, int(size[0]) - t)
-        live = int(np.searchsorted(-size, -t, side="left"))  # texts with more than t tokens
-        for a in range(0, live, BESIDE):
-            own = slice(a, min(live, a + BESIDE))
-            k = np.arange(t, t + steps)[:, None]
-            at, more = start[own] + k, k < size[own] - 1  # a text that has ended goes on idly to the window's end
-            goal = np.where(more, at, last)
-            x = symbol[np.minimum(at - 1, last)]
-            if t == 0:
-                x[0] = START
-            states = np.empty((steps + 1, *h[own].shape), dtype=np.float32)
-            zr, new = np.empty((2, *h[own].shape), dtype=np.float32), np.empty(h[own].shape, dtype=np.float32)
-            states[0] = h[own]
-            for j in range(steps):
-                cell.step(x[j], states[j], zr, new, states[j + 1])
-            h[own] = states[steps]
-            on = k < size[own]
-            goal, owner = goal[on], np.broadcast_to(np.arange(own.start, own.stop), on.shape)[on]
-            got = net.log_token(states[1:][on], cls[goal], member[goal], tail[goal])
-            out += np.bincount(owner, weights=got, minlength=len(out))
-    result = np.empty(len(n))
-    result[order] = out
-    return result
+    for t in range(0, int(load[0]), WINDOW):
+        steps = min(WINDOW, int(load[0]) - t)
+        live = int(np.searchsorted(-load, -t, side="left"))  # lanes with more than t tokens
+        if live < states.shape[1]:
+            states, gates = states[:, :live].copy(), gates[:, :live].copy()
+        k = np.arange(t, t + steps)[:, None]
+        on = k < load[:live]
+        at = np.minimum(start[:live] + k, len(owner) - 1)  # a lane that has ended goes on idly to the window's end
+        x, anew = given[at], fresh[at]
+        starts = anew.any(axis=1).tolist()
+        for j in range(steps):
+            h = states[j]
+            if starts[j]:
+                h = h.copy()
+                h[anew[j]] = 0
+            cell.step(x[j], h, gates[:3], gates[3:5], gates[5], states[j + 1])
+        at = at[on]
+        got[at] = net.log_token(states[1:steps + 1][on], cls[at], member[at], tail[at])
+        states[0] = states[steps]
+    return np.bincount(owner, weights=got, minlength=len(n))
 
 
 def scores(docs: DataFrame, spark: SparkSession, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from llm.helpers import ODD, docs, lower, words
 from pyspark.sql import functions as F
 
-from eddy.llm import quality_rules, recurrent_lm, toxicity
+from eddy.llm import quality_rules, recurrent_lm, textkernel, toxicity
 
 SF = "/root/testdata/sf0.1"
 
@@ -147,6 +147,36 @@ def test_state_is_carried_across_windows():
         assert abs(s - got[d]) < 1e-3
 
 
+def test_scoring_takes_few_steps_whatever_the_lengths(monkeypatch):
+    """Lanes go from text to text: a few long texts don't make a step for every place of
+    theirs beside each block of short ones; the sums are those of texts scored alone."""
+    rng = np.random.default_rng(5)
+    net = recurrent_lm.Net(rng.normal(0, 0.3, recurrent_lm.Net.SIZE).astype(np.float32))
+    n = np.concatenate([rng.integers(0, 90, 700), [600, 0, 512]])
+    first = np.concatenate([[0], np.cumsum(n)])
+    cls, member = rng.integers(0, recurrent_lm.CLASSES, first[-1]), rng.integers(0, 16, first[-1])
+    symbol, tail = rng.integers(0, recurrent_lm.SYMBOLS - 1, first[-1]), -rng.random(first[-1])
+    alone = [recurrent_lm._log_likelihood(net, np.array([0, b - a]), cls[a:b], member[a:b], symbol[a:b], tail[a:b])[0]
+             for a, b in zip(first[:-1], first[1:])]
+    steps, step = [], recurrent_lm.Cell.step
+    monkeypatch.setattr(recurrent_lm.Cell, "step", lambda self, *a: (steps.append(1), step(self, *a))[1])
+    got = recurrent_lm._log_likelihood(net, first, cls, member, symbol, tail)
+    assert np.abs(got - alone).max() < 1e-3
+    assert len(steps) <= max(n.max() + 1, (n + 1).sum() / recurrent_lm.BESIDE + 90) + recurrent_lm.WINDOW
+    order, load = recurrent_lm._lanes(n + 1, 64)
+    assert sorted(order) == list(range(len(n))) and load.sum() == (n + 1).sum() and (np.diff(load) <= 0).all()
+    none = np.zeros(0, np.int64)
+    assert len(recurrent_lm._log_likelihood(net, np.zeros(1, np.int64), none, none, none, none)) == 0
+
+
+def test_shapes_of_chosen_words():
+    w = textkernel.words(pa.array(["Élan vital, a1 Ünïcode! (x) 12 plain", None, "zé longerword9 naïve; ."]))
+    every = recurrent_lm.shapes(w)
+    of = np.array([7, 0, 3, 3, 9])
+    assert recurrent_lm.shapes(w, of).tolist() == every[of].tolist() and len(set(every)) > 4
+    assert len(recurrent_lm.shapes(w, of[:0])) == 0
+
+
 def _random_docs(rng, sizes):
     return [(rng.integers(0, recurrent_lm.SYMBOLS, n), rng.integers(0, recurrent_lm.CLASSES, n),
              rng.integers(0, recurrent_lm.MEMBERS, n)) for n in sizes]
