@@ -47,7 +47,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             named = scratch.table(_moved(labels, "root", twice, "left").select("node", "root"), "labels")
             scratch.drop(labels)
         labels = named
-        half = scratch.table(_moved(rest, "u", twice, "inner").select("u", "v").distinct(), "half")
+        half = scratch.table(_moved(rest, "u", twice, "inner").select("u", "v"), "half")
         left = scratch.table(_simple(_moved(half, "v", twice, "inner")), "edges")
         scratch.drop(once, twice, half, rest)
         rest = left

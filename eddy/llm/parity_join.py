@@ -37,6 +37,7 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,23 +49,33 @@ from eddy.llm import textkernel as K
 from eddy.llm.components import components
 from eddy.llm.scratch import Scratch
 
-ROUNDS = 3
+ROUNDS = 2
 BUCKET_WORDS = 1_000_000  # sketch words that one task of the exchange gets, about
 FILTER_BITS = 1 << 23
 SKETCH_BITS = 1 << 13
-OPEN_ROWS = 1 << 18       # (word, document) rows that one task of the last pairs gets, about
-OPEN_BLOCK = 4096         # documents of a word in a block
+OPEN_ROWS = 1 << 18       # (word, document) rows that one task of the last pairs gets, about, and
+OPEN_MEETS = 1 << 23      # pairs of documents of a word that it walks through, about
+OPEN_BLOCK = 2048         # documents of a word in a block
+FOLDED = 16               # 64-bit words that a bit sketch is folded to for a first test
 LINK_BLOCK = 1024         # classes of a component in a block, and
 LINK_ELEMENTS = 1 << 18   # elements of their sets, about
 U = np.uint64
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted distinct numbers (``np.unique`` hashes them, which takes far longer than to sort)."""
+    x = np.sort(x)
+    keep = np.ones(len(x), dtype=bool)
+    np.not_equal(x[1:], x[:-1], out=keep[1:])
+    return x[keep]
+
+
 def sets(column: pa.Array, width: int = 5) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of every text."""
     for a, b in K.parts(column):
         w = K.words(column.slice(a, b - a))
         for d in range(b - a):
-            yield np.unique(K.shingles(w.hash[w.first[d]:w.first[d + 1]], width))
+            yield _distinct(K.shingles(w.hash[w.first[d]:w.first[d + 1]], width))
 
 
 def set_key(s: np.ndarray) -> int:
@@ -311,11 +322,9 @@ class Join:
     def _leader_pairs(self, words: DataFrame, turn: int) -> DataFrame:
         """For every document the leader, of another component, that it shares most with."""
         lead = words.groupBy("word").agg(
-            F.min_by("doc", F.xxhash64("doc", F.lit(turn))).alias("a"), F.count("*").alias("df")).where("df > 1")
-        lead = self.scratch.table(lead.select("word", "a"), "lead")
-        comp = self.scratch.table(words.select(F.col("doc").alias("a"), F.col("comp").alias("comp_a")).distinct(), "comps")
-        met = (words.join(lead, "word").groupBy("a", "doc", "comp").agg(F.count("*").alias("shared"))
-               .join(comp, "a").where("comp <> comp_a"))
+            F.min_by(F.struct("doc", "comp"), F.xxhash64("doc", F.lit(turn))).alias("l"), F.count("*").alias("df")).where("df > 1")
+        lead = self.scratch.table(lead.select("word", F.col("l.doc").alias("a"), F.col("l.comp").alias("comp_a")), "lead")
+        met = words.join(lead, "word").where("comp <> comp_a").groupBy("a", "doc").agg(F.count("*").alias("shared"))
         return (met.groupBy("doc").agg(F.max_by("a", F.struct("shared", F.xxhash64("a"))).alias("a"))
                 .select("a", F.col("doc").alias("b")))
 
@@ -358,8 +367,8 @@ class Join:
         """Pairs of different components that share a word and may link.
 
         The documents of a word come together, those of a frequent word as pairs of blocks;
-        a task gets a bounded number of them with the bit sketches of their documents, walks
-        through the pairs and returns only those whose sketches differ in no more bits than
+        a task gets a bounded number of them, by rows and by the pairs they make, with the bit
+        sketches of their documents, walks through the pairs and returns only those whose sketches differ in no more bits than
         linked sets can. A word whose documents all lie in one component is left out before."""
         mixed = self.scratch.table(words.groupBy("word").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
                                    .where("x <> y").select("word"), "mixed")
@@ -367,7 +376,9 @@ class Join:
         rows = words.join(mixed, "word").select("word", "doc", "comp").join(sketches.select("doc", "n"), "doc")
         rows = self._paired(self.scratch.table(rows, "mixedrows"), "word", OPEN_BLOCK, 1 << 62)
         rows = self.scratch.table(rows.select("pair", "side", "alone", "doc", "comp"), "open")
-        count = max(1, -(-rows.count() // OPEN_ROWS))
+        per_pair = rows.groupBy("pair").agg(F.count("*").alias("r"))
+        held = per_pair.agg(F.sum("r").alias("rows"), F.sum(F.col("r") * F.col("r") / 2).alias("meets")).first()
+        count = max(1, -(-(held["rows"] or 0) // OPEN_ROWS), math.ceil((held["meets"] or 0) / OPEN_MEETS))
         bucket = F.pmod(F.xxhash64("pair"), F.lit(count)).cast("int").alias("bucket")
         rows = rows.select(bucket, "pair", "side", "alone", "doc", "comp")
         bits = self.scratch.table(rows.select("bucket", "doc").distinct().join(sketches, "doc"), "bits")
@@ -383,25 +394,30 @@ class Join:
             pair, comp, side = (left.column(x).to_numpy() for x in ("pair", "comp", "side"))
             alone = left.column("alone").to_numpy()
             doc = np.searchsorted(ids, left.column("doc").to_numpy())
-            order = np.lexsort([doc, pair])
-            pair, comp, doc, side, alone = pair[order], comp[order], doc[order], side[order], alone[order]
+            own = n[doc]
+            order = np.lexsort([doc, own, pair])
+            pair, comp, doc, side, alone, own = pair[order], comp[order], doc[order], side[order], alone[order], own[order]
             edge = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1], True])
+            folded = np.bitwise_xor.reduce(sketch.reshape(len(ids), -1, FOLDED), axis=1)
             found, held, size = [], [], 0
             for x, y in zip(edge[:-1], edge[1:]):
-                for r in range(x, y, 512):
+                for r in range(x, y, 512):  # by size: a row meets those after it, up to the largest set that can link
                     to = min(y, r + 512)
-                    meets = (doc[r:to, None] < doc[None, x:y]) & (comp[r:to, None] != comp[None, x:y])
+                    end = x + int(np.searchsorted(own[x:y], layout.partner(int(own[to - 1])), side="right"))
+                    meets = comp[r:to, None] != comp[None, r:end]
+                    meets &= 100 * own[r:to, None] >= layout.p * own[None, r:end]
                     if not alone[x]:
-                        meets &= side[r:to, None] != side[None, x:y]
-                    i, j = np.nonzero(meets)
-                    held.append(doc[r:to][i] * np.int64(len(ids)) + doc[x:y][j])
+                        meets &= side[r:to, None] != side[None, r:end]
+                    i, j = np.nonzero(np.triu(meets, 1))
+                    a, b = doc[r:to][i], doc[r:end][j]
+                    held.append(np.minimum(a, b) * np.int64(len(ids)) + np.maximum(a, b))
                     size += len(i)
                     if size > 1 << 20:
-                        found.append(_near(np.concatenate(held), ids, n, sketch, layout))
+                        found.append(_near(np.concatenate(held), n, sketch, folded, layout))
                         held, size = [], 0
             if held:
-                found.append(_near(np.concatenate(held), ids, n, sketch, layout))
-            pairs = np.unique(np.concatenate(found))
+                found.append(_near(np.concatenate(held), n, sketch, folded, layout))
+            pairs = _distinct(np.concatenate(found))
             return pa.table({"a": ids[pairs // len(ids)], "b": ids[pairs % len(ids)]})
 
         return (rows.groupBy("bucket").cogroup(bits.groupBy("bucket")).applyInArrow(meet, "a long, b long").distinct())
@@ -508,8 +524,9 @@ def _counted(rows: list, percent: int) -> list[tuple[int, int]]:
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
     both = np.zeros((len(rows), len(rows)), dtype=np.int64)
-    width = max(64, (1 << 22) // len(rows))
-    for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+    columns = int(column[-1]) + 1 if len(column) else 0
+    width = min(max(64, (1 << 22) // len(rows)), columns)
+    for at in range(0, columns, max(1, width)):
         x, y = np.searchsorted(column, (at, at + width))
         on = np.zeros((len(rows), width), dtype=np.float32)
         on[owner[x:y], column[x:y] - at] = 1
@@ -525,18 +542,19 @@ def _rows(counts: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([c[i] for c in counts], pa.int64()) for i in (0, 1)], names=["doc", "links"])
 
 
-def _near(pairs: np.ndarray, ids, n, sketch, layout: Layout) -> np.ndarray:
+def _near(pairs: np.ndarray, n, sketch, folded, layout: Layout) -> np.ndarray:
     """The pairs (place of a times number of documents, plus place of b) whose bit sketches
-    differ in no more bits than linked sets of their sizes can."""
-    pairs = np.unique(pairs)
+    differ in no more bits than linked sets of their sizes can. Sketches folded onto each
+    other differ in no more bits than they do, so most pairs need no more than those."""
+    pairs = _distinct(pairs)
     keep = []
     for at in range(0, len(pairs), 1 << 14):
         part = pairs[at:at + (1 << 14)]
-        a, b = part // len(ids), part % len(ids)
-        apart = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64)
-        most = (100 - layout.p) * (n[a] + n[b]) // (100 + layout.p)
-        fits = 100 * np.minimum(n[a], n[b]) >= layout.p * np.maximum(n[a], n[b])
-        keep.append(part[(apart <= most) & fits])
+        for bits in (folded, sketch):
+            a, b = part // len(n), part % len(n)
+            apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+            part = part[apart <= (100 - layout.p) * (n[a] + n[b]) // (100 + layout.p)]
+        keep.append(part)
     return np.concatenate([np.zeros(0, np.int64), *keep])
 
 

@@ -175,3 +175,32 @@ def test_repeated_ids_equal_brute_force_over_texts(spark, seed):
     kept = [(r.doc_id, frozenset(shingles(r.text))) for r in J.keep_one(d, spark).collect()]
     assert sorted(comp[nodes.index(k)] for k in kept) == sorted(set(comp))
     assert all(i == want[i, s][0] for i, s in kept)
+
+
+def test_last_pairs_are_dealt_by_the_pairs_they_make(spark, monkeypatch):
+    """Few rows that make many pairs go to several tasks, and the labels stay the same."""
+    monkeypatch.setattr(J, "ROUNDS", 0)
+    monkeypatch.setattr(J, "OPEN_MEETS", 64, raising=False)
+    rows, tables = _corpus(3), {}
+    join = J.Join(docs(spark, rows), spark)
+    keep = join.scratch.table
+
+    def table(df, name):
+        tables[name] = keep(df, name)
+        return tables[name]
+
+    join.scratch.table = table
+    got = {r.id: (r.n, r.component_id) for r in join.labels().collect()}
+    assert got == _brute(rows)
+    assert tables["bits"].select("bucket").distinct().count() > 1
+
+
+def test_counting_links_of_few_sets_takes_little_memory():
+    import tracemalloc
+
+    one = np.arange(40, dtype=np.uint64)
+    rows = [(0, True, 7, 1, one), (0, True, 8, 3, one + np.uint64(2)), (0, True, 9, 1, one + np.uint64(30))]
+    tracemalloc.start()
+    assert J._counted(rows, 75) == [(7, 3), (8, 1)]
+    assert tracemalloc.get_traced_memory()[1] < 1 << 20
+    tracemalloc.stop()
